@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Layout of an extract file and of a page response. Records are kept as JSON text.
 FILE_ENVELOPE = "resource string, extracted_at string, count bigint, records array<string>"
@@ -20,7 +21,7 @@ def read_envelope_files(spark: SparkSession, path: str) -> DataFrame:
     return documents.select("resource", "extracted_at", F.explode("records").alias("data"))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
