@@ -17,7 +17,7 @@ from stratalake.operators.lookup import add_dimension_key
 from stratalake.operators.modeling import date_rows_covering, dimension_rows, fact_rows, fact_with_keys
 from stratalake.sinks.dimension import read_dimension, update_dimension
 from stratalake.sources.tables import date_range
-from stratalake.sources.workspace import new_folder
+from stratalake.sources.workspace import new_folder, written
 from stratalake.specs import DIMENSIONS, FACTS
 
 # --- dimensions ------------------------------------------------------------------------------
@@ -111,19 +111,19 @@ def day_key_sql(c: str) -> str:
 def fact_sql(name: str, columns: str, days: list[str], day_keys: list[str]) -> str:
     """Every dimension look-up as a plain left join on the natural key."""
     spec = FACTS[name]
-    joins, keys = [], []
+    parts, joins, keys = [f"f AS MATERIALIZED ({CLEANED_SQL[spec.source]})"], [], []
     for fact_key, dim in spec.lookups.items():
         found = DIMENSIONS[dim]
-        joins.append(
-            f"LEFT JOIN (SELECT {found.key} AS {dim}_key, {found.surrogate} FROM ({DIMENSION_SQL[dim]})) {dim} "
-            f"ON f.{fact_key} = {dim}.{dim}_key"
-        )
+        chosen = f"SELECT {found.key} AS {dim}_key, {found.surrogate} FROM ({DIMENSION_SQL[dim]})"
+        parts.append(f"{dim} AS MATERIALIZED ({chosen})")
+        joins.append(f"LEFT JOIN {dim} ON f.{fact_key} = {dim}.{dim}_key")
         keys.append(found.surrogate)
     return f"""
+        WITH {', '.join(parts)}
         SELECT f.id AS {spec.key}, {key_sql('f.id')} AS {spec.surrogate}, {columns},
           {', '.join(f'CAST({c} AS DATE) AS {c}' for c in days)}, created_at,
           {', '.join(day_key_sql(c) for c in day_keys)}, {', '.join(keys)}
-        FROM ({CLEANED_SQL[spec.source]}) f {' '.join(joins)}
+        FROM f {' '.join(joins)}
     """
 
 
@@ -203,11 +203,12 @@ def snapshot(spark, folder, period: int) -> DataFrame:
 
 
 def history_after(spark, folder, periods: int) -> DataFrame:
+    """The history after so many loads; each load starts from a written table, as a run does."""
     state = None
     for period in range(periods):
-        state = history.next_history(
-            snapshot(spark, folder, period), state, ["customer_id"], TRACKED, PERIODS[period][1]
-        )
+        previous = None if state is None else written(state, "history")
+        incoming = written(snapshot(spark, folder, period), "snapshot")
+        state = history.next_history(incoming, previous, ["customer_id"], TRACKED, PERIODS[period][1])
     return state
 
 
@@ -253,7 +254,8 @@ def scd2_history(spark, folder):
 def scd2_changes(spark, folder):
     """Only the versions that the third load opens."""
     return history.changed_versions(
-        snapshot(spark, folder, 2), history_after(spark, folder, 2), ["customer_id"], TRACKED, PERIODS[2][1]
+        snapshot(spark, folder, 2), written(history_after(spark, folder, 2), "history"), ["customer_id"], TRACKED,
+        PERIODS[2][1],
     )
 
 

@@ -15,7 +15,7 @@ from stratalake.plans.metrics import metrics_rows, run_summary, save_metrics
 from stratalake.plans.raw import load_raw_batch
 from stratalake.operators.dedup import raw_rows
 from stratalake.sinks import upsert, writer
-from stratalake.sources.workspace import new_folder
+from stratalake.sources.workspace import new_folder, written
 
 
 @query("SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
@@ -63,7 +63,7 @@ def last_orders(spark, folder, late: bool) -> DataFrame:
     cut = F.lit(CUT).cast("timestamp_ntz")
     side = orders.where(F.col("o_orderdate") >= cut if late else F.col("o_orderdate") < cut)
     last = latest_per_key(side, ["o_custkey"], "o_orderdate", ["o_orderkey"])
-    return last.select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return written(last.select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"), "last-orders")
 
 
 @query(STATES + """

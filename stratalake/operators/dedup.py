@@ -69,19 +69,14 @@ def drop_copies(raw: DataFrame) -> DataFrame:
 def already_loaded(raw: DataFrame, loaded: DataFrame) -> DataFrame:
     """Hashes of ``raw`` that the loaded table holds.
 
-    The loaded table is the large side and only its hash column is read. It is on the left of
-    a semi join, so while the batch is small Spark broadcasts the batch's hashes and the table
-    is scanned without a shuffle, and beyond that it can split a hash with very many copies.
+    Only the hash columns are read. The loaded table, the large side, is on the left of a semi
+    join: while the batch is small Spark broadcasts the batch's hashes and the table is
+    scanned without a shuffle, and beyond that it can split a hash with very many copies.
     """
     batch = raw.select("record_hash").distinct()
     return loaded.select("record_hash").join(batch, "record_hash", "left_semi").distinct()
 
 
-def not_loaded(raw: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Rows whose content the loaded table does not hold yet."""
-    return raw.join(already_loaded(raw, loaded), "record_hash", "left_anti").select(*raw.columns)
-
-
 def new_records(raw: DataFrame, loaded: DataFrame | None, skip_dedup: bool = False) -> DataFrame:
     """What a load adds: no copies, nothing loaded before, new content of a known id kept.
 
@@ -90,7 +85,9 @@ def new_records(raw: DataFrame, loaded: DataFrame | None, skip_dedup: bool = Fal
     if skip_dedup:
         return raw
     unique = drop_copies(raw)
-    return unique if loaded is None else not_loaded(unique, loaded)
+    if loaded is None:
+        return unique
+    return unique.join(already_loaded(raw, loaded), "record_hash", "left_anti").select(*raw.columns)
 
 
 def dedup_report(raw: DataFrame, loaded: DataFrame) -> DataFrame:

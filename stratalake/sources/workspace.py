@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
@@ -25,6 +25,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/stratalake/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    For a frame that several branches of a plan use: it is computed once, and a lost executor
+    costs a re-read instead of the work behind it.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written here (any file system Spark can reach)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
