@@ -164,7 +164,7 @@ def page_flatten(spark, folder):
 
 @query("""
     SELECT CAST(doc_id AS VARCHAR) AS id,
-      CAST(json_object('doc_id', doc_id, 'text', text, 'lang', lang, 'source', source, 'n_chars', n_chars)
+      CAST(json_object('doc_id', doc_id, 'lang', lang, 'n_chars', n_chars, 'source', source, 'text', text)
         AS VARCHAR) AS data,
       sha256(json_object('doc_id', doc_id, 'lang', lang, 'n_chars', n_chars, 'source', source, 'text', text))
         AS record_hash,

@@ -20,13 +20,18 @@ TIMESTAMP_OPTIONS = {
 
 
 def record_json(columns: Sequence[str]) -> Column:
-    """The columns as one JSON object. NULLs are written out, timestamps keep microseconds."""
-    return F.to_json(F.struct(*columns), {**TIMESTAMP_OPTIONS, "ignoreNullFields": "false"})
+    """The columns as one JSON object, by name. NULLs are written out, timestamps keep
+    microseconds."""
+    return F.to_json(F.struct(*sorted(columns)), {**TIMESTAMP_OPTIONS, "ignoreNullFields": "false"})
 
 
 def record_hash(columns: Sequence[str], exclude: Sequence[str] = UNHASHED_FIELDS) -> Column:
-    """SHA-256 of typed columns, independent of their order."""
-    return F.sha2(record_json(sorted(c for c in columns if c not in exclude)), 256)
+    """SHA-256 of typed columns, independent of their order.
+
+    With nothing to exclude it digests the very text ``record_json`` gives, which Spark then
+    builds once for both.
+    """
+    return F.sha2(record_json([c for c in columns if c not in exclude]), 256)
 
 
 def canonical_json(data: Column | str, exclude: Sequence[str] = UNHASHED_FIELDS) -> Column:
