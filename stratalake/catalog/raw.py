@@ -51,7 +51,7 @@ def lookback_read(spark, folder):
 def lookback_partitions(spark, folder):
     """The look-back window on a raw table written by load date: only its directories are read."""
     path = new_folder(spark, "lookback")
-    writer.append_raw(event_rows(spark, folder), path)
+    writer.append_raw(event_rows(spark, folder), path, many_days=True)
     raw = writer.read_raw(spark, path)
     return tables.look_back(raw, date(2024, 1, 31), 20).select("id", "loaded_at", "load_date")
 

@@ -64,10 +64,12 @@ def clean_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def derive_columns(df: DataFrame, spec: TableSpec, as_of: datetime | Column) -> DataFrame:
-    """Derived columns and business rules whose inputs are present."""
+    """Derived columns whose inputs are present, then business rules, which may use them."""
     now = as_timestamp(as_of)
-    wanted = [d for d in (*spec.derived, *spec.rules) if set(d.needs) <= set(df.columns)]
-    return df.withColumns({d.name: d.rule(now) for d in wanted}) if wanted else df
+    for group in (spec.derived, spec.rules):
+        wanted = {d.name: d.rule(now) for d in group if set(d.needs) <= set(df.columns)}
+        df = df.withColumns(wanted) if wanted else df
+    return df
 
 
 def add_processing_columns(df: DataFrame, as_of: datetime | Column) -> DataFrame:

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from stratalake.functions.digest import surrogate_key
 from stratalake.operators.history import VALIDITY, next_history
 from stratalake.sinks.upsert import publish_partitions
-from stratalake.sources.workspace import path_exists
+from stratalake.sources.workspace import read_if_written
 
 CLOSED_ON = "closed_on"
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path).drop(CLOSED_ON) if path_exists(spark, path) else None
+    table = read_if_written(spark, path)
+    return None if table is None else table.drop(CLOSED_ON)
 
 
 def update_dimension(
@@ -38,10 +39,10 @@ def update_dimension(
     """Bring a dimension up to date with one row per key; returns rows new and changed."""
     spark = incoming.sparkSession
     compare = list(compare or [c for c in incoming.columns if c not in keys])
-    history = None
-    if not rebuild and path_exists(spark, path):
+    history = None if rebuild else read_if_written(spark, path)
+    if history is not None:
         open_or_today = F.col(CLOSED_ON).isNull() | (F.col(CLOSED_ON) == F.lit(as_of.date()))
-        history = spark.read.parquet(path).where(open_or_today).drop(CLOSED_ON, surrogate)
+        history = history.where(open_or_today).drop(CLOSED_ON, surrogate)
     counts = Observation()
     state = next_history(incoming, history, keys, compare, as_of, counts)
     attributes = [c for c in state.columns if c not in VALIDITY]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.keys import any_null
 from stratalake.operators.merge import merge_rows
-from stratalake.sources.workspace import path_exists
+from stratalake.sources.workspace import read_if_written
 
 BUCKET = "key_bucket"
 
@@ -41,7 +41,8 @@ def publish_partitions(staged: DataFrame, path: str, partition: str) -> None:
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a keyed table, or None before the first write."""
-    return spark.read.parquet(path).drop(BUCKET) if path_exists(spark, path) else None
+    table = read_if_written(spark, path)
+    return None if table is None else table.drop(BUCKET)
 
 
 def rebuild_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
@@ -73,8 +74,10 @@ def upsert_table(
     with_bucket(source.select(*columns), keys, buckets).write.mode("overwrite").parquet(f"{staging}/source")
     incoming = spark.read.parquet(f"{staging}/source")
 
-    if path_exists(spark, path):
-        table = spark.read.parquet(path)
+    table = read_if_written(spark, path)
+    if table is not None:
+        if BUCKET not in table.columns:
+            raise ValueError(f"table {path} is not laid out in buckets; rebuild it first")
         sample = table.select(BUCKET).first()
         if sample is not None and not sample[0].endswith(f"-of-{buckets}"):
             raise ValueError(f"table {path} is laid out as {sample[0]}, not in {buckets} buckets")
@@ -85,3 +88,18 @@ def upsert_table(
         merged = merge_rows(incoming.limit(0), incoming, [*keys, BUCKET])
     merged.write.mode("overwrite").parquet(f"{staging}/merged")
     publish_partitions(spark.read.parquet(f"{staging}/merged"), path, BUCKET)
+
+
+def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """The same upsert on a catalog table whose format can change rows in place.
+
+    Spark runs it as a MERGE, so only the affected files are touched. Plain Parquet tables
+    cannot do that; ``upsert_table`` is for them.
+    """
+    columns = [c for c in source.columns if not c.startswith("_")]
+    incoming = source.select(*columns).alias("source")
+    match = F.lit(True)
+    for key in keys:
+        match = match & (F.col(f"{table}.{key}") == F.col(f"source.{key}"))
+    values = {c: F.col(f"source.{c}") for c in columns}
+    incoming.mergeInto(table, match).whenMatched().update(values).whenNotMatched().insert(values).merge()

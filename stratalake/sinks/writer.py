@@ -9,7 +9,7 @@ from enum import StrEnum
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.sources.workspace import path_exists
+from stratalake.sources.workspace import read_if_written
 
 
 RAW_SCHEMA = "id string, data string, record_hash string, loaded_at timestamp_ntz, load_date date"
@@ -63,15 +63,23 @@ def gold_mode(rebuild: bool) -> Mode:
     return Mode.OVERWRITE if rebuild else Mode.APPEND
 
 
-def append_raw(raw: DataFrame, path: str, max_rows_per_file: int | None = None) -> int:
-    """Append raw rows to a table partitioned by load date."""
+def append_raw(
+    raw: DataFrame, path: str, max_rows_per_file: int | None = None, many_days: bool = False
+) -> int:
+    """Append raw rows to a table partitioned by load date.
+
+    A load has one load date and is written as it comes. Set ``many_days`` for a back-fill:
+    rows are then brought together by day first, or every task would write a file for each.
+    """
     dated = raw.withColumn("load_date", F.to_date("loaded_at"))
+    if many_days:
+        dated = dated.hint("rebalance", "load_date")
     return write_table(dated, path, Mode.APPEND, ["load_date"], max_rows_per_file)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
     """A raw table, or None while nothing has been loaded."""
-    return spark.read.schema(RAW_SCHEMA).parquet(path) if path_exists(spark, path) else None
+    return read_if_written(spark, path, RAW_SCHEMA)
 
 
 def append_raw_bucketed(raw: DataFrame, table: str, path: str, buckets: int) -> None:

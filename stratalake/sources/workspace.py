@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
@@ -15,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SHARED_FOLDER_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix="stratalake-")
     raise ValueError(f"set {SHARED_FOLDER_SETTING} to a folder that all executors share")
 
@@ -36,7 +38,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written here (any file system Spark can reach)."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def read_if_written(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame | None:
+    """A Parquet table, or None while nothing has been written there."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -91,6 +91,13 @@ def _flag(name: str, accepted: tuple[str, ...]) -> Derived:
     return Derived(name, "boolean", ("status",), lambda as_of: derive.status_in("status", accepted))
 
 
+# An optional rule: add it to a specification's ``rules`` to switch leavers off.
+INACTIVE_ONCE_TERMINATED = Derived(
+    "is_active", "boolean", ("is_active", "termination_date"),
+    lambda as_of: derive.active_until("is_active", "termination_date", as_of),
+)
+
+
 # --- Fixed values: record schemas, cleaning rules, accepted states and length limits ---------
 
 EMPLOYEES = TableSpec(

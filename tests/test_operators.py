@@ -1,6 +1,7 @@
 """Edge rows and invariants of the table operators."""
 
 import json as pyjson
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -14,7 +15,7 @@ from stratalake.operators.lookup import add_dimension_key
 from stratalake.operators.merge import merge_rows
 from stratalake.operators.modeling import date_rows
 from stratalake.sources import landing, tables
-from stratalake.specs import EMPLOYEES, RESOURCES, TableSpec, select_resources
+from stratalake.specs import EMPLOYEES, INACTIVE_ONCE_TERMINATED, RESOURCES, TableSpec, select_resources
 
 DAY = [datetime(2024, 1, d) for d in range(1, 10)]
 
@@ -65,6 +66,16 @@ def test_rules_skip_missing_columns(spark):
     assert "margin" not in row.asDict()
 
 
+def test_leavers_can_be_switched_off(spark):
+    texts = [pyjson.dumps({"id": str(i), "status": "active", "termination_date": d})
+             for i, d in enumerate(["2023-12-31", "2024-01-05", None])]
+    spec = replace(EMPLOYEES, rules=(*EMPLOYEES.rules, INACTIVE_ONCE_TERMINATED))
+    got = clean_records(raw(spark, *texts), spec, DAY[0]).orderBy("id").collect()
+    assert [r.is_active for r in got] == [False, True, True]
+    got = clean_records(raw(spark, *texts), EMPLOYEES, DAY[0]).orderBy("id").collect()
+    assert [r.is_active for r in got] == [True, True, True]
+
+
 def test_date_text_with_format(spark):
     spec = TableSpec("small", "id string, day string", dates=("day",), date_formats={"day": "dd.MM.yyyy"})
     got = clean_records(raw(spark, '{"id":"1","day":"02.01.2024"}', '{"id":"2","day":"x"}'), spec, DAY[0])
