@@ -67,14 +67,15 @@ def drop_copies(raw: DataFrame) -> DataFrame:
 
 
 def already_loaded(raw: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Hashes of ``raw`` that the loaded table holds.
+    """Hashes of ``raw`` that the loaded table holds, once each.
 
-    Only the hash columns are read. The loaded table, the large side, is on the left of a semi
-    join: while the batch is small Spark broadcasts the batch's hashes and the table is
-    scanned without a shuffle, and beyond that it can split a hash with very many copies.
+    Only the hash columns are read. While the batch is small enough to broadcast, Spark moves
+    the semi join below the distinct and the loaded table, the large side, is scanned without
+    a shuffle. Beyond that, copies of a hash are merged per task before the shuffle, so a hash
+    that fills a large part of the table does not meet in one task.
     """
     batch = raw.select("record_hash").distinct()
-    return loaded.select("record_hash").join(batch, "record_hash", "left_semi").distinct()
+    return loaded.select("record_hash").distinct().join(batch, "record_hash", "left_semi")
 
 
 def new_records(raw: DataFrame, loaded: DataFrame | None, skip_dedup: bool = False) -> DataFrame:

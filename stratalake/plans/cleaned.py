@@ -66,7 +66,7 @@ def refresh_cleaned(
         staged = spark.read.parquet(f"{staging}/parsed")
         rows = staged.where(~no_key).drop(CORRUPT)
         if mode is Mode.MERGE:
-            upsert_table(rows, path, spec.keys, f"{staging}/merge", layout.buckets)
+            upsert_table(rows, path, spec.keys, f"{staging}/merge", layout.buckets, staged=True)
         else:
             write = rebuild_table if mode is Mode.OVERWRITE else append_keyed
             write(rows, path, spec.keys, layout.buckets)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.keys import any_null
+from stratalake.operators.keys import any_null, unique_keyed_rows
 from stratalake.operators.merge import merge_rows
 from stratalake.sources.workspace import read_if_written
 
@@ -60,32 +60,43 @@ def append_keyed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) ->
 
 
 def upsert_table(
-    source: DataFrame, path: str, keys: Sequence[str], staging: str, buckets: int = 64
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    staging: str,
+    buckets: int = 64,
+    staged: bool = False,
 ) -> None:
     """Merge source rows into a keyed table (see ``merge_rows``).
 
     ``buckets`` is fixed for the life of a table; rebuild the table to change it. ``staging``
-    is a folder on shared storage that this table has to itself.
+    is a folder on shared storage that this table has to itself. The source is written there
+    first, because several parts of the merge read it; pass ``staged`` when it is a written
+    table already.
     """
     spark = source.sparkSession
     if source.isEmpty():
         return
     columns = [c for c in source.columns if not c.startswith("_")]
-    with_bucket(source.select(*columns), keys, buckets).write.mode("overwrite").parquet(f"{staging}/source")
-    incoming = spark.read.parquet(f"{staging}/source")
+    incoming = with_bucket(source.select(*columns), keys, buckets)
+    if not staged:
+        incoming.write.mode("overwrite").parquet(f"{staging}/source")
+        incoming = spark.read.parquet(f"{staging}/source")
 
+    keys = [*keys, BUCKET]
     table = read_if_written(spark, path)
-    if table is not None:
-        if BUCKET not in table.columns:
-            raise ValueError(f"table {path} is not laid out in buckets; rebuild it first")
-        sample = table.select(BUCKET).first()
-        if sample is not None and not sample[0].endswith(f"-of-{buckets}"):
-            raise ValueError(f"table {path} is laid out as {sample[0]}, not in {buckets} buckets")
-        # At most `buckets` values: the number of directories, whatever the size of the source.
-        touched = [row[0] for row in incoming.select(BUCKET).distinct().collect()]
-        merged = merge_rows(table.where(F.col(BUCKET).isin(touched)), incoming, [*keys, BUCKET])
-    else:
-        merged = merge_rows(incoming.limit(0), incoming, [*keys, BUCKET])
+    if table is None:
+        first = unique_keyed_rows(incoming, keys).unionByName(incoming.where(any_null(keys)))
+        first.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        return
+    if BUCKET not in table.columns:
+        raise ValueError(f"table {path} is not laid out in buckets; rebuild it first")
+    sample = table.select(BUCKET).first()
+    if sample is not None and not sample[0].endswith(f"-of-{buckets}"):
+        raise ValueError(f"table {path} is laid out as {sample[0]}, not in {buckets} buckets")
+    # At most `buckets` values: the number of directories, whatever the size of the source.
+    touched = [row[0] for row in incoming.select(BUCKET).distinct().collect()]
+    merged = merge_rows(table.where(F.col(BUCKET).isin(touched)), incoming, keys)
     merged.write.mode("overwrite").parquet(f"{staging}/merged")
     publish_partitions(spark.read.parquet(f"{staging}/merged"), path, BUCKET)
 

@@ -43,12 +43,14 @@ def flatten_pages(
     body: str = "body",
     page_no: str = "page_no",
     max_pages: int | None = None,
+    salts: int = 16,
 ) -> DataFrame:
     """Records of page responses, up to the page that ends each listing.
 
     ``listing`` names the columns that tell one listing from another. A listing ends with the
     first page that names no next page or has no results, or with page ``max_pages``. Where it
-    ends is found by a partial aggregate, so one long listing is spread over all tasks.
+    ends is found by a partial aggregate, and the one row that says so is repeated for each of
+    ``salts`` shares of a listing's pages, so a long listing never meets in one task.
     """
     if max_pages is not None:
         pages = pages.where(F.col(page_no) <= max_pages)
@@ -57,5 +59,8 @@ def flatten_pages(
     )
     is_last = F.col("next").isNull() | (F.coalesce(F.size("results"), F.lit(0)) <= 0)
     ends = parsed.groupBy(*listing).agg(F.min(F.when(is_last, F.col(page_no))).alias("last_page"))
-    kept = parsed.join(ends, listing).where(F.col(page_no) <= F.coalesce("last_page", page_no))
+    shares = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    ends = ends.withColumn("_share", F.explode(shares))
+    dealt = parsed.withColumn("_share", F.pmod(F.col(page_no).cast("bigint"), F.lit(salts).cast("bigint")))
+    kept = dealt.join(ends, [*listing, "_share"]).where(F.col(page_no) <= F.coalesce("last_page", page_no))
     return kept.select(*listing, page_no, F.explode("results").alias("data"))

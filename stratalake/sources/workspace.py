@@ -42,9 +42,12 @@ def read_if_written(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame | None:
     """A Parquet table, or None while nothing has been written there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return None
     try:
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # written, but without a row
             return None
         raise

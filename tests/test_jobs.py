@@ -13,7 +13,7 @@ from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured, overall_status, run_summary
 from stratalake.plans.raw import load_raw, load_raw_batch
 from stratalake.plans.run import run_layers
-from stratalake.plans.star import refresh_star
+from stratalake.plans.star import refresh_fact, refresh_star
 from stratalake.sinks import dimension, upsert, writer
 from stratalake.sources import workspace
 from stratalake.specs import CLIENTS, DIMENSIONS, FACTS, RESOURCES
@@ -231,6 +231,21 @@ def test_fact_merge(spark, folder, scratch):
     assert facts.count() == events and facts.where("project_sk is not null").count() == 0
 
 
+def test_star_refresh_since(spark, scratch):
+    layout = Layout(scratch, buckets=4)
+    for at, name in ((NOW, "A"), (LATER, "B")):
+        load_raw(json_rows(spark, {"id": 1, "client_name": name}, at=at), "clients", layout)
+        load_raw(json_rows(spark, {"id": name, "client_name": "C"}, at=at), "clients", layout)
+        refresh_cleaned(spark, CLIENTS, layout, at, lookback_days=1)
+        done = refresh_star(spark, layout, at, ["dim_clients"], [], since=at)
+        assert [m.status for m in done] == [Status.SUCCESS], done[0].errors
+    table = dimension.read_dimension(spark, layout.star("dim_clients"))
+    got = sorted((r.client_id, r.client_name, r.is_current) for r in table.collect())
+    assert got == [("1", "A", False), ("1", "B", True), ("A", "C", True), ("B", "C", True)]
+    with pytest.raises(ValueError):
+        refresh_fact(spark, FACTS["fact_invoices"], layout, since=NOW)
+
+
 def test_measured_and_status():
     def fails(metrics: JobMetrics):
         raise RuntimeError("boom")

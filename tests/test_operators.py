@@ -14,6 +14,7 @@ from stratalake.operators.keys import first_per_key, latest_per_key, unique_keye
 from stratalake.operators.lookup import add_dimension_key
 from stratalake.operators.merge import merge_rows
 from stratalake.operators.modeling import date_rows
+from stratalake.settings import session_settings
 from stratalake.sources import landing, tables
 from stratalake.specs import EMPLOYEES, INACTIVE_ONCE_TERMINATED, RESOURCES, TableSpec, select_resources
 
@@ -246,6 +247,68 @@ def test_lookup_spreads_rows_without_key(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """No broadcast joins, and a threshold small enough for test data to count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_fact_key_is_split(spark, shuffled_joins):
+    facts = spark.range(0, 200_000, 1, 8).selectExpr("id AS n", "if(id % 3 = 0, 'a', cast(id AS string)) AS key")
+    got = add_dimension_key(facts, dimension(spark), "sk", "key")
+    assert "skew=true" in final_plan(got)
+    assert got.where("sk = 's2'").count() == 66_667
+
+
+def hashes(spark, scratch):
+    loaded = spark.range(0, 200_000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', sha2(string(id), 256)) AS record_hash")
+    loaded.write.parquet(f"{scratch}/loaded")
+    batch = spark.range(3000).selectExpr("if(id = 0, 'hot', sha2(string(id), 256)) AS record_hash")
+    batch.write.parquet(f"{scratch}/batch")
+    return spark.read.parquet(f"{scratch}/loaded"), spark.read.parquet(f"{scratch}/batch")
+
+
+def test_hot_loaded_hash_is_merged_before_the_shuffle(spark, scratch, shuffled_joins):
+    loaded, batch = hashes(spark, scratch)
+    known = dedup.already_loaded(batch, loaded)
+    shuffled = known._jdf.queryExecution().executedPlan().toString()
+    left = shuffled[shuffled.index("LeftSemi"):].splitlines()[1:5]
+    kinds = [line.split("[")[0].split("(")[0].strip(" :+-") for line in left]
+    assert kinds == ["Sort", "HashAggregate", "Exchange hashpartitioning", "HashAggregate"]
+    assert known.count() == 2001  # 1 to 2999 without multiples of 3, and the hot one
+
+
+def test_loaded_table_is_not_shuffled_for_a_small_batch(spark, scratch):
+    loaded, batch = hashes(spark, scratch)
+    known = dedup.already_loaded(batch, loaded)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    probe = plan[plan.index("BroadcastHashJoin"):].split("FileScan")[0]
+    assert "Exchange" not in probe and "Aggregate" not in probe
+    assert known.count() == 2001  # 1 to 2999 without multiples of 3, and the hot one
+
+
+def test_settings_follow_size():
+    assert session_settings(1)["spark.sql.shuffle.partitions"] == "200"
+    assert session_settings(100 * 2**40)["spark.sql.shuffle.partitions"] == "819200"
+
+
 def test_quality_reports(spark):
     df = spark.createDataFrame([(1, "ab"), (1, None), (2, "abcdef")], "k int, v string")
     assert rows(quality.duplicate_keys(df, ["k"])) == [(1, 2)]
