@@ -37,16 +37,11 @@ def record_hash(columns: Sequence[str], exclude: Sequence[str] = UNHASHED_FIELDS
 def canonical_json(data: Column | str, exclude: Sequence[str] = UNHASHED_FIELDS) -> Column:
     """One text per record content, whatever the key order, at every depth.
 
-    Values are held as VARIANT, which keeps nested objects sorted by key and tells the number
-    ``1`` from the text ``"1"``; ``1`` and ``1.0`` are the same number. NULL for text that is
-    not a JSON object.
+    VARIANT keeps the members of every object sorted by key and tells the number ``1`` from
+    the text ``"1"``; ``1`` and ``1.0`` are the same number. NULL for text that is no JSON
+    object.
     """
-    kept = F.map_filter(json_members(data), lambda key, _: ~key.isin(*exclude))
-    pairs = F.transform(
-        F.map_entries(kept),
-        lambda pair: F.struct(pair["key"].alias("key"), F.to_json(pair["value"]).alias("value")),
-    )
-    return F.to_json(F.map_from_entries(F.array_sort(pairs)))
+    return F.to_json(F.map_filter(json_members(data), lambda key, _: ~key.isin(*exclude)))
 
 
 def record_hash_json(data: Column | str, exclude: Sequence[str] = UNHASHED_FIELDS) -> Column:

@@ -9,8 +9,11 @@ from stratalake.functions.text import as_column
 
 
 def json_members(data: Column | str) -> Column:
-    """Top-level members of a JSON object as ``map<string, variant>``."""
-    return F.from_json(as_column(data), "map<string,variant>")
+    """Top-level members of a JSON object as ``map<string, variant>``, in key order.
+
+    NULL for text that is no JSON object or names a member twice.
+    """
+    return F.try_variant_get(F.try_parse_json(as_column(data)), "$", "map<string,variant>")
 
 
 def merge_json(base: Column | str, update: Column | str, overwrite: bool = True) -> Column:

@@ -20,7 +20,8 @@ def load_raw(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = False
 
     What is loaded is decided by the raw table itself, so there is no side file that could get
     ahead of it: after a failed append the records are still new. Running a batch again adds
-    nothing.
+    nothing. To be compared with a table, the batch is staged, so that it is read and hashed
+    once and the comparison reads the hashes alone.
     """
 
     def job(metrics: JobMetrics) -> Status:
@@ -29,6 +30,10 @@ def load_raw(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = False
         read = Observation()
         counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
         loaded = None if skip_dedup else read_raw(raw.sparkSession, layout.raw(name))
+        if loaded is not None:
+            staging = f"{layout.staging(name)}/batch"
+            counted.write.mode("overwrite").parquet(staging)
+            counted = raw.sparkSession.read.parquet(staging)
         fresh = new_records(counted, loaded, skip_dedup)
         metrics.rows_output = append_raw(fresh, layout.raw(name))
         metrics.rows_input = read.get["rows"]

@@ -26,7 +26,11 @@ def stream_raw(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_raw(new_records(to_raw(batch), read_raw(batch.sparkSession, path)), path)
+        raw = to_raw(batch).persist()
+        try:
+            append_raw(new_records(raw, read_raw(batch.sparkSession, path)), path)
+        finally:
+            raw.unpersist()
 
     return (
         records.writeStream.foreachBatch(load)

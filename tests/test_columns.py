@@ -117,10 +117,12 @@ def test_record_hash_json(spark):
         ('{"id":1,"a":{"x":1,"y":[2,1]},"_resource":"r"}',),
         ('{"id":1,"a":{"x":1,"y":[1,2]},"_resource":"r","b":null}',),
         ("not json",),
+        ('{"a":1,"a":2}',),
+        ('{"a":1,"a":3}',),
     ]
     got = values(spark, "c string", rows, digest.record_hash_json("c"))
     assert got[0] == got[1]
-    assert len(set(got)) == 6
+    assert len(set(got)) == 8
     assert all(len(h) == 64 for h in got)
 
 

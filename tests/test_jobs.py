@@ -16,6 +16,7 @@ from stratalake.plans.run import run_layers
 from stratalake.plans.star import refresh_fact, refresh_star
 from stratalake.sinks import dimension, upsert, writer
 from stratalake.sources import workspace
+from stratalake.sources.tables import look_back
 from stratalake.specs import CLIENTS, DIMENSIONS, FACTS, RESOURCES
 from stratalake.catalog.feeds import raw_feed
 
@@ -112,6 +113,16 @@ def test_load_raw(spark, scratch):
     assert load_raw(json_rows(spark, "{}").limit(0), "y", layout).status == Status.NO_DATA
 
 
+def test_look_back_prunes_load_dates(spark, scratch):
+    for at in (datetime(2024, 4, 1), NOW):
+        writer.append_raw(json_rows(spark, {"id": 1, "at": str(at)}, at=at), f"{scratch}/r")
+    recent = look_back(writer.read_raw(spark, f"{scratch}/r"), NOW, 14)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan
+    assert "GreaterThanOrEqual(loaded_at" in plan
+    assert recent.count() == 1
+
+
 def test_batch_stops_at_first_failure(spark, scratch):
     layout = Layout(scratch)
     good = json_rows(spark, {"id": 1})
