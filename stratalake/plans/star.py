@@ -13,7 +13,7 @@ from stratalake.operators.modeling import date_rows, dimension_rows, fact_rows,
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.dimension import read_dimension, update_dimension
-from stratalake.sinks.upsert import read_keyed, upsert_table
+from stratalake.sinks.upsert import BUCKET, finish_pending, read_keyed, upsert_table
 from stratalake.sinks.writer import Mode, write_table
 from stratalake.specs import DATE_DIMENSION, DATE_DIMENSION_RANGE, DIMENSIONS, FACTS, DimensionSpec, FactSpec
 
@@ -119,6 +119,7 @@ def refresh_fact(
             upsert_table(facts, layout.star(spec.name), [spec.key], layout.staging(spec.name), layout.buckets)
             metrics.rows_output = facts.count()
         else:
+            finish_pending(spark, layout.staging(spec.name), layout.star(spec.name), BUCKET)
             metrics.rows_output = write_table(facts, layout.star(spec.name), mode)
         metrics.rows_input = metrics.rows_output
         return Status.SUCCESS

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.digest import surrogate_key
 from stratalake.operators.history import VALIDITY, next_history
-from stratalake.sinks.upsert import publish_partitions
+from stratalake.sinks.upsert import finish_pending, publish_staged
 from stratalake.sources.workspace import read_if_written
 
 CLOSED_ON = "closed_on"
@@ -39,6 +39,8 @@ def update_dimension(
     """Bring a dimension up to date with one row per key; returns rows new and changed."""
     spark = incoming.sparkSession
     compare = list(compare or [c for c in incoming.columns if c not in keys])
+    if not rebuild:
+        finish_pending(spark, staging, path, CLOSED_ON)
     history = None if rebuild else read_if_written(spark, path)
     if history is not None:
         open_or_today = F.col(CLOSED_ON).isNull() | (F.col(CLOSED_ON) == F.lit(as_of.date()))
@@ -52,10 +54,10 @@ def update_dimension(
         *VALIDITY,
         F.to_date("valid_to").alias(CLOSED_ON),
     )
-    state.write.mode("overwrite").parquet(f"{staging}/state")
-    staged = spark.read.parquet(f"{staging}/state")
+    state.write.mode("overwrite").parquet(f"{staging}/merged")
     if rebuild:
+        staged = spark.read.parquet(f"{staging}/merged")
         staged.hint("rebalance", CLOSED_ON).write.mode("overwrite").partitionBy(CLOSED_ON).parquet(path)
     else:
-        publish_partitions(staged, path, CLOSED_ON)
+        publish_staged(spark, staging, path, CLOSED_ON)
     return dict(counts.get)

@@ -3,8 +3,8 @@
 A table is divided into a fixed number of hash buckets of its key, one directory each. An
 upsert reads and replaces only the buckets its source rows fall into. The merged rows are
 first written to a staging folder and then published with Spark's dynamic partition
-overwrite, so the table is never read and replaced by the same job, and a run that is cut
-short is completed by running it again.
+overwrite, so the table is never read and replaced by the same job. A publication that is cut
+short is completed from the staged rows when the next upsert starts.
 """
 
 from __future__ import annotations
@@ -39,6 +39,25 @@ def publish_partitions(staged: DataFrame, path: str, partition: str) -> None:
     )
 
 
+def _set_pending(spark: SparkSession, staging: str, pending: bool) -> None:
+    spark.range(1 if pending else 0).write.mode("overwrite").parquet(f"{staging}/pending")
+
+
+def publish_staged(spark: SparkSession, staging: str, path: str, partition: str) -> None:
+    """Publish the rows staged under ``merged``, marked as pending until it is done."""
+    _set_pending(spark, staging, True)
+    publish_partitions(spark.read.parquet(f"{staging}/merged"), path, partition)
+    _set_pending(spark, staging, False)
+
+
+def finish_pending(spark: SparkSession, staging: str, path: str, partition: str) -> None:
+    """Complete a publication that an earlier run was cut off in. The staged rows are whole
+    partitions, so publishing them once more does no harm."""
+    pending = read_if_written(spark, f"{staging}/pending", "id bigint")
+    if pending is not None and not pending.isEmpty():
+        publish_staged(spark, staging, path, partition)
+
+
 def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a keyed table, or None before the first write."""
     table = read_if_written(spark, path)
@@ -75,6 +94,7 @@ def upsert_table(
     table already.
     """
     spark = source.sparkSession
+    finish_pending(spark, staging, path, BUCKET)
     if source.isEmpty():
         return
     columns = [c for c in source.columns if not c.startswith("_")]
@@ -98,7 +118,7 @@ def upsert_table(
     touched = [row[0] for row in incoming.select(BUCKET).distinct().collect()]
     merged = merge_rows(table.where(F.col(BUCKET).isin(touched)), incoming, keys)
     merged.write.mode("overwrite").parquet(f"{staging}/merged")
-    publish_partitions(spark.read.parquet(f"{staging}/merged"), path, BUCKET)
+    publish_staged(spark, staging, path, BUCKET)
 
 
 def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str]) -> None:

@@ -79,6 +79,22 @@ def test_upsert_table_touches_only_its_buckets(spark, scratch):
     assert upsert.read_keyed(spark, path).count() == 201
 
 
+def test_interrupted_publication_is_completed(spark, scratch, monkeypatch):
+    path, staging = f"{scratch}/t", f"{scratch}/s"
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
+    upsert.upsert_table(frame((1, "a"), (2, "a")), path, ["k"], staging, buckets=4)
+
+    def cut_off(*args):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(upsert, "publish_partitions", cut_off)
+        with pytest.raises(RuntimeError):
+            upsert.upsert_table(frame((1, "b")), path, ["k"], staging, buckets=4)
+    upsert.upsert_table(frame((2, "c")), path, ["k"], staging, buckets=4)
+    assert sorted(map(tuple, upsert.read_keyed(spark, path).collect())) == [(1, "b"), (2, "c")]
+
+
 def test_parquet_tables_cannot_merge_in_place(spark, scratch):
     spark.range(3).selectExpr("id AS k", "'a' AS v").write.option("path", f"{scratch}/m").saveAsTable("merge_target")
     with pytest.raises(PySparkException, match="MERGE INTO"):
