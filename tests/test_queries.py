@@ -10,8 +10,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry
 from tests.compare import difference, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from stratalake import catalog
+
+QUERIES = catalog.QUERIES
+SQL = catalog.SQL
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,8 @@ def test_query_matches_sql(spark, folder, con, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
