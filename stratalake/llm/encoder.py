@@ -4,50 +4,72 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: The splitting pattern of the word vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A single space between two other characters always begins a token of a byte-level vocabulary.
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-#: Words kept per task before the memory starts anew.
+#: Letters that are one code point in every normal form and in either case.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-þ]+")
+#: Signs that stand together in one token, apart from letters, where they end a word.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words remembered per task, in each of two generations.
 WORDS_KEPT = 400_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: visible Latin-1 signs as they are, others from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Words(dict):
-    """Ids of a word, encoded when first asked for."""
+    """Ids of a word, encoded when first asked for; words long unused are forgotten."""
 
-    def __init__(self, tokenizer: Tokenizer, lead: str, fold: bool):
-        self.tokenizer, self.model, self.lead, self.fold = tokenizer, tokenizer.model, lead, fold
-        self.mark = "Ġ" if lead else ""
+    def __init__(self, tokenizer: Tokenizer, lead: str, fold: bool, short: bool):
+        self.tokenizer, self.lead, self.fold, self.short = tokenizer, lead, fold, short
+        self.tokenize, self.mark = tokenizer.model.tokenize, "Ġ" if lead else ""
+        self.signs: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = ids = self.encode(word)
+        if (ids := self.old.get(word)) is None:
+            if self.short and word.isascii() and word.isalpha() and not (self.fold and not word.islower()):
+                ids = _packed([t.id for t in self.tokenize(self.mark + word)])
+            else:
+                ids = self.encode(word)
+        self[word] = ids
         return ids
 
     def encode(self, word: str) -> bytes:
-        # A letter word with one stop or comma: two tokens that never merge.
-        if len(word) > 1 and word[-1] in ".," and word[-2].isascii() and word[-2].isalpha():
-            return self[word[:-1]] + self.stop(word[-1])
-        if word.isascii() and word.isalpha():
+        if self.short and (stem := word.rstrip(SIGNS)) and LETTERS.fullmatch(stem):
+            if len(stem) < len(word):
+                tail = word[len(stem) :]
+                if tail not in self.signs:
+                    if len(self.signs) > WORDS_KEPT:
+                        self.signs.clear()
+                    self.signs[tail] = _packed([t.id for t in self.tokenize(tail)])
+                return self[stem] + self.signs[tail]
             if self.fold and not word.islower():
                 return self[word.lower()]
-            return _packed([t.id for t in self.model.tokenize(self.mark + word)])
+            return _packed([t.id for t in self.tokenize(self.mark + word.encode().decode("latin-1").translate(BYTE_LETTERS))])
         return _packed(self.tokenizer.encode(self.lead + word, add_special_tokens=False).ids)
 
-    @lru_cache(maxsize=4)
-    def stop(self, sign: str) -> bytes:
-        return _packed([t.id for t in self.model.tokenize(sign)])
-
-    def __hash__(self) -> int:
-        return id(self)
+    def age(self) -> None:
+        if len(self) > WORDS_KEPT:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -70,8 +92,8 @@ class Encoder:
             self.kind = "words"
         elif splits.get("type") == "ByteLevel" and not splits["add_prefix_space"] and not config.get("normalizer"):
             self.kind = "bytes"
-        self.first = _Words(self.tokenizer, "", self.kind == "words")
-        self.rest = _Words(self.tokenizer, " ", False)
+        self.first = _Words(self.tokenizer, "", self.kind == "words", self.kind != "")
+        self.rest = _Words(self.tokenizer, " ", False, self.kind != "")
         self.newline = self.whole("\n") if self.kind == "bytes" else b""
 
     def whole(self, text: str) -> bytes:
@@ -81,9 +103,8 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        for words in (self.first, self.rest):
-            if len(words) > WORDS_KEPT:
-                words.clear()
+        self.first.age()
+        self.rest.age()
         if self.kind == "words":
             return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
         if self.kind != "bytes":
@@ -92,6 +113,9 @@ class Encoder:
         for line in text.split("\n"):
             words = line.split(" ")
             if words != line.split():
-                return b"".join(self.whole(part) for part in BEFORE_SPACE.split(text))
+                return b"".join(
+                    self.rest[part[1:]] if part[0] == " " and part[1:2] > " " else self.first[part]
+                    for part in BEFORE_SPACE.split(text)
+                )
             out.append(self.first[words[0]] + b"".join(map(self.rest.__getitem__, words[1:])))
         return self.newline.join(out)
