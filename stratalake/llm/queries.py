@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm import packing, token_files
-from stratalake.llm.common import new_folder, tables
+from stratalake.llm import packing, quality, site_lines, token_files, toxicity
+from stratalake.llm.common import held_out, new_folder, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,6 +20,21 @@ def query(function):
     return function
 
 
+def judged(scores: DataFrame, doc_id: str, threshold: float) -> list:
+    """The columns that the score of a classifier is returned with."""
+    return [
+        F.col(doc_id), held_out(doc_id).alias("held_out"), F.col("score"),
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    ]
+
+
+@query
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = tables(spark, sf_dir, "documents", "labels")
+    scores = quality.score_quality(docs, quality.fit(docs, labels))
+    return scores.select(judged(scores, "doc_id", quality.THRESHOLD))
+
+
 @query
 def op4_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
@@ -26,6 +42,24 @@ def op4_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequence_numbers(pieces).drop("part", "pos")
 
 
+@query
+def op6_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = tables(spark, sf_dir, "documents", "labels")
+    scores = toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
+    scores = scores.select("row.doc_id", "score", "evidence")
+    return scores.select(*judged(scores, "doc_id", toxicity.THRESHOLD), "evidence")
+
+
+@query
+def op9_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    cut = site_lines.drop_site_lines(docs)
+    return cut.select("row.doc_id", "n_lines", "n_dropped", "row.n_chars", F.md5("row.text").alias("text_md5"))
+
+
+SQL["op9_site_lines"] = site_lines.SQL
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
