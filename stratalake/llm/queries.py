@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import packing, quality, site_lines, token_files, toxicity
+from stratalake.llm import decontamination, packing, pii, quality, site_lines, token_files, toxicity
 from stratalake.llm.common import held_out, new_folder, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,18 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(judged(scores, "doc_id", quality.THRESHOLD))
 
 
+@query
+def op2_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = tables(spark, sf_dir, "documents", "benchmark")
+    return decontamination.leaks(docs, benchmark).drop("text_key")
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs)
+
+
 @query
 def op4_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
