@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, packing, pii, quality, site_lines, token_files, toxicity
+from stratalake.llm import decontamination, packing, pii, quality, repeats, site_lines, token_files, toxicity
 from stratalake.llm.common import held_out, new_folder, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,14 @@ def op6_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(*judged(scores, "doc_id", toxicity.THRESHOLD), "evidence")
 
 
+@query
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op9_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
