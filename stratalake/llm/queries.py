@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, packing, pii, quality, repeats, site_lines, token_files, toxicity
+from stratalake.llm import decontamination, packing, pii, quality, repeats, shingle_join, site_lines, token_files, toxicity
 from stratalake.llm.common import held_out, new_folder, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op4_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequence_numbers(pieces).drop("part", "pos")
 
 
+@query
+def op5_shingle_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return shingle_join.similar_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op6_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = tables(spark, sf_dir, "documents", "labels")
