@@ -21,6 +21,8 @@ COUNTERS, PARTS = 1 << 20, 256
 #: Sets above this size are never worth their subsets.
 LARGEST_SMALL = 256
 WORDS_KEPT = 400_000
+#: Slots of the filter that picks the sets to verify: two to this power.
+FILTER_BITS = 23
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _HIGH = np.uint64(64 - 20)
 
@@ -52,6 +54,10 @@ def shingle_set(data: bytes, words: _Digests, width: int = SHINGLE_WORDS) -> np.
     return np.unique(_mixed(sums))
 
 
+def _set_id(hashes: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(hashes) - (1 << 63)
+
+
 def prefix_length(n: int, shared: int, percent: int = PERCENT) -> int:
     """How many first shingles, in any one order, hold `shared` that two similar sets have in common."""
     return min(n, n - (percent * n + 99) // 100 + shared)
@@ -133,7 +139,7 @@ def _sets(docs: DataFrame, counts: np.ndarray, small: int, width: int, percent:
             ids, sizes, keys = [], [], []
             for data in raw_bytes(batch.column("text")):
                 hashes = shingle_set(data, words, width)
-                key = xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) if len(hashes) else None
+                key = _set_id(hashes.tobytes()) if len(hashes) else None
                 ids.append(key)
                 sizes.append(len(hashes))
                 fresh = key is not None and key not in seen
@@ -204,6 +210,43 @@ def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(verify, "a long, b long")
 
 
+def _bits(ids: DataFrame) -> np.ndarray:
+    """Which of a fixed number of slots the ids fall into; the size is the same for any number of ids."""
+    slot = F.shiftrightunsigned("set_id", 64 - FILTER_BITS)
+    slots = ids.select(F.shiftright(slot, 15).cast("int").alias("part"), slot.bitwiseAND(32767).cast("int").alias("slot")).distinct()
+
+    def pack(table: pa.Table) -> pa.Table:
+        held = np.zeros(1 << 15, bool)
+        held[table["slot"].to_numpy()] = True
+        return pa.table({"part": table["part"][:1], "held": pa.array([np.packbits(held).tobytes()], pa.binary())})
+
+    out = np.zeros((1 << FILTER_BITS - 15, 1 << 12), np.uint8)
+    for r in slots.groupBy("part").applyInArrow(pack, "part int, held binary").collect():
+        out[r.part] = np.frombuffer(bytes(r.held), np.uint8)
+    return out.ravel()
+
+
+def _members(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(set_id, hashes) of the asked sets, computed again where the texts lie: no text is shuffled."""
+    need = written(ids.distinct(), "needed")
+    packed = _bits(need)
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digests, seen, held = _Digests(), set(), np.unpackbits(packed).view(bool)
+        for batch in (s for b in batches for s in slices(b)):
+            ids, hashes = [], []
+            for data in raw_bytes(batch.column("text")):
+                found = shingle_set(data, digests, width).tobytes()
+                if found and (key := _set_id(found)) not in seen and held[(key & (1 << 64) - 1) >> (64 - FILTER_BITS)]:
+                    seen.add(key)
+                    ids.append(key)
+                    hashes.append(found)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.binary())], ["set_id", "hashes"])
+
+    found = docs.select("text").mapInArrow(full, "set_id long, hashes binary").join(need, "set_id", "left_semi")
+    return written(found.groupBy("set_id").agg(F.first("hashes").alias("hashes")), "members")
+
+
 def _near(n: str, m: str, percent: int):
     """Whether sets of sizes n <= m can be similar at all."""
     return F.col(n) * 100 >= F.col(m) * percent
@@ -234,27 +277,10 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
 
     sets = written(_sets(docs, counts, small, width, percent), "sets")
     shared = written(_shared_lists(sets), "lists")
-    need = shared.select("set_id").distinct()
-    holder = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("text_key").alias("text_key")).join(need, "set_id")
-    texts = docs.select("text", F.xxhash64("text").alias("text_key")).join(holder, "text_key")
-
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests, seen = _Digests(), set()
-        for batch in (s for b in batches for s in slices(b)):
-            ids, hashes = [], []
-            for key, data in zip(batch["set_id"].to_pylist(), raw_bytes(batch.column("text"))):
-                if key in seen:  # copies of a text
-                    continue
-                seen.add(key)
-                found = shingle_set(data, digests, width).tobytes()
-                if xxhash.xxh3_64_intdigest(found) - (1 << 63) == key:
-                    ids.append(key)
-                    hashes.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.binary())], ["set_id", "hashes"])
-
-    members = written(texts.mapInArrow(full, "set_id long, hashes binary"), "members")
     first = shared.filter(F.col("last_id").isNotNull() & _near("last_n", "n", percent))
     first = written(first.select(F.least("last_id", "set_id").alias("a"), F.greatest("last_id", "set_id").alias("b")).distinct(), "pairs")
+    # Entries are sorted by size, so a set that fits any other of its list also fits a neighbour: no others are needed.
+    members = _members(docs, first.select(F.col("a").alias("set_id")).unionByName(first.select(F.col("b").alias("set_id"))), width)
     links = written(_links(first, members, percent).distinct(), "links")
     label = components(links).select(F.col("a").alias("set_id"), F.col("b").alias("label"))
 
