@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, packing, pii, quality, repeats, shingle_join, site_lines, token_files, toxicity
+from stratalake.llm import decontamination, forest, packing, pii, quality, repeats, shingle_join, site_lines, token_files, toxicity
 from stratalake.llm.common import held_out, new_folder, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (embeddings,) = tables(spark, sf_dir, "embeddings")
+    return forest.nearest(embeddings, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op9_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
