@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import written
 
 NEAREST = 10
-TREES = 10
+TREES = 16
 #: Vectors that the trees are fitted on, at most, and rows that a leaf should hold.
 SAMPLE = 20_000
-LEAF_ROWS = 128
-#: Leaves that a query visits over all trees, at least.
-VISITED = 40
+LEAF_ROWS = 256
+#: Queries that are compared with all rows to choose how many leaves to visit, and the recall wanted of them.
+TRIALS, RECALL = 200, 0.96
 #: Rows of a leaf, and queries to it, that one task compares at a time.
 CHUNK = 20_000
 
@@ -124,15 +124,50 @@ def _closest(queries: np.ndarray, names: np.ndarray, rows: np.ndarray, ids: np.n
             yield int(name), int(ids[other[i]]), float(exact[i])
 
 
+def _visits_for(index: DataFrame, forest: Forest, dim: int, k: int, trials: int, recall: float) -> int:
+    """How many leaves queries must visit so that `recall` of the true neighbours of trial queries are found.
+
+    Each task compares its rows with the trial queries and keeps k for each, so all rows are read
+    and at most `trials` * k rows a task go on.
+    """
+    chosen = index.filter("is_query").select("vec_id", "vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(trials).collect()
+    queries, names = np.array([r.vector for r in chosen], np.float64).reshape(-1, dim), [r.vec_id for r in chosen]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list[tuple[float, int, list[int]]]] = [[] for _ in names]
+        for batch in batches:
+            rows, ids = _matrix(batch["vector"], dim), batch["vec_id"].to_numpy()
+            leaves = batch["leaves"].flatten().to_numpy().reshape(len(rows), -1)
+            near = (rows * rows).sum(1) - 2 * queries @ rows.T
+            for q, name in enumerate(names):
+                far = np.where(ids == name, np.inf, near[q])
+                few = np.argpartition(far, k)[:k] if len(far) > k else np.arange(len(far))
+                found = [(float(far[i]), int(ids[i]), leaves[i].tolist()) for i in few.tolist() if far[i] < np.inf]
+                best[q] = sorted(best[q] + found)[:k]
+        rows = [(q, d, i, x) for q, found in enumerate(best) for d, i, x in found]
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        kinds = (pa.int32(), pa.float64(), pa.int64(), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["query", "near", "vec_id", "leaves"])
+
+    found = index.select("vec_id", "vector", "leaves").mapInArrow(scan, "query int, near double, vec_id long, leaves array<int>")
+    order = Window.partitionBy("query").orderBy("near", "vec_id")
+    found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query", "leaves").collect()
+    whole = forest.search(queries, np.zeros(max(forest.leaves, 1), np.int64), forest.leaves, 0)
+    ranks = [{leaf: i + 1 for i, leaf in enumerate(order)} for order in whole]
+    needed = sorted(min(ranks[r.query][leaf] for leaf in r.leaves) for r in found)
+    return needed[min(len(needed) - 1, int(recall * len(needed)))] if needed else 1
+
+
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = NEAREST, id: str = "vec_id", vector: str = "embedding",
-    trees: int = TREES, visited: int = VISITED, sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS,
+    trees: int = TREES, recall: float = RECALL, trials: int = TRIALS, sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each query by Euclidean distance.
 
     Trees are fitted on up to `sample` vectors, chosen by a digest of their id; every row is indexed
-    in every tree. A query takes the rows of the leaves nearest to it and ranks them by exact
-    distance in double precision, ties to the smaller id. A leaf of many rows or queries is
+    in every tree. Up to `trials` queries are first compared with all rows, to choose the number of
+    leaves that gives them `recall`. A query takes the rows of the leaves nearest to it and ranks them
+    by exact distance in double precision, ties to the smaller id. A leaf of many rows or queries is
     compared in chunks by several tasks. With few rows all are compared.
 
     Vectors that are null, empty, zero, of another length than most, or hold null or non-finite components
@@ -163,6 +198,7 @@ def nearest(
     counts = np.zeros(max(forest.leaves, 1), np.int64)  # as many as the sample gave leaves
     for r in index.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect():
         counts[r.leaf] = r.n
+    visited = _visits_for(index, forest, dim, k, trials, recall)
     enough = trees * (k + 1)  # rows that share an id aside, k others for certain
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
