@@ -21,6 +21,8 @@ COUNTERS, PARTS = 1 << 20, 256
 #: Sets above this size are never worth their subsets.
 LARGEST_SMALL = 256
 WORDS_KEPT = 400_000
+#: Entries of a list that are compared with as many others at a time.
+BLOCK = 2_000
 #: Slots of the filter that picks the sets to verify: two to this power.
 FILTER_BITS = 23
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -97,8 +99,11 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
-    """The largest size of a small set, at least cost: subsets written against list entries read."""
+def boundary(sizes: dict[int, int], percent: int) -> int:
+    """The largest size of a small set, at least cost: subsets written against list entries written and read.
+
+    Rare shingles come first, so a list is mostly as short as a subset's; it is read a second time.
+    """
 
     def subsets(n: int) -> int:
         p = prefix_length(n, 2, percent)
@@ -106,7 +111,7 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
 
     def cost(b: int) -> float:
         small = sum(k * subsets(n) for n, k in sizes.items() if n <= b)
-        return small + sum(k * prefix_length(n, 1, percent) * (1 + list_length) for n, k in sizes.items() if 100 * n > percent * b)
+        return small + sum(2 * k * prefix_length(n, 1, percent) for n, k in sizes.items() if 100 * n > percent * b)
 
     return min(range(LARGEST_SMALL + 1), key=lambda b: (cost(b), b))
 
@@ -127,6 +132,23 @@ def keys_of(hashes: np.ndarray, counts: np.ndarray, small: int, percent: int) ->
     return np.concatenate(out) if out else hashes[:0]
 
 
+def profile(hashes: np.ndarray) -> bytes:
+    """How many shingles fall into each of 256 classes; the least common counts bound an intersection from above."""
+    counts = np.bincount((hashes & np.uint64(255)).astype(np.int64), minlength=256)
+    return counts.astype("<u2" if counts.max() > 255 else "u1").tobytes()
+
+
+def _profiles(column) -> np.ndarray:
+    wide = [np.frombuffer(x, "u1" if len(x) == 256 else "<u2") for x in column.to_pylist()]
+    return np.array(wide, np.uint16).reshape(-1, 256)
+
+
+def _may_link(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of two profile matrices can belong to similar sets."""
+    both = np.minimum(left, right).sum(1, dtype=np.int64)
+    return 100 * both >= percent * (left.sum(1, dtype=np.int64) + right.sum(1, dtype=np.int64) - both)
+
+
 def _sets(docs: DataFrame, counts: np.ndarray, small: int, width: int, percent: int) -> DataFrame:
     """Per row its set's digest and size; the first row of a set in a task also brings the set's keys."""
     source = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
@@ -136,7 +158,7 @@ def _sets(docs: DataFrame, counts: np.ndarray, small: int, width: int, percent:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Digests(), set()
         for batch in (s for b in batches for s in slices(b)):
-            ids, sizes, keys = [], [], []
+            ids, sizes, keys, profiles = [], [], [], []
             for data in raw_bytes(batch.column("text")):
                 hashes = shingle_set(data, words, width)
                 key = _set_id(hashes.tobytes()) if len(hashes) else None
@@ -145,15 +167,16 @@ def _sets(docs: DataFrame, counts: np.ndarray, small: int, width: int, percent:
                 fresh = key is not None and key not in seen
                 seen.add(key)
                 keys.append(keys_of(hashes, compact, small, percent).tobytes() if fresh else b"")
+                profiles.append(profile(hashes) if fresh else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_key"), pa.array(ids, pa.int64()),
-                    pa.array(sizes, pa.int64()), lists(keys, "<i8", pa.int64()),
+                    pa.array(sizes, pa.int64()), lists(keys, "<i8", pa.int64()), pa.array(profiles, pa.binary()),
                 ],
-                ["doc_id", "text_key", "set_id", "n_shingles", "keys"],
+                ["doc_id", "text_key", "set_id", "n_shingles", "keys", "profile"],
             )
 
-    return source.mapInArrow(cut, f"doc_id {kind}, text_key long, set_id long, n_shingles long, keys array<long>")
+    return source.mapInArrow(cut, f"doc_id {kind}, text_key long, set_id long, n_shingles long, keys array<long>, profile binary")
 
 
 def _shared_lists(sets: DataFrame) -> DataFrame:
@@ -192,8 +215,83 @@ def _shared_lists(sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(scan, "key long, set_id long, n long, last_id long, last_n long")
 
 
-def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose profiles allow the similarity."""
+    one = profiles.select(F.col("set_id").alias("a"), F.col("profile").alias("left"))
+    two = profiles.select(F.col("set_id").alias("b"), F.col("profile").alias("right"))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = pa.array(_may_link(_profiles(batch["left"]), _profiles(batch["right"]), percent))
+            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], ["a", "b"])
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(test, "a long, b long")
+
+
+def _across(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a list whose sets have different labels and may be similar by size and profile.
+
+    A list is dealt out in blocks of BLOCK entries; each pair of blocks is compared by one task, and
+    only what the profiles allow leaves it. So no list is gathered, and no list's pairs are written.
+    """
+    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
+    dealt = entries.withColumn("blocks", blocks).withColumn("mine", mine)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "set_id", "n", "label", "profile"
+    )
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def pairs_of(rows: list[tuple], i: int, j: int) -> Iterator[tuple[int, int]]:
+        if len(rows) < 2:
+            return
+        mine, ids, n, label = (np.array([r[c] for r in rows]) for c in range(4))
+        wide = np.array([np.frombuffer(r[4], "u1" if len(r[4]) == 256 else "<u2") for r in rows], np.uint16)
+        left = np.flatnonzero(mine == i)
+        right = np.flatnonzero(mine == j)
+        for x in left.tolist():
+            near = right[(label[right] != label[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
+            near = near[ids[near] > ids[x]] if i == j else near[ids[near] != ids[x]]
+            if len(near):
+                for y in near[_may_link(wide[near], wide[x][None], percent)].tolist():
+                    yield min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y]))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows, seen = None, [], set()
+
+        def close() -> list[tuple[int, int]]:
+            if at is None:
+                return []
+            fresh = [p for p in pairs_of(rows, at[1], at[2]) if p not in seen]
+            if len(seen) > WORDS_KEPT:
+                seen.clear()
+            seen.update(fresh)
+            return fresh
+
+        for batch in batches:
+            out = []
+            columns = [batch[c].to_pylist() for c in ("key", "i", "j", "mine", "set_id", "n", "label", "profile")]
+            for key, i, j, *row in zip(*columns):
+                if (key, i, j) != at:
+                    out += close()
+                    at, rows = (key, i, j), []
+                rows.append(row)
+            yield _pairs(out)
+        yield _pairs(close())
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(columns[:, 0]), pa.array(columns[:, 1])], ["a", "b"])
+
+
+def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by exact intersection."""
+    ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
+    members = _members(docs, ids, width)
     one = members.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
     two = members.select(F.col("set_id").alias("b"), F.col("hashes").alias("right"))
 
@@ -267,40 +365,36 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
     A component without any doc_id has none. No rows give no rows; other columns are not read.
     """
     counts = sketch(docs, width)
-    hot = float((counts.astype(float) ** 2).sum() / max(counts.sum(), 1))  # mean counter of a shingle
-    excess = max(0.0, hot - counts.mean())
     # Sizes are those of texts in words: an upper bound of the set's size is enough to weigh costs.
     words = F.size(F.split(F.trim("text"), r"\s+")) - (width - 1)
     spread = docs.groupBy(F.least(F.greatest(words, F.lit(1)), F.lit(2 * LARGEST_SMALL)).alias("n")).agg(F.count("*").alias("k"))
     sizes = {r.n: r.k for r in spread.collect() if r.n is not None}
-    small = boundary(sizes, excess, percent)
+    small = boundary(sizes, percent)
 
     sets = written(_sets(docs, counts, small, width, percent), "sets")
     shared = written(_shared_lists(sets), "lists")
+    profiles = sets.filter("profile IS NOT NULL").select("set_id", "profile")
+    profiles = profiles.join(shared.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.first("profile").alias("profile"))
+    profiles = written(profiles, "profiles")
     first = shared.filter(F.col("last_id").isNotNull() & _near("last_n", "n", percent))
-    first = written(first.select(F.least("last_id", "set_id").alias("a"), F.greatest("last_id", "set_id").alias("b")).distinct(), "pairs")
-    # Entries are sorted by size, so a set that fits any other of its list also fits a neighbour: no others are needed.
-    members = _members(docs, first.select(F.col("a").alias("set_id")).unionByName(first.select(F.col("b").alias("set_id"))), width)
-    links = written(_links(first, members, percent).distinct(), "links")
+    first = first.select(F.least("last_id", "set_id").alias("a"), F.greatest("last_id", "set_id").alias("b")).distinct()
+    first = written(_possible(first, profiles, percent), "pairs")
+    links = written(_links(docs, first, width, percent), "links")
     label = components(links).select(F.col("a").alias("set_id"), F.col("b").alias("label"))
 
     held = shared.select("key", "set_id", "n").join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     held = written(held, "lists-labelled")
-    mixed = held.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    held = held.join(mixed, "key", "left_semi")
-    left = held.select("key", F.col("set_id").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-    right = held.select("key", F.col("set_id").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-    second = left.join(right, "key").filter("a < b AND al <> bl")
-    second = second.filter(F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent).select("a", "b").distinct()
+    mixed = held.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("length")).filter("lo < hi")
+    second = _across(held.join(mixed.select("key", "length"), "key").join(profiles, "set_id"), percent).distinct()
     second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(_links(second, members, percent)).distinct()
+    links = links.unionByName(_links(docs, second, width, percent)).distinct()
     label = components(written(links, "links")).select(F.col("a").alias("set_id"), F.col("b").alias("label"))
 
     least = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     least = least.join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     whole = least.groupBy("label").agg(F.min("least").alias("component"))
     of_set = least.select("set_id", "label").join(whole, "label").select("set_id", "component")
-    return sets.drop("keys").join(of_set, "set_id", "left").select(
+    return sets.drop("keys", "profile").join(of_set, "set_id", "left").select(
         "doc_id", "text_key", "set_id", "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
