@@ -109,6 +109,11 @@ def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
 
 
+def _apart(digests: DataFrame) -> DataFrame:
+    """Digests found in more than one run; a run that copies of a text brought in twice counts once."""
+    return digests.groupBy("h1", "h2").agg(F.min("run").alias("lo"), F.max("run").alias("hi")).filter("lo < hi").select("h1", "h2")
+
+
 def repeated_places(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
     """(k1, k2, places): per digest of a text the strings that start elsewhere too, as (start, number).
 
@@ -145,49 +150,50 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -
                 seen.add((k1, k2))
                 for x in asked:
                     part = data[x["start"] : x["start"] + x["n"] - 1 + length]
-                    rows.append((k1, k2, x["start"], x["n"], x["anchor"], x["n_rows"], part))
+                    run = _long(xxhash.xxh3_64_intdigest(b"%d %d %d" % (k1, k2, x["start"])))
+                    rows.append((run, k1, k2, x["start"], x["n"], x["anchor"], part))
             columns = list(zip(*rows)) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.binary())],
-                ["k1", "k2", "start", "n", "anchor", "n_rows", "part"],
+                ["run", "k1", "k2", "start", "n", "anchor", "part"],
             )
 
-    shape = "k1 long, k2 long, start long, n long, anchor long, n_rows long"
+    shape = "run long, k1 long, k2 long, start long, n long, anchor long"
     parts = written(wanted.mapInArrow(bytes_of, f"{shape}, part binary"), "runs-open")
 
+    names = ["run", "at", "h1", "h2"]
+    digests = "run long, at long, h1 long, h2 long"
+
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", "start", "step", "h1", "h2"]
         for batch in (s for b in batches for s in slices(b, "part")):
             rows = []
-            columns = [batch[c].to_pylist() for c in ("k1", "k2", "start", "n", "anchor", "part")]
-            for k1, k2, start, n, anchor, part in zip(*columns):
+            columns = [batch[c].to_pylist() for c in ("run", "start", "n", "anchor", "part")]
+            for run, start, n, anchor, part in zip(*columns):
                 near, far = anchor - start - n + 1, anchor - start
                 for step in range(near // STEP, far // STEP + 1):
                     a = anchor - start - step * STEP  # the string of the least offset begins here
-                    rows.append((k1, k2, start, step, *_halves(b"%d:" % step + part[max(a, 0) : a - STEP + 1 + length])))
+                    rows.append((run, step, *_halves(b"%d:" % step + part[max(a, 0) : a - STEP + 1 + length])))
             yield _columns(rows, names)
 
-    steps = parts.mapInArrow(second, "k1 long, k2 long, start long, step long, h1 long, h2 long")
-    steps = written(steps.distinct(), "runs-steps")  # copies in a task that was split
-    steps = steps.join(_repeated(steps, "h1", "h2"), ["h1", "h2"], "left_semi")
-    steps = steps.groupBy("k1", "k2", "start").agg(F.collect_set("step").alias("steps"))
+    steps = written(parts.drop("k1", "k2").mapInArrow(second, digests), "runs-steps")
+    steps = steps.join(_apart(steps), ["h1", "h2"], "left_semi")
+    steps = steps.groupBy("run").agg(F.collect_set("at").alias("steps"))
 
     def third(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", "start", "h1", "h2"]
         for batch in (s for b in batches for s in slices(b, "part")):
             rows = []
-            columns = [batch[c].to_pylist() for c in ("k1", "k2", "start", "n", "anchor", "part", "steps")]
-            for k1, k2, start, n, anchor, part, steps in zip(*columns):
+            columns = [batch[c].to_pylist() for c in ("run", "start", "n", "anchor", "part", "steps")]
+            for run, start, n, anchor, part, steps in zip(*columns):
                 for step in steps:
                     for offset in range(step * STEP, (step + 1) * STEP):
                         a = anchor - offset - start
                         if 0 <= a < n:
-                            rows.append((k1, k2, start + a, *_halves(part[a : a + length])))
+                            rows.append((run, a, *_halves(part[a : a + length])))
             yield _columns(rows, names)
 
-    strings = parts.join(steps, ["k1", "k2", "start"]).mapInArrow(third, "k1 long, k2 long, start long, h1 long, h2 long")
-    strings = written(strings.distinct(), "strings")
-    single = strings.join(_repeated(strings, "h1", "h2"), ["h1", "h2"], "left_semi")
+    strings = written(parts.drop("k1", "k2").join(steps, "run").mapInArrow(third, digests), "strings")
+    single = strings.join(_apart(strings), ["h1", "h2"], "left_semi").groupBy("run").agg(F.collect_set("at").alias("at"))
+    single = parts.drop("part").join(single, "run").withColumn("at", F.explode("at")).withColumn("start", F.col("start") + F.col("at"))
     single = single.select("k1", "k2", "start", F.lit(1).cast("long").alias("n"))
     every = done.unionByName(single)
     return every.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n")).alias("places"))
