@@ -44,6 +44,17 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode())
 
 
+class _Places(dict):
+    """Where the facts of a token stand; asked for an unknown token, has them learnt."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, token: str) -> int:
+        self[token] = i = self.learn(token)
+        return i
+
+
 class Canon:
     """Types and digests of the words of a text; what it learns of a word it remembers."""
 
@@ -52,39 +63,48 @@ class Canon:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places(self.learn)
         self.words: list[str] = []
-        self.facts: list[tuple[int, int, bool, bool]] = []  # kind, digest, ends a sentence, may be a unit
+        self.grow(1 << 12)
+
+    def grow(self, size: int) -> None:
+        held = len(self.words)
+        arrays = [np.zeros(size, t) for t in (np.int64, np.uint64, bool, bool)]
+        for new, old in zip(arrays, (self.kind, self.digest, self.ends, self.unit) if held else ()):
+            new[:held] = old[:held]
+        self.kind, self.digest, self.ends, self.unit = arrays
 
     def learn(self, token: str) -> int:
         word = token.strip(EDGES)
-        if NUMBER.fullmatch(word) or word.lower() in NUMBERS:
+        if word[:1].isalpha() and word.islower():
+            kind = NUM if word in NUMBERS else LITERAL
+        elif NUMBER.fullmatch(word) or word.lower() in NUMBERS:
             kind, word = NUM, word.lower()
         elif len(word) > 1 and word[0].isupper() and word[1:].islower():
             kind = NAME  # unless it begins a sentence
         else:
             kind, word = LITERAL, word.lower()
-        self.place[token] = i = len(self.words)
+        i = len(self.words)
+        if i == len(self.kind):
+            self.grow(2 * i)
         self.words.append(word)
-        end = token.rstrip("\"'”’)]")[-1:] in (".", "!", "?", ":") if token else False
-        self.facts.append((kind, _hash(word.lower()) if word else 0, end, kind == LITERAL and word in UNITS))
+        self.kind[i], self.digest[i] = kind, _hash(word.lower()) if word else 0
+        self.ends[i] = token.rstrip("\"'”’)]")[-1:] in (".", "!", "?", ":") if token else False
+        self.unit[i] = kind == LITERAL and word in UNITS
         return i
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Kind, digest and place in `words` of each word; tokens of signs alone are left out."""
         if len(self.words) > self.kept:
             self.forget()
-        place, learn = self.place, self.learn
-        found = [place[t] if t in place else learn(t) for t in text.split()]
-        at = np.array(found, np.int64)
+        found = text.split()
+        at = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
         if not len(at):
             return at, at.astype(np.uint64), at
-        facts = [self.facts[i] for i in found]
-        kind = np.fromiter((f[0] for f in facts), np.int64, len(at))
-        digest = np.fromiter((f[1] for f in facts), np.uint64, len(at))
-        begins = np.r_[True, np.fromiter((f[2] for f in facts), bool, len(at))[:-1]]
+        kind, digest = self.kind[at], self.digest[at]
+        begins = np.r_[True, self.ends[at[:-1]]]
         kind[begins & (kind == NAME)] = LITERAL
-        unit = np.fromiter((f[3] for f in facts), bool, len(at)) & np.r_[False, kind[:-1] == NUM]
+        unit = self.unit[at] & np.r_[False, kind[:-1] == NUM]
         kind[unit] = UNIT
         real = digest != 0
         digest = np.where(kind == LITERAL, digest, MARK_DIGESTS[kind])
