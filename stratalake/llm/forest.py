@@ -181,7 +181,7 @@ def nearest(
     kind = rows.schema["vector"].dataType.simpleString()
     total = rows.count()
     chosen = rows.select("vec_id", "vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    dim = Counter(len(r.vector) for r in chosen).most_common(1)[0][0] if chosen else 0
+    dim = Counter(len(r.vector) for r in chosen).most_common(1)[0][0] if chosen else 1
     fitted = np.array([r.vector for r in chosen if len(r.vector) == dim], np.float64).reshape(-1, dim)
     forest = Forest(fitted, trees, max(8, leaf_rows * len(fitted) // max(total, 1)))
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import lists, raw_bytes, slices, task, written
@@ -21,6 +22,10 @@ COUNTERS, PARTS = 1 << 20, 256
 #: Sets above this size are never worth their subsets.
 LARGEST_SMALL = 256
 WORDS_KEPT = 400_000
+#: Entries that make a list long.
+LONG_LIST = 8
+#: Shuffled orders of a long list.
+ORDERS = 3
 #: Entries of a list that are compared with as many others at a time.
 BLOCK = 2_000
 #: Slots of the filter that picks the sets to verify: two to this power.
@@ -215,6 +220,23 @@ def _shared_lists(sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(scan, "key long, set_id long, n long, last_id long, last_n long")
 
 
+def _shuffled_neighbours(shared: DataFrame, percent: int) -> DataFrame:
+    """Neighbours (last_id, set_id) in long lists, each list in an order of its own.
+
+    By size a group of near copies stands in the same order in all of its lists; this way a set meets
+    others of its group in every list, which joins the group to a component in the first round.
+    """
+    long = shared.groupBy("key").agg(F.count("*").alias("length")).filter(F.col("length") >= LONG_LIST).select("key")
+    entries = shared.join(long, "key", "left_semi")
+    out = []
+    for seed in range(ORDERS):
+        order = Window.partitionBy("key").orderBy(F.xxhash64("key", "set_id", F.lit(seed)), "set_id")
+        near = entries.select("set_id", "n", F.lag("set_id").over(order).alias("last_id"), F.lag("n").over(order).alias("last_n"))
+        fits = F.least("n", "last_n") * 100 >= F.greatest("n", "last_n") * percent
+        out.append(near.filter(F.col("last_id").isNotNull() & fits).select("last_id", "set_id"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def _possible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """The pairs whose profiles allow the similarity."""
     one = profiles.select(F.col("set_id").alias("a"), F.col("profile").alias("left"))
@@ -356,8 +378,8 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
     Rows link when their shingle sets have a Jaccard similarity of `percent` or more; component_id is
     the least doc_id that links reach. Sets that are equal are one set from the start. Sets
     up to a size chosen by cost are listed under the two-element subsets of their rarest shingles, larger
-    ones under their rarest shingles. A first round verifies neighbours in each list and joins them
-    to components; the second verifies every other pair of a list whose sets lie in
+    ones under their rarest shingles. A first round verifies neighbours in each list, by size
+    and in long lists also in shuffled orders, and joins them to components; the second verifies every other pair of a list whose sets lie in
     different components. So no link between components is lost, and groups of near copies
     are not expanded into all their pairs.
 
@@ -377,6 +399,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
     profiles = profiles.join(shared.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.first("profile").alias("profile"))
     profiles = written(profiles, "profiles")
     first = shared.filter(F.col("last_id").isNotNull() & _near("last_n", "n", percent))
+    first = first.select("last_id", "set_id").unionByName(_shuffled_neighbours(shared, percent))
     first = first.select(F.least("last_id", "set_id").alias("a"), F.greatest("last_id", "set_id").alias("b")).distinct()
     first = written(_possible(first, profiles, percent), "pairs")
     links = written(_links(docs, first, width, percent), "links")
