@@ -22,7 +22,7 @@ EXAMPLES = 3000
 #: Terms that the vectors may have, and the least chi-square of a term against the label.
 TERMS = 2000
 CHI_SQUARE = 15.0
-#: Examples that must hold a term: rarer words say nothing of texts to come.
+#: Examples that must hold a term, or a tenth of the toxic ones: rarer words say nothing of texts to come.
 LEAST_EXAMPLES = 6
 NEAREST = 25
 #: Examples in a block of the index.
@@ -42,7 +42,7 @@ def choose_terms(rows: list[tuple[Counter, int]]) -> list[bytes]:
     for w in {*seen[0], *seen[1]}:
         a, b = seen[1][w], seen[0][w]
         c, d = n[1] - a, n[0] - b
-        if a + b < LEAST_EXAMPLES:
+        if a + b < min(LEAST_EXAMPLES, max(2, n[1] // 10)):
             continue
         rest = (a + b) * (c + d) * n[1] * n[0]
         if rest and (chi := (a + b + c + d) * (a * d - b * c) ** 2 / rest) >= CHI_SQUARE and not 0.5 * a * n[0] < b * n[1] < 2 * a * n[0]:
