@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.digest import differs
 from stratalake.operators.dedup import as_timestamp
-from stratalake.operators.keys import any_null
+from stratalake.operators.keys import any_null, unique_keyed_rows
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -89,24 +89,28 @@ def next_history(
 
     A changed key closes its current version at ``as_of`` and opens another; a new key opens
     one; unchanged keys and keys missing from the incoming rows stay as they are. Running the
-    same rows again changes nothing. ``incoming`` has one row per key; rows with a NULL key
-    match nothing and open a version each.
+    same rows again changes nothing. A key twice in ``incoming`` fails the run; rows with a NULL key
+    match nothing and open a version each. A version that itself began at ``as_of`` is replaced in place,
+    and a change older than the version it meets fails the run.
 
     One full join of the incoming rows with the current versions yields every result row; the
     closed versions are passed through without one. ``observation`` collects row counts.
     """
     if history is None:
-        opened = open_versions(incoming, as_of)
+        opened = open_versions(
+            unique_keyed_rows(incoming, keys).unionByName(incoming.where(any_null(keys))), as_of
+        )
         return opened if observation is None else opened.observe(
             observation, F.count(F.lit(1)).alias("rows_new"), F.lit(0).alias("rows_changed")
         )
 
     attributes = [c for c in history.columns if c not in VALIDITY]
     incoming = incoming.select(*attributes)
+    keyed = unique_keyed_rows(incoming, keys)
     closed = history.where(~F.coalesce("is_current", F.lit(False)))
     current = current_rows(history)
 
-    new = incoming.where(~any_null(keys)).select(F.struct(*attributes).alias("new"))
+    new = keyed.select(F.struct(*attributes).alias("new"))
     old = current.where(~any_null(keys)).select(F.struct(*history.columns).alias("old"))
     joined = new.join(old, _equal("new", "old", keys), "full").withColumn(
         "change",
@@ -130,11 +134,15 @@ def next_history(
     types = {c: history.schema[c].dataType for c in VALIDITY}
     start = as_timestamp(as_of).cast(types["valid_from"])
     never = F.lit(None).cast(types["valid_to"])
+    began = F.col("old.valid_from")
+    in_time = F.when(
+        (F.col("change") == "changed") & (began > start), F.raise_error(F.lit("as_of lies before the start of a current version")).cast("boolean")
+    ).otherwise(began < start)
     opens = version("new", {"valid_from": start, "valid_to": never, "is_current": F.lit(True)})
     ends = version("old", {"valid_to": start.cast(types["valid_to"]), "is_current": F.lit(False)})
     versions = F.array_compact(
         F.array(
-            F.when(F.col("change") == "changed", ends),
+            F.when((F.col("change") == "changed") & in_time, ends),
             F.when(F.col("change").isin("new", "changed"), opens),
             F.when(F.col("change").isin("missing", "unchanged"), F.col("old")),
         )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ def refresh_cleaned(
     """Bring one cleaned table up to date from the raw rows in the look-back window.
 
     Raw rows are parsed once: the cleaned rows go to a staging table, which feeds both the
-    cleaned table and the rejects. A record that has no key, or whose text or some member
+    cleaned table and the rejects. A record that has no key or an empty one, or whose text or some member
     could not be read, is added to the rejects with its text; unless its key is missing it is
     also in the cleaned table, with NULL for what could not be read.
     """
@@ -57,7 +59,7 @@ def refresh_cleaned(
         read = Observation()
         counted = raw.drop("load_date").observe(read, F.count(F.lit(1)).alias("rows"))
         written = Observation()
-        no_key = any_null(spec.keys)
+        no_key = reduce(or_, [F.col(k).cast("string") == "" for k in spec.keys], any_null(spec.keys))
         cleaned = clean_records(latest_versions(counted), spec, as_of)
         cleaned = cleaned.observe(written, F.count_if(~no_key).alias("rows"))
         cleaned.write.mode("overwrite").parquet(f"{staging}/parsed")
@@ -74,7 +76,7 @@ def refresh_cleaned(
 
         rejects = staged.where(no_key | F.col(CORRUPT).isNotNull()).select(
             "bronze_id", "record_hash", "bronze_loaded_at", F.col(CORRUPT).alias("data"),
-            F.when(no_key, "no key").otherwise("unreadable member").alias("reason"),
+            F.when(F.coalesce(no_key, F.lit(True)), "no key").otherwise("unreadable member").alias("reason"),
             F.lit(as_of.date()).alias("run_date"),
         )
         (

@@ -12,6 +12,7 @@ from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, save_metrics
 from stratalake.plans.raw import load_raw_batch
 from stratalake.plans.star import refresh_star
+from stratalake.sinks.writer import Mode
 from stratalake.sources.tables import DEFAULT_LOOKBACK_DAYS
 from stratalake.specs import select_resources
 
@@ -25,12 +26,19 @@ def run_layers(
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
     full_rebuild: bool = False,
     skip: tuple[str, ...] = (),
+    fact_mode: Mode = Mode.OVERWRITE,
+    since: datetime | None = None,
+    salts: int = 1,
+    calendar: tuple[str, str] | None = None,
 ) -> list[JobMetrics]:
     """Load raw rows, refresh cleaned tables, refresh the star schema; steps in ``skip`` are
     left out. A step with a failed table ends the run after that step. Every table's metrics
-    are appended to the metrics table.
+    are appended to the metrics table. ``fact_mode``, ``since``, ``salts`` and ``calendar`` (first and last
+    day) go to the star step. A batch whose name is no resource is refused before any step.
     """
     chosen = select_resources(resources)
+    if unknown := sorted(set(batches or ()) - {spec.name for spec in select_resources(None)}):
+        raise ValueError(f"no such resources: {', '.join(unknown)}")
     done: list[JobMetrics] = []
 
     def finished(step: list[JobMetrics]) -> bool:
@@ -49,5 +57,9 @@ def run_layers(
         if finished(tables):
             return done
     if "star" not in skip:
-        finished(refresh_star(spark, layout, as_of, rebuild=full_rebuild))
+        finished(
+            refresh_star(
+                spark, layout, as_of, rebuild=full_rebuild, fact_mode=fact_mode, since=since, salts=salts, calendar=calendar
+            )
+        )
     return done

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import as_timestamp
@@ -13,7 +13,7 @@ from stratalake.operators.modeling import date_rows, dimension_rows, fact_rows,
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.dimension import read_dimension, update_dimension
-from stratalake.sinks.upsert import BUCKET, finish_pending, read_keyed, upsert_table
+from stratalake.sinks.upsert import BUCKET, append_keyed, finish_pending, read_keyed, rebuild_table, upsert_table
 from stratalake.sinks.writer import Mode, write_table
 from stratalake.specs import DATE_DIMENSION, DATE_DIMENSION_RANGE, DIMENSIONS, FACTS, DimensionSpec, FactSpec
 
@@ -106,6 +106,7 @@ def refresh_fact(
 ) -> JobMetrics:
     """Write one fact table: rebuilt (the default), appended to, or merged on its own key.
 
+    All modes keep one layout, in buckets of the key, so they may follow each other on a table.
     ``since`` limits an append or a merge to cleaned rows written from then on.
     """
     if since is not None and mode is Mode.OVERWRITE:
@@ -115,13 +116,20 @@ def refresh_fact(
         facts = build_fact(spark, spec, layout, salts, since)
         if facts is None:
             return Status.NO_DATA
+        staging, path = layout.staging(spec.name), layout.star(spec.name)
+        rows = Observation()
+        counted = facts.observe(rows, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{staging}/facts")  # the joins run here and only here
+        metrics.rows_input = metrics.rows_output = rows.get["rows"]
+        staged = spark.read.schema(facts.schema).parquet(f"{staging}/facts")
         if mode is Mode.MERGE:
-            upsert_table(facts, layout.star(spec.name), [spec.key], layout.staging(spec.name), layout.buckets)
-            metrics.rows_output = facts.count()
+            upsert_table(staged, path, [spec.key], f"{staging}/merge", layout.buckets)
+        elif mode in (Mode.OVERWRITE, Mode.APPEND):
+            finish_pending(spark, f"{staging}/merge", path, BUCKET)
+            write = rebuild_table if mode is Mode.OVERWRITE else append_keyed
+            write(staged, path, [spec.key], layout.buckets)
         else:
-            finish_pending(spark, layout.staging(spec.name), layout.star(spec.name), BUCKET)
-            metrics.rows_output = write_table(facts, layout.star(spec.name), mode)
-        metrics.rows_input = metrics.rows_output
+            raise ValueError(f"fact tables are rebuilt, merged or appended to, not {mode}")
         return Status.SUCCESS
 
     return measured(STEP, spec.name, job)
@@ -136,15 +144,17 @@ def refresh_star(
     rebuild: bool = False,
     fact_mode: Mode = Mode.OVERWRITE,
     since: datetime | None = None,
+    salts: int = 1,
+    calendar: tuple[str, str] | None = None,
 ) -> list[JobMetrics]:
     """Dimensions first, then the facts that refer to them. None means all of a kind."""
     done = []
     for name in [*DIMENSIONS, DATE_DIMENSION] if dimensions is None else dimensions:
         if name == DATE_DIMENSION:
-            done.append(refresh_date_dimension(spark, layout))
+            done.append(refresh_date_dimension(spark, layout, *(calendar or DATE_DIMENSION_RANGE)))
         else:
             done.append(refresh_dimension(spark, DIMENSIONS[name], layout, as_of, rebuild, since))
     for name in FACTS if facts is None else facts:
         changed = None if fact_mode is Mode.OVERWRITE else since
-        done.append(refresh_fact(spark, FACTS[name], layout, fact_mode, since=changed))
+        done.append(refresh_fact(spark, FACTS[name], layout, fact_mode, salts, changed))
     return done

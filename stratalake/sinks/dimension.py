@@ -36,8 +36,13 @@ def update_dimension(
     compare: Sequence[str] | None = None,
     rebuild: bool = False,
 ) -> dict[str, int]:
-    """Bring a dimension up to date with one row per key; returns rows new and changed."""
+    """Bring a dimension up to date with one row per key; returns rows new and changed.
+
+    A rebuild from no rows leaves the table as it is.
+    """
     spark = incoming.sparkSession
+    if rebuild and incoming.isEmpty():
+        return {"rows_new": 0, "rows_changed": 0}
     compare = list(compare or [c for c in incoming.columns if c not in keys])
     if not rebuild:
         finish_pending(spark, staging, path, CLOSED_ON)

@@ -33,10 +33,11 @@ def look_back(
     column: str = "loaded_at",
     partition_column: str = "load_date",
 ) -> DataFrame:
-    """Rows loaded on or after the day ``days`` before ``as_of``.
+    """Rows loaded on or after the day ``days`` before ``as_of``, and not after ``as_of``.
 
     The cut is a whole day, so on a table partitioned by load date the same bound also
-    prunes directories.
+    prunes directories. The upper bound lets a run of an older ``as_of`` repeat: it is the time
+    itself, or the end of the day where only a date is given.
     """
     low, high = LOOKBACK_LIMITS
     if not low <= days <= high:
@@ -44,8 +45,12 @@ def look_back(
     day = as_of.date() if isinstance(as_of, datetime) else as_of
     cut = day - timedelta(days=days)
     kept = F.col(column) >= F.lit(cut)
+    if isinstance(as_of, datetime):
+        kept &= F.col(column) <= F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+    else:
+        kept &= F.col(column) < F.lit(day + timedelta(days=1))
     if partition_column in df.columns:
-        kept &= F.col(partition_column) >= F.lit(cut)
+        kept &= F.col(partition_column).between(F.lit(cut), F.lit(day))
     return df.where(kept)
 
 

@@ -234,8 +234,11 @@ def test_run_layers(spark, folder, scratch):
         table = dimension.read_dimension(spark, layout.star(name))
         assert table.count() == table.select(spec.key).distinct().count()
 
-    merged = refresh_star(spark, layout, as_of, dimensions=[], facts=["fact_expenses"], fact_mode=writer.Mode.MERGE)
-    assert "not laid out in buckets" in merged[0].errors[0]
+    before = upsert.read_keyed(spark, layout.star("fact_expenses")).count()
+    for mode, rows in ((writer.Mode.MERGE, before), (writer.Mode.APPEND, 2 * before), (writer.Mode.OVERWRITE, before)):
+        done = refresh_star(spark, layout, as_of, dimensions=[], facts=["fact_expenses"], fact_mode=mode)
+        assert not done[0].errors and done[0].rows_output == before
+        assert upsert.read_keyed(spark, layout.star("fact_expenses")).count() == rows
 
 
 def test_run_stops_after_failed_step(spark, scratch):
@@ -288,3 +291,48 @@ def test_measured_and_status():
 def test_shared_folder(spark):
     assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert workspace.new_folder(spark, "x") != workspace.new_folder(spark, "x")
+
+
+def test_unknown_batch_is_refused(spark, scratch):
+    with pytest.raises(ValueError, match="client$"):
+        run_layers(spark, Layout(scratch), NOW, {"client": json_rows(spark, {"id": 1})})
+
+
+def test_empty_ids_do_not_block_a_table(spark, scratch):
+    layout = Layout(scratch, buckets=2)
+    done = run_layers(spark, layout, NOW, {"clients": json_rows(spark, {"id": "", "a": 1}, {"id": "", "a": 2}, {"id": "7"})}, resources="clients", skip=("star",))
+    assert [m.status for m in done] == [Status.SUCCESS] * 2
+    assert upsert.read_keyed(spark, layout.cleaned("clients")).count() == 1
+    assert spark.read.parquet(layout.rejects("clients")).count() == 2
+
+
+def versions(spark, rows):
+    return spark.createDataFrame(rows, "id string, name string")
+
+
+def test_dimension_reruns_keep_one_version_per_start(spark, scratch):
+    path, staging = f"{scratch}/d", f"{scratch}/s"
+
+    def run(rows, day, **options):
+        return dimension.update_dimension(versions(spark, rows), path, "sk", ["id"], day, staging, **options)
+
+    first, second = datetime(2024, 1, 3), datetime(2024, 1, 6)
+    run([("a", "x")], first)
+    run([("a", "y")], second)
+    run([("a", "z")], second)
+    rows = sorted(dimension.read_dimension(spark, path).collect(), key=lambda r: r.valid_from)
+    assert [(r.name, r.valid_from, r.valid_to, r.is_current) for r in rows] == [("x", first, second, False), ("z", second, None, True)]
+    assert len({r.sk for r in rows}) == 2
+    with pytest.raises(Exception, match="as_of lies before"):
+        run([("a", "q")], datetime(2024, 1, 4))
+    with pytest.raises(Exception, match="duplicate source key"):
+        run([("b", "1"), ("b", "2")], datetime(2024, 1, 9))
+    assert run([], second, rebuild=True) == {"rows_new": 0, "rows_changed": 0}
+    assert dimension.read_dimension(spark, path).count() == 2
+
+
+def test_look_back_ends_at_as_of(spark):
+    rows = spark.createDataFrame([(datetime(2024, 1, d, 12),) for d in (1, 5, 6, 9)], "loaded_at timestamp_ntz")
+    assert look_back(rows, datetime(2024, 1, 6, 12), 2).count() == 2
+    assert look_back(rows, datetime(2024, 1, 6, 11), 2).count() == 1
+    assert look_back(rows, datetime(2024, 1, 6).date(), 2).count() == 2
