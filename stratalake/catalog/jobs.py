@@ -50,4 +50,4 @@ def layers_run(spark, folder):
     names = ("projects", "clients", "invoices")
     batches = {name: raw_feed(spark, folder, name) for name in names}
     checked(*run_layers(spark, layout, AS_OF, batches, ",".join(names)))
-    return spark.read.parquet(layout.star("fact_invoices"))
+    return read_keyed(spark, layout.star("fact_invoices"))

@@ -38,8 +38,9 @@ def refresh_cleaned(
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
     full_rebuild: bool = False,
     mode: Mode | None = None,
+    until: datetime | None = None,
 ) -> JobMetrics:
-    """Bring one cleaned table up to date from the raw rows in the look-back window.
+    """Bring one cleaned table up to date from the raw rows in the look-back window, loaded up to ``until``.
 
     Raw rows are parsed once: the cleaned rows go to a staging table, which feeds both the
     cleaned table and the rejects. A record that has no key or an empty one, or whose text or some member
@@ -53,7 +54,7 @@ def refresh_cleaned(
         table = read_raw(spark, layout.raw(spec.name))
         if table is None:
             return Status.NO_DATA
-        raw = table if full_rebuild else look_back(table, as_of, lookback_days)
+        raw = table if full_rebuild else look_back(table, as_of, lookback_days, until=until)
         if raw.isEmpty():
             return Status.NO_DATA
         read = Observation()

@@ -30,11 +30,12 @@ def run_layers(
     since: datetime | None = None,
     salts: int = 1,
     calendar: tuple[str, str] | None = None,
+    until: datetime | None = None,
 ) -> list[JobMetrics]:
     """Load raw rows, refresh cleaned tables, refresh the star schema; steps in ``skip`` are
     left out. A step with a failed table ends the run after that step. Every table's metrics
     are appended to the metrics table. ``fact_mode``, ``since``, ``salts`` and ``calendar`` (first and last
-    day) go to the star step. A batch whose name is no resource is refused before any step.
+    day) go to the star step, ``until`` (latest load time to read) to the cleaned step. A batch whose name is no resource is refused before any step.
     """
     chosen = select_resources(resources)
     if unknown := sorted(set(batches or ()) - {spec.name for spec in select_resources(None)}):
@@ -52,7 +53,7 @@ def run_layers(
             return done
     if "cleaned" not in skip:
         tables = [
-            refresh_cleaned(spark, spec, layout, as_of, lookback_days, full_rebuild) for spec in chosen
+            refresh_cleaned(spark, spec, layout, as_of, lookback_days, full_rebuild, until=until) for spec in chosen
         ]
         if finished(tables):
             return done

@@ -32,12 +32,12 @@ def look_back(
     days: int = DEFAULT_LOOKBACK_DAYS,
     column: str = "loaded_at",
     partition_column: str = "load_date",
+    until: datetime | None = None,
 ) -> DataFrame:
-    """Rows loaded on or after the day ``days`` before ``as_of``, and not after ``as_of``.
+    """Rows loaded on or after the day ``days`` before ``as_of``, and not after ``until`` where it is given.
 
     The cut is a whole day, so on a table partitioned by load date the same bound also
-    prunes directories. The upper bound lets a run of an older ``as_of`` repeat: it is the time
-    itself, or the end of the day where only a date is given.
+    prunes directories. Name ``until`` to let a run repeat although more has been loaded since.
     """
     low, high = LOOKBACK_LIMITS
     if not low <= days <= high:
@@ -45,12 +45,12 @@ def look_back(
     day = as_of.date() if isinstance(as_of, datetime) else as_of
     cut = day - timedelta(days=days)
     kept = F.col(column) >= F.lit(cut)
-    if isinstance(as_of, datetime):
-        kept &= F.col(column) <= F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
-    else:
-        kept &= F.col(column) < F.lit(day + timedelta(days=1))
+    if until is not None:
+        kept &= F.col(column) <= F.lit(until.replace(tzinfo=None)).cast("timestamp_ntz")
     if partition_column in df.columns:
-        kept &= F.col(partition_column).between(F.lit(cut), F.lit(day))
+        kept &= F.col(partition_column) >= F.lit(cut)
+        if until is not None:
+            kept &= F.col(partition_column) <= F.lit(until.date())
     return df.where(kept)
 
 

@@ -331,8 +331,9 @@ def test_dimension_reruns_keep_one_version_per_start(spark, scratch):
     assert dimension.read_dimension(spark, path).count() == 2
 
 
-def test_look_back_ends_at_as_of(spark):
+def test_look_back_ends_where_told(spark):
     rows = spark.createDataFrame([(datetime(2024, 1, d, 12),) for d in (1, 5, 6, 9)], "loaded_at timestamp_ntz")
-    assert look_back(rows, datetime(2024, 1, 6, 12), 2).count() == 2
-    assert look_back(rows, datetime(2024, 1, 6, 11), 2).count() == 1
-    assert look_back(rows, datetime(2024, 1, 6).date(), 2).count() == 2
+    as_of = datetime(2024, 1, 6, 12)
+    assert look_back(rows, as_of, 2).count() == 3
+    assert look_back(rows, as_of, 2, until=as_of).count() == 2
+    assert look_back(rows, as_of, 2, until=datetime(2024, 1, 6, 11)).count() == 1
