@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,9 +35,11 @@ ENDINGS = "com|org|net|edu|gov|io|info|co|uk|de|fr|es|eu|ch|at|us|biz|dev|app"
 
 _WORD = "|".join(DIGIT_WORDS)
 _OPEN, _SHUT = r"\s*[(\[{<]\s*", r"\s*[)\]}>]\s*"
+#: What makes a bare "at" a sign: a host in plain or disguised form after it.
+_HOST = rf"[a-z0-9-]+(?:\s+dot\s+|{_OPEN}(?:dot|\.){_SHUT}|(?:\.[a-z0-9-]+)*\.(?:{ENDINGS})\b)"
 #: Rewrites of words, each matched in the text whose letters are already plain.
 DISGUISES = re.compile(
-    rf"(?P<at>{_OPEN}(?:at|@){_SHUT}|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+(?:\s+dot\s+|{_OPEN}(?:dot|\.){_SHUT}|(?:\.[a-z0-9-]+)*\.(?:{ENDINGS})\b))|\s+@\s*(?=[a-z0-9])|(?<=[a-z0-9])@\s+(?=[a-z0-9]))"
+    rf"(?P<at>{_OPEN}(?:at|@){_SHUT}|(?<=[a-z0-9])\s+at\s+(?={_HOST})|\s+@\s*(?=[a-z0-9])|(?<=[a-z0-9])@\s+(?=[a-z0-9]))"
     rf"|(?P<dot>{_OPEN}(?:dot|\.){_SHUT}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9]))"
     rf"|(?P<plus>\bplus\s+(?=[0-9]|(?:{_WORD})\b))"
     rf"|(?P<digits>\b(?:{_WORD})(?:[\s,-]+(?:{_WORD}|oh)\b)*\b)"
@@ -44,7 +47,16 @@ DISGUISES = re.compile(
     re.IGNORECASE,
 )
 _DIGIT_RUN = re.compile(rf"{_WORD}|oh", re.IGNORECASE)
-CUES = ("dot", "(at", "[at", "{at", "<at", "@", " at ", *DIGIT_WORDS)
+#: Parts of a text in lower case, one of which must be there for any rewrite to apply. Each begins
+#: with a fixed string where it can, which makes the search for it cheap.
+CUES = [
+    re.compile(cue)
+    for cue in (
+        r"[(\[{<]\s*at\s*[)\]}>]", rf"at(?<=\sat)\s+(?={_HOST})",
+        r"dot[\s)\]}>](?<=[\s(\[{<]dot[\s)\]}>])", r"@[\s)\]}>]", r"[\s(\[{<]@",
+        r"[(\[{<]\s*\.", r"plus\s(?<!\wplus\s)", r"[0-9][oil](?=[0-9])", *(rf"{w}\b(?<!\w{w})" for w in DIGIT_WORDS),
+    )
+]
 
 
 def luhn(digits: str) -> bool:
@@ -73,10 +85,14 @@ def plain_spans(text: str) -> list[tuple[int, int, str]]:
     return [(start, KINDS[k], end) for start, k, end in sorted(found)]
 
 
-def _letters(text: str) -> tuple[str, list[int], list[int]]:
-    """The text with look-alikes made plain and invisible signs left out, and each sign's source."""
-    kept = [(i, c) for i, c in enumerate(text) if c not in INVISIBLE]
-    return "".join(c for _, c in kept).translate(LOOKALIKES), [i for i, _ in kept], [i + 1 for i, _ in kept]
+def _letters(text: str) -> tuple[str, Sequence[int]]:
+    """The text with look-alikes made plain and invisible signs left out, and each sign's place in the source."""
+    if text.isascii() or ODD.isdisjoint(text):
+        return text, range(len(text))
+    kept = [i for i, c in enumerate(text) if c not in INVISIBLE]
+    if len(kept) == len(text):
+        return text.translate(LOOKALIKES), range(len(text))
+    return "".join(text[i] for i in kept).translate(LOOKALIKES), kept
 
 
 def _rewrite(m: re.Match) -> str:
@@ -85,38 +101,57 @@ def _rewrite(m: re.Match) -> str:
     return {"at": "@", "dot": ".", "plus": "+", "round": "0", "bar": "1"}[m.lastgroup]
 
 
-def normalised(text: str) -> tuple[str, list[int], list[int]]:
-    """Plain form of a text, with the source span of each of its characters.
+def _disguised(text: str) -> bool:
+    low = text.lower()
+    return any(cue.search(low) for cue in CUES)
+
+
+class Normalised:
+    """Plain form of a text, and the source span of each of its characters.
 
     Two passes over tracked characters: signs first, words second. What one rewrite makes of
-    several characters carries the span of all of them.
+    several characters carries the span of all of them. Only rewrites are recorded, so a text
+    without any costs no more than the search for them.
     """
-    text, begins, ends = _letters(text)
-    out, b, e, at = [], [], [], 0
-    for m in DISGUISES.finditer(text):
-        new = _rewrite(m)
-        out += [text[at : m.start()], new]
-        b += [*begins[at : m.start()], *[begins[m.start()]] * len(new)]
-        e += [*ends[at : m.start()], *[ends[m.end() - 1]] * len(new)]
-        at = m.end()
-    return "".join([*out, text[at:]]), b + begins[at:], e + ends[at:]
+
+    def __init__(self, text: str):
+        signs, self.place = _letters(text)
+        out, at, length = [], 0, 0
+        #: For each rewrite, where its result begins and ends in the plain form, and its span among the signs.
+        self.begins, self.rewrites = [], []
+        for m in DISGUISES.finditer(signs) if _disguised(signs) else ():
+            new = _rewrite(m)
+            length += m.start() - at
+            self.begins.append(length)
+            self.rewrites.append((length + len(new), m.start(), m.end()))
+            out += [signs[at : m.start()], new]
+            length, at = length + len(new), m.end()
+        self.text = "".join([*out, signs[at:]]) if out else signs
+
+    def _signs(self, i: int) -> tuple[int, int]:
+        """The signs that character i of the plain form was made of."""
+        if not (k := bisect_right(self.begins, i)):
+            return i, i + 1
+        end, a, b = self.rewrites[k - 1]
+        return (a, b) if i < end else (b + i - end, b + i - end + 1)
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        """The source span of a span of the plain form."""
+        return self.place[self._signs(start)[0]], self.place[self._signs(end - 1)[1] - 1] + 1
 
 
 def spans(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
     """Plain spans, and all spans: the plain ones and those that appear once disguises are undone."""
     base = plain_spans(text)
-    low = text.lower()
-    if not any(cue in low for cue in CUES) and (text.isascii() or ODD.isdisjoint(text)):
-        return base, base
-    plain, begins, ends = normalised(text)
-    if plain == text:
+    plain = Normalised(text)
+    if plain.text == text:
         return base, base
     held = {(k, i) for s, k, e in base for i in range(s, e)}
     added = []
-    for s, k, e in plain_spans(plain):
-        span = (begins[s], k, ends[e - 1])
-        if not any((k, i) in held for i in range(span[0], span[2])):
-            added.append(span)
+    for s, k, e in plain_spans(plain.text):
+        a, b = plain.source(s, e)
+        if not any((k, i) in held for i in range(a, b)):
+            added.append((a, k, b))
     return base, sorted({*base, *added}, key=lambda x: (x[0], KINDS.index(x[1]), x[2]))
 
 
