@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+from functools import lru_cache
 
 from tokenizers import Tokenizer
 
@@ -30,8 +31,13 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
+#: Ready formats of short lists of ids.
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return PACKERS[n](*ids) if n < len(PACKERS) else struct.pack(f"<{n}I", *ids)
 
 
 class _Words(dict):
@@ -41,12 +47,20 @@ class _Words(dict):
         self.tokenizer, self.lead, self.fold, self.short = tokenizer, lead, fold, short
         self.tokenize, self.mark = tokenizer.model.tokenize, "Ġ" if lead else ""
         self.signs: dict[str, bytes] = {}
+        self.sign = {c: _packed([t.id for t in self.tokenize(c)]) for c in SIGNS} if short else {}
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if (ids := self.old.get(word)) is None:
-            if self.short and word.isascii() and word.isalpha() and not (self.fold and not word.islower()):
-                ids = _packed([t.id for t in self.tokenize(self.mark + word)])
+            if not (self.short and word.isascii()):
+                ids = self.encode(word)
+            elif word.isalpha():
+                if self.fold and not word.islower():
+                    ids = self[word.lower()]
+                else:
+                    ids = _packed([t.id for t in self.tokenize(self.mark + word)])
+            elif (stem := word[:-1]).isalpha() and (sign := self.sign.get(word[-1])):
+                ids = self[stem] + sign
             else:
                 ids = self.encode(word)
         self[word] = ids
@@ -119,3 +133,9 @@ class Encoder:
                 )
             out.append(self.first[words[0]] + b"".join(map(self.rest.__getitem__, words[1:])))
         return self.newline.join(out)
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker process, which keeps the words it knows from one task to the next."""
+    return Encoder(path)

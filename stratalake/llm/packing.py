@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import list_bytes, lists, new_folder, numbered, slices, strings, task
-from stratalake.llm.encoder import Encoder
+from stratalake.llm.encoder import encoder
 
 END_ID = 1
 SEQUENCE_TOKENS = 2048
@@ -41,10 +41,10 @@ def pack(docs: DataFrame, tokenizer: str, path: str | None = None, longest: int
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, done = Encoder(tokenizer), task(), 0
+        known, part, done = encoder(tokenizer), task(), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in (s for b in batches for s in slices(b)):
-            ids = [encoder.encode(text) + end for text in strings(batch.column("text"))]
+            ids = [known.encode(text) + end for text in strings(batch.column("text"))]
             rows = [(i, cuts(len(x) // 4, longest)) for i, x in enumerate(ids)]
             of = np.repeat([i for i, _ in rows], [len(c) for _, c in rows])
             length = np.array([n for _, c in rows for n in c], np.int64)

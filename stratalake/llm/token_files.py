@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import lists, numbered, slices, strings, task
-from stratalake.llm.encoder import Encoder
+from stratalake.llm.encoder import encoder
 
 END_ID = 0
 
@@ -43,10 +43,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     dealt = docs.select("doc_id", "text", digest).repartitionByRange("doc_id", "digest")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, done = Encoder(tokenizer), task(), 0
+        known, part, done = encoder(tokenizer), task(), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in (s for b in batches for s in slices(b)):
-            ids = [encoder.encode(text) + end for text in strings(batch.column("text"))]
+            ids = [known.encode(text) + end for text in strings(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(ids), part, np.int32)),
