@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,8 @@ def pack(docs: DataFrame, tokenizer: str, path: str | None = None, longest: int
     A document's ids, ended by `end_id`, are cut into pieces whose lengths are powers of two up
     to `longest`; each piece is a sequence of its own. Sequences of equal length are numbered one
     after the other, so a training batch takes a range of `sequence_id`: a rectangle without
-    padding. Columns: part, pos (task and row that wrote the piece), doc_id, start, length,
-    doc_tokens, ids, sequence_id, offset.
+    padding. Columns: part, pos (task and row that wrote the piece), nth (pieces of its length before it
+    in the part), doc_id, start, length, doc_tokens, ids.
 
     A null or empty text is the end id alone. Every row is a document of its own, also rows
     that repeat one doc_id or have none. No rows give no rows. Other columns of `docs` are not read.
@@ -41,7 +42,7 @@ def pack(docs: DataFrame, tokenizer: str, path: str | None = None, longest: int
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, part, done = encoder(tokenizer), task(), 0
+        known, part, done, seen = encoder(tokenizer), task(), 0, Counter()
         end = np.array([end_id], "<u4").tobytes()
         for batch in (s for b in batches for s in slices(b)):
             ids = [known.encode(text) + end for text in strings(batch.column("text"))]
@@ -50,29 +51,39 @@ def pack(docs: DataFrame, tokenizer: str, path: str | None = None, longest: int
             length = np.array([n for _, c in rows for n in c], np.int64)
             start = np.concatenate([np.cumsum([0, *c[:-1]]) for _, c in rows]).astype(np.int64)
             pieces = [ids[i][4 * a : 4 * (a + n)] for i, a, n in zip(of.tolist(), start.tolist(), length.tolist())]
+            nth = np.zeros(len(of), np.int64)
+            for n in np.unique(length).tolist():
+                same = np.flatnonzero(length == n)
+                nth[same] = seen[n] + np.arange(len(same))
+                seen[n] += len(same)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(of), part, np.int32)),
                     pa.array(np.arange(done, done + len(of), dtype=np.int64)),
+                    pa.array(nth),
                     batch.column("doc_id").take(pa.array(of)),
                     pa.array(start),
                     pa.array(length),
                     pa.array(np.array([len(x) // 4 for x in ids], np.int64)[of]),
                     lists(pieces, "<i4", pa.int32()),
                 ],
-                ["part", "pos", "doc_id", "start", "length", "doc_tokens", "ids"],
+                ["part", "pos", "nth", "doc_id", "start", "length", "doc_tokens", "ids"],
             )
             done += len(of)
 
     path = path or new_folder(docs.sparkSession, "sequences")
-    schema = f"part int, pos long, doc_id {kind}, start long, length long, doc_tokens long, ids array<int>"
+    schema = f"part int, pos long, nth long, doc_id {kind}, start long, length long, doc_tokens long, ids array<int>"
     source.mapInArrow(cut, schema).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
-def sequence_numbers(pieces: DataFrame) -> DataFrame:
-    """Adds sequence_id, running over all sequences of one length before the next, and offset."""
-    return numbered(pieces, F.lit(1), "sequence_id", "length").withColumn("offset", F.lit(0).cast("long"))
+def sequence_numbers(pieces: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Replaces nth by sequence_id, running over all sequences of one length before the next, and offset.
+
+    `files` are the pieces as read, where `pieces` is costly.
+    """
+    rows = numbered(pieces, pieces if files is None else files, F.lit(1), "nth", "sequence_id", "length")
+    return rows.withColumn("offset", F.lit(0).cast("long"))
 
 
 def with_crc(rows: DataFrame) -> DataFrame:

@@ -50,8 +50,8 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
-    pieces = packing.with_crc(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
-    return packing.sequence_numbers(pieces).drop("part", "pos")
+    files = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.sequence_numbers(packing.with_crc(files), files).drop("part", "pos")
 
 
 @query
@@ -97,5 +97,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
     path = new_folder(spark, "tokens")
     token_files.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
-    rows = packing.with_crc(token_files.read_tokens(spark, path))
-    return token_files.token_starts(rows).drop("part", "pos")
+    files = token_files.read_tokens(spark, path)
+    return token_files.token_starts(packing.with_crc(files), files).drop("part", "pos")
