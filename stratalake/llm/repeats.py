@@ -121,7 +121,8 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -
 
     1. Of each run of strings with one anchor, the `first` bytes at the anchor.
     2. The bytes of the whole run. Equal runs are repeated as a whole and done.
-    3. Of the runs that remain, one of each content, the bytes that 32 neighbouring strings share.
+    3. Of the runs that remain, one of each content, the bytes that 32 neighbouring strings share. Where all
+       bytes of the 32 are found in another run, they are repeated and done, and one run goes on for all.
     4. Each whole string. The passes end here, `length` bytes deep; equal groups are the repeats.
 
     No group is gathered: every pass counts digests, in each task first, and joins the repeated ones back.
@@ -161,23 +162,31 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -
     shape = "run long, k1 long, k2 long, start long, n long, anchor long"
     parts = written(wanted.mapInArrow(bytes_of, f"{shape}, part binary"), "runs-open")
 
-    names = ["run", "at", "h1", "h2"]
-    digests = "run long, at long, h1 long, h2 long"
+    blocks_of = "run long, at long, first long, n long, h1 long, h2 long, u1 long, u2 long"
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in blocks_of.split(", ")]
         for batch in (s for b in batches for s in slices(b, "part")):
             rows = []
             columns = [batch[c].to_pylist() for c in ("run", "start", "n", "anchor", "part")]
             for run, start, n, anchor, part in zip(*columns):
                 near, far = anchor - start - n + 1, anchor - start
                 for step in range(near // STEP, far // STEP + 1):
-                    a = anchor - start - step * STEP  # the string of the least offset begins here
-                    rows.append((run, step, *_halves(b"%d:" % step + part[max(a, 0) : a - STEP + 1 + length])))
+                    a = far - step * STEP  # the string of the least offset begins here
+                    lo, hi = max(a - STEP + 1, 0), min(a, n - 1)
+                    common = _halves(b"%d:" % step + part[a : a - STEP + 1 + length])
+                    whole = _halves(b"%d %d %d:" % (step, a - lo, a - hi) + part[lo : hi + length])
+                    rows.append((run, step, lo, hi - lo + 1, *common, *whole))
             yield _columns(rows, names)
 
-    steps = written(parts.drop("k1", "k2").mapInArrow(second, digests), "runs-steps")
-    steps = steps.join(_apart(steps), ["h1", "h2"], "left_semi")
-    steps = steps.groupBy("run").agg(F.collect_set("at").alias("steps"))
+    blocks = written(parts.drop("k1", "k2").mapInArrow(second, blocks_of), "blocks")
+    blocks = blocks.join(_apart(blocks), ["h1", "h2"], "left_semi")
+    blocks = written(blocks.drop("h1", "h2"), "blocks-near")
+    alike = blocks.groupBy("u1", "u2").agg(F.min("run").alias("lo"), F.max("run").alias("hi"))
+    blocks = written(blocks.join(alike, ["u1", "u2"]).drop("u1", "u2"), "blocks-alike")
+    steps = blocks.filter("run = lo").groupBy("run").agg(F.collect_set("at").alias("steps"))
+    names = ["run", "at", "h1", "h2"]
+    digests = "run long, at long, h1 long, h2 long"
 
     def third(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b, "part")):
@@ -192,9 +201,12 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -
             yield _columns(rows, names)
 
     strings = written(parts.drop("k1", "k2").join(steps, "run").mapInArrow(third, digests), "strings")
-    single = strings.join(_apart(strings), ["h1", "h2"], "left_semi").groupBy("run").agg(F.collect_set("at").alias("at"))
-    single = parts.drop("part").join(single, "run").withColumn("at", F.explode("at")).withColumn("start", F.col("start") + F.col("at"))
-    single = single.select("k1", "k2", "start", F.lit(1).cast("long").alias("n"))
+    one = F.lit(1).cast("long").alias("n")
+    found = strings.join(_apart(strings), ["h1", "h2"], "left_semi").select("run", "at", one)
+    found = found.unionByName(blocks.filter("lo < hi").select("run", F.col("first").alias("at"), "n"))
+    found = found.groupBy("run").agg(F.collect_set(F.struct("at", "n")).alias("found"))
+    single = parts.select("run", "k1", "k2", "start").join(found, "run").withColumn("x", F.explode("found"))
+    single = single.select("k1", "k2", (F.col("start") + F.col("x.at")).alias("start"), "x.n")
     every = done.unionByName(single)
     return every.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n")).alias("places"))
 
