@@ -40,6 +40,15 @@ def _packed(ids: list[int]) -> bytes:
     return PACKERS[n](*ids) if n < len(PACKERS) else struct.pack(f"<{n}I", *ids)
 
 
+def _latin(text: str) -> bool:
+    """Whether all signs are Latin-1, where lower case is one sign for one and normal forms change nothing."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Words(dict):
     """Ids of a word, encoded when first asked for; words long unused are forgotten."""
 
@@ -120,6 +129,8 @@ class Encoder:
         self.first.age()
         self.rest.age()
         if self.kind == "words":
+            if _latin(text):
+                text = text.lower()  # as the vocabulary does; fewer words to know
             return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
         if self.kind != "bytes":
             return self.whole(text)
