@@ -178,9 +178,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
 
     Columns: doc_id, text_key (MD5 of the text), item_id, n_windows (of the item), n_found, same_values. Texts become
     templates in which numbers, names and units are typed placeholders; windows of templates are
-    joined on their digest and compared as text. For each alignment of a document with an item,
-    a value of the item must stand for one value of the document throughout, and the other way round;
-    alignments that mix values do not count. A row needs `share` of the item's windows.
+    joined on their digest and compared as text. A row needs `share` of the item's windows, whatever the values in
+    their slots. Values are judged per slot: within an alignment of a document with an item, a slot agrees if it
+    holds the item's own value or the one that stands most often for that value of the item (at equal
+    numbers the item's own, then the first), or if that value was replaced throughout. n_found counts the windows whose
+    slots all agree, so it may be less than the share; same_values tells whether each window is there with the item's own values.
 
     Texts shorter than a window, empty and null ones match nothing. Items that repeat are items
     of their own, as are rows that share an item_id with another text; repeated documents of one doc_id and text
@@ -198,25 +200,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
         "item_id", F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), "window", "template",
         F.col("slots").alias("item_slots"),
     )
-    pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    aligned = (
-        held.join(item, ["window", "template"])
-        .groupBy("doc_id", "text_key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values"))
+    marked = F.transform(F.split("template", " "), lambda w, i: F.when(w.isin(*MARKS.values()), F.col("item_pos") + i))
+    places = F.filter(marked, lambda i: i.isNotNull())
+    pairs = F.arrays_zip(places.alias("place"), F.col("item_slots").alias("a"), F.col("slots").alias("b"))
+    alignment = F.struct("doc_id", "text_key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"))
+    hits = held.join(item, ["window", "template"]).select(alignment.alias("alignment"), "item_pos", pairs.alias("pairs"))
+    hits = written(hits, "template-hits")
+    usual = (
+        hits.select("alignment", F.explode("pairs").alias("pair")).select("alignment", "pair.*").distinct()
+        .groupBy("alignment", "a", "b").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+        .groupBy("alignment", "a")
+        .agg(F.max_by("b", F.struct("n", F.col("a") == F.col("b"), -F.col("first"))).alias("b"), F.bool_or(F.col("a") == F.col("b")).alias("stays"))
+        .filter("stays")
+        .groupBy("alignment").agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("usual"))
     )
-    left = F.array_distinct(F.transform("values", lambda v: v["a"]))
-    right = F.array_distinct(F.transform("values", lambda v: v["b"]))
-    fits = (F.size(left) == F.size("values")) & (F.size(right) == F.size("values"))
-    same = F.forall("values", lambda v: v["a"] == v["b"])
+    agrees = F.forall("pairs", lambda p: (p["a"] == p["b"]) | (p["b"] == F.coalesce(F.col("usual")[p["a"]], p["b"])))
+    same = F.forall("pairs", lambda p: p["a"] == p["b"])
     return (
-        aligned.filter(fits)
+        hits.join(usual, "alignment", "left")
+        .groupBy("alignment.doc_id", "alignment.text_key", "alignment.item_id", "alignment.item_key", "item_pos")
+        .agg(F.max(agrees).alias("agrees"), F.max(same).alias("same"))
         .groupBy("doc_id", "text_key", "item_id", "item_key")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_found"),
-            F.every(same).alias("same_values"),
-        )
+        .agg(F.count("*").alias("n_held"), F.count_if("agrees").alias("n_found"), F.every("same").alias("same_values"))
         .join(sizes.withColumnRenamed("text_key", "item_key"), ["item_id", "item_key"])
-        .filter(F.col("n_found") >= share * F.col("n_windows"))
+        .filter(F.col("n_held") >= share * F.col("n_windows"))
         .select("doc_id", "text_key", "item_id", "n_windows", "n_found", "same_values")
     )
 

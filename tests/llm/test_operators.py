@@ -164,6 +164,20 @@ def test_leaks_with_other_values(spark):
     assert decontamination.leaks(frame(spark, cases), benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("item, text, least", [
+    ("the shop sells 300 big red apples and then 300 more to us", "the shop sells 300 big red apples and then 450 more to us", 1),
+    ("the girl has 3 apples and her brother has 5 pears in all", "the girl has 4 apples and her brother has 4 pears in all", 5),
+    ("they carry 2 boxes of 2 big red balls up the long stairs", "they carry 3 boxes of 5 big red balls up the long stairs", 1),
+    ("they sell 300 to us now and 300 more", "they sell 300 to us now and 450 more", 0),
+])
+def test_leaks_whose_values_are_not_one_to_one(spark, item, text, least):
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontamination.leaks(frame(spark, [text, item, f"{text} {text}"]), benchmark).collect()}
+    assert set(rows) == {0, 1, 2}
+    assert least <= rows[0].n_found <= rows[0].n_windows and not rows[0].same_values
+    assert rows[1].n_found == rows[1].n_windows and rows[1].same_values
+
+
 def test_groups_equal_brute_force(spark, docs, texts):
     sets, lists = {}, defaultdict(list)
     for i, text in texts.items():
