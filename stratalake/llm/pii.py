@@ -141,17 +141,23 @@ class Normalised:
 
 
 def spans(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
-    """Plain spans, and all spans: the plain ones and those that appear once disguises are undone."""
+    """Plain spans, and all spans: the plain ones and those that appear once disguises are undone.
+
+    What appears is added unless it lies wholly in a plain span of its kind; one that reaches beyond stands beside it.
+    """
     base = plain_spans(text)
     plain = Normalised(text)
     if plain.text == text:
         return base, base
-    held = {(k, i) for s, k, e in base for i in range(s, e)}
-    added = []
+    # Plain spans of a kind stand in order and do not overlap.
+    starts = {k: [s for s, x, _ in base if x == k] for k in KINDS}
+    ends = {k: [e for _, x, e in base if x == k] for k in KINDS}
+    added = set()
     for s, k, e in plain_spans(plain.text):
         a, b = plain.source(s, e)
-        if not any((k, i) in held for i in range(a, b)):
-            added.append((a, k, b))
+        i = bisect_right(starts[k], a) - 1
+        if i < 0 or ends[k][i] < b:
+            added.add((a, k, b))
     return base, sorted({*base, *added}, key=lambda x: (x[0], KINDS.index(x[1]), x[2]))
 
 

@@ -127,6 +127,25 @@ def test_disguises_map_back(text, kind, span):
     assert [(k, text[a:b]) for a, k, b in pii.spans(text)[1]] == [(kind, span)]
 
 
+@pytest.mark.parametrize("text, kind, plain, whole", [
+    ("x jоhn@example.com y", "email", "hn@example.com", "jоhn@example.com"),
+    ("jo\u200bhn@example.com", "email", "hn@example.com", "jo\u200bhn@example.com"),
+    ("ｊohn@example.com", "email", "ohn@example.com", "ｊohn@example.com"),
+    ("first [dot] last@example.com", "email", "last@example.com", "first [dot] last@example.com"),
+    ("call +1 988 555 2485 plus +1 988 555 248５", "phone", "+1 988 555 2485", "+1 988 555 248５"),
+])
+def test_disguised_part_beside_a_plain_one(text, kind, plain, whole):
+    base, every = pii.spans(text)
+    assert [(k, text[a:b]) for a, k, b in base if k == kind][0] == (kind, plain)
+    assert set(base) < set(every) and (kind, whole) in {(k, text[a:b]) for a, k, b in every}
+
+
+def test_plain_identifiers_are_not_added_again():
+    for text in ("ask john@example.com or one of us", "plus one john@example.com dot", "оne 192.168.1.10"):
+        base, every = pii.spans(text)
+        assert base == every and len(base) == 1
+
+
 def test_cues_hide_no_rewrite(texts):
     bits = ["one", "dot", "at", "@", "(at)", "[.]", ".", "john", "com", "oh", "plus", "4l11", "5o5", "1111", "[", " )", "-", "\n", "\u200b", "о", "seven"]
     pick = random.Random(3)
