@@ -1,8 +1,7 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine."""
+"""Toxicity by the nearest labelled examples under exact cosine of TF-IDF, weighted by the label."""
 
 from __future__ import annotations
 
-import heapq
 import math
 import zlib
 from collections import Counter
@@ -19,11 +18,6 @@ from stratalake.llm.words import letter_words
 
 #: Examples of each class that the index may hold.
 EXAMPLES = 3000
-#: Terms that the vectors may have, and the least chi-square of a term against the label.
-TERMS = 2000
-CHI_SQUARE = 15.0
-#: Examples that must hold a term, or a tenth of the toxic ones: rarer words say nothing of texts to come.
-LEAST_EXAMPLES = 6
 NEAREST = 25
 #: Examples in a block of the index.
 BLOCK = 32
@@ -32,22 +26,24 @@ BASE_WEIGHT = 0.5
 THRESHOLD = 0.3
 
 
-def choose_terms(rows: list[tuple[Counter, int]]) -> list[bytes]:
-    """Terms that examples of the two classes hold at clearly different rates, strongest first."""
+def strengths(rows: list[tuple[Counter, int]]) -> dict[bytes, float]:
+    """Weight of every word of the examples: how clearly, and by how much, its rates in the two classes differ.
+
+    The root of chi-square, times the log of the ratio of rates. No word is left out, however rare: one that
+    tells nothing of the label weighs next to nothing beside one that only toxic examples hold.
+    """
     n = [sum(1 for _, y in rows if y == c) for c in (0, 1)]
     seen = [Counter(), Counter()]
     for words, y in rows:
         seen[y].update(words.keys())
-    strength = {}
-    for w in {*seen[0], *seen[1]}:
+    out = {}
+    for w in sorted({*seen[0], *seen[1]}):
         a, b = seen[1][w], seen[0][w]
         c, d = n[1] - a, n[0] - b
-        if a + b < min(LEAST_EXAMPLES, max(2, n[1] // 10)):
-            continue
         rest = (a + b) * (c + d) * n[1] * n[0]
-        if rest and (chi := (a + b + c + d) * (a * d - b * c) ** 2 / rest) >= CHI_SQUARE and not 0.5 * a * n[0] < b * n[1] < 2 * a * n[0]:
-            strength[w] = chi
-    return sorted(strength, key=lambda w: (-strength[w], w))[:TERMS]
+        ratio = math.log((a + 0.5) / (n[1] + 1) / ((b + 0.5) / (n[0] + 1)))
+        out[w] = math.sqrt((a + b + c + d) * (a * d - b * c) ** 2 / rest) * abs(ratio) if rest else 0.0
+    return out
 
 
 def _without_near_copies(rows: list[tuple[int, Counter, int]]) -> list[tuple[int, Counter, int]]:
@@ -59,56 +55,69 @@ def _without_near_copies(rows: list[tuple[int, Counter, int]]) -> list[tuple[int
     return list(first.values())
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+
+
 class BlockMaxIndex:
     """Posting lists of unit vectors in blocks, each block with the largest weight of every term.
 
     `nearest` gives exactly the k examples of largest cosine, ties to the one placed first:
-    blocks are visited by falling upper bound until none can hold a better example.
+    blocks are visited by falling upper bound, a few at a time, until none can hold a better example.
     """
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        self.n = len(vectors)
-        blocks = -(-self.n // BLOCK)
-        self.most = np.zeros((n_terms, blocks))
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for i, vector in enumerate(vectors):
-            for t, w in vector.items():
-                lists[t].append((i, w))
-                self.most[t, i // BLOCK] = max(self.most[t, i // BLOCK], w)
-        self.ids = [np.array([i for i, _ in x], np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x]) for x in lists]
-        edges = np.arange(blocks + 1) * BLOCK
-        self.starts = [np.searchsorted(i, edges) for i in self.ids]
+        self.n, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
+        sizes = [len(v) for v in vectors]
+        terms = np.fromiter((t for v in vectors for t in v), np.int64, sum(sizes))
+        weights = np.fromiter((w for v in vectors for w in v.values()), float, sum(sizes))
+        rows = np.repeat(np.arange(self.n), sizes)
+        order = np.lexsort((rows, terms))
+        terms, self.rows, self.weights = terms[order], rows[order].astype(np.int32), weights[order]
+        # A cell is what a term's list holds in one block.
+        cell = terms * max(self.blocks, 1) + self.rows // BLOCK
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.block = (self.rows // BLOCK)[first]
+        self.most = np.maximum.reduceat(self.weights, first) if len(first) else self.weights
+        self.cells = np.r_[first, len(cell)]
+        self.lists = np.searchsorted(terms[first], np.arange(n_terms + 1))
 
     def nearest(self, vector: dict[int, float], k: int) -> list[tuple[float, int]]:
         if not vector or not self.n:
             return []
-        terms = list(vector)
-        bounds = np.array([vector[t] for t in terms]) @ self.most[terms]
-        found: list[tuple[float, int]] = []  # a heap of (cosine, minus place)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(found) == k and bounds[block] < found[0][0] - 1e-12:
-                break
-            sums = np.zeros(BLOCK)
-            for t in terms:
-                a, b = self.starts[t][block], self.starts[t][block + 1]
-                if b > a:
-                    sums[self.ids[t][a:b] - block * BLOCK] += vector[t] * self.weights[t][a:b]
-            for i in np.flatnonzero(sums > (found[0][0] - 1e-12 if len(found) == k else 0)).tolist():
-                entry = (float(sums[i]), -(block * BLOCK + i))
-                if len(found) < k:
-                    heapq.heappush(found, entry)
-                elif entry > found[0]:
-                    heapq.heapreplace(found, entry)
-        return [(s, -i) for s, i in sorted(found, reverse=True)]
+        terms = np.fromiter(vector, np.int64, len(vector))
+        sizes = self.lists[terms + 1] - self.lists[terms]
+        cells = _ranges(self.lists[terms], sizes)
+        weights = np.repeat(np.fromiter(vector.values(), float, len(vector)), sizes)
+        block = self.block[cells]
+        bounds = np.bincount(block, weights * self.most[cells], minlength=self.blocks)
+        visit = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds > 0)]
+        ids, sums = np.zeros(0, np.int64), np.zeros(0)
+        at, step = 0, 8
+        while at < len(visit) and not (len(ids) == k and bounds[visit[at]] < sums[-1] - 1e-12):
+            chosen = np.zeros(self.blocks, bool)
+            chosen[visit[at : at + step]] = True
+            held = np.flatnonzero(chosen[block])
+            starts = self.cells[cells[held]]
+            sizes = self.cells[cells[held] + 1] - starts
+            entries = _ranges(starts, sizes)
+            found = np.bincount(self.rows[entries], self.weights[entries] * np.repeat(weights[held], sizes), minlength=self.n)
+            more = np.flatnonzero(found > 0)
+            ids, sums = np.r_[ids, more], np.r_[sums, found[more]]
+            best = np.lexsort((ids, -sums))[:k]
+            ids, sums = ids[best], sums[best]
+            at, step = at + step, 2 * step
+        return list(zip(sums.tolist(), ids.tolist()))
 
 
 class Model:
     """Examples, their index and the base rate; small enough to go with each task."""
 
-    def __init__(self, examples: list[tuple[int, Counter, int]], sizes: dict[int, int], terms: list[bytes], idf: np.ndarray):
+    def __init__(self, examples: list[tuple[int, Counter, int]], sizes: dict[int, int], terms: list[bytes], weights: np.ndarray):
         self.term = {w: i for i, w in enumerate(terms)}
-        self.idf = idf
+        self.weights = weights.tolist()
         vectors = [(doc, self.vector(words), y) for doc, words, y in examples]
         vectors = sorted(
             ((doc, v, y) for doc, v, y in vectors if v),
@@ -122,12 +131,12 @@ class Model:
         self.index = BlockMaxIndex([r[1] for r in vectors], len(terms))
 
     def vector(self, words: dict[bytes, int]) -> dict[int, float]:
-        raw = {i: (1 + math.log(words[w])) * float(self.idf[i]) for w in words if (i := self.term.get(w)) is not None}
+        raw = {i: (1 + math.log(words[w])) * x for w in words if (i := self.term.get(w)) is not None and (x := self.weights[i])}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {i: x / norm for i, x in sorted(raw.items())} if norm else {}
 
     def score(self, text: str) -> tuple[float, list[int]]:
-        near = self.index.nearest(self.vector(Counter(w for w in letter_words(text) if w in self.term)), NEAREST)
+        near = self.index.nearest(self.vector(Counter(letter_words(text))), NEAREST)
         votes = [0.0, 0.0]
         for cosine, i in near:
             votes[self.labels[i]] += cosine * cosine * self.weight[self.labels[i]]
@@ -137,10 +146,11 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EXAMPLES) -> Model:
-    """Takes up to `each` labelled examples a class and counts their terms over all documents."""
+    """Takes up to `each` labelled examples a class and counts all their words over all documents."""
     rows, sizes = labelled_texts(docs, labels, label, each)
     examples = _without_near_copies([(doc, Counter(letter_words(text)), y) for doc, text, y in rows])
-    terms = choose_terms([(words, y) for _, words, y in examples])
+    strength = strengths([(words, y) for _, words, y in examples])
+    terms = list(strength)
     place = {w: i for i, w in enumerate(terms)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,20 +161,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EX
                 holding[list(held)] += 1
                 n += 1
         holding[-1] = n  # last: all documents
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(terms) + 1)), pa.array(holding)], ["term", "n"])
+        met = np.flatnonzero(holding)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(holding[met])], ["term", "n"])
 
     counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     holding = np.zeros(len(terms) + 1)
     for r in counted:
         holding[r.term] = r.n
     idf = np.log((1 + holding[-1]) / (1 + holding[:-1])) + 1
-    return Model(examples, sizes, terms, idf)
+    return Model(examples, sizes, terms, idf * np.array(list(strength.values())))
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """Adds score and evidence (doc_ids of the nearest examples) beside a struct `row` of the given columns.
 
-    A text without any term of the model, so also an empty or null one, has no neighbour and
+    A text without any word of the examples that tells of the label, so also an empty or null one, has no neighbour and
     scores the base rate of the labels; without labelled rows that is 0. Each row is scored by its own
     whole text, repeated ones alike. No rows give no rows.
     """

@@ -100,6 +100,19 @@ def test_block_max_is_exact():
         assert np.allclose([s for s, _ in index.nearest(q, 10)], want)
 
 
+def test_rare_toxic_words_have_neighbours(spark):
+    pick = random.Random(8)
+    common = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = [" ".join(pick.choices(common, k=30)) for _ in range(300)]
+    rows += [" ".join([*pick.choices(common, k=30), "vilest" if i < 60 else f"slur{chr(97 + i % 10)}"]) for i in range(100)]
+    asked = [" ".join([*pick.choices(common, k=30), x]) for x in ("slurc", "slurc", "slurd", "sunny", "sunny")]
+    docs = frame(spark, [*rows, *asked])
+    labels = spark.createDataFrame([(i, int(i >= 300)) for i in range(len(rows))], "doc_id long, toxic int")
+    scores = toxicity.score_toxicity(docs, toxicity.fit(docs, labels)).filter(f"row.doc_id >= {len(rows)}").orderBy("row.doc_id")
+    scores = [r.score for r in scores.collect()]
+    assert min(scores[:3]) >= toxicity.THRESHOLD > max(scores[3:])
+
+
 def test_plain_spans_follow_the_patterns(texts):
     for text in [*texts.values(), "a@b.co 1.2.3.400 4111 1111 1111 1111, +1 (988) 555-2485"]:
         want = [(m.start(), "email", m.end()) for m in pii.EMAIL.finditer(text)]
