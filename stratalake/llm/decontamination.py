@@ -17,8 +17,9 @@ from stratalake.llm.common import slices, strings, written
 #: Words in a window, and how many of them must be words of the text and not placeholders.
 WINDOW = 8
 LITERALS = 4
-#: Share of an item's windows that a document must hold.
+#: Share of an item's windows that a document must hold, or so many of them in a row.
 SHARE = 0.3
+RUN = 23
 #: Benchmarks of up to so many windows travel to the tasks as a filter of 8 bytes a window.
 FILTER_WINDOWS = 2_000_000
 
@@ -37,6 +38,8 @@ NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*%?")
 EDGES = "\"'“”‘’()[]{}<>.,;:!?…*_|#&~`^=\\/-–—"
 LITERAL, NUM, NAME, UNIT = range(4)
 MARKS = {NUM: "<number>", NAME: "<name>", UNIT: "<unit>"}
+#: What the text of a window of plain words begins with; no word is made of signs alone.
+PLAIN = "="
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,22 +96,22 @@ class Canon:
         self.unit[i] = kind == LITERAL and word in UNITS
         return i
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Kind, digest and place in `words` of each word; tokens of signs alone are left out."""
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Kind, digest, digest of the word itself and place in `words` of each word; tokens of signs alone are left out."""
         if len(self.words) > self.kept:
             self.forget()
         found = text.split()
         at = np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))
         if not len(at):
-            return at, at.astype(np.uint64), at
+            return at, at.astype(np.uint64), at.astype(np.uint64), at
         kind, digest = self.kind[at], self.digest[at]
         begins = np.r_[True, self.ends[at[:-1]]]
         kind[begins & (kind == NAME)] = LITERAL
         unit = self.unit[at] & np.r_[False, kind[:-1] == NUM]
         kind[unit] = UNIT
         real = digest != 0
-        digest = np.where(kind == LITERAL, digest, MARK_DIGESTS[kind])
-        return kind[real], digest[real], at[real]
+        typed = np.where(kind == LITERAL, digest, MARK_DIGESTS[kind])
+        return kind[real], typed[real], digest[real], at[real]
 
 
 MARK_DIGESTS = np.array([0, *(_hash(MARKS[k]) for k in (NUM, NAME, UNIT))], np.uint64)
@@ -126,18 +129,35 @@ def window_digests(kind: np.ndarray, digest: np.ndarray, width: int, literals: i
     return sums ^ (sums >> np.uint64(29)), own[width:] - own[:-width] >= literals
 
 
-def _rows(canon: Canon, text: str, width: int, literals: int, wanted) -> Iterator[tuple[int, int, str, list[str]]]:
-    """(place, digest, template, slot values) of the windows of a text that are wanted."""
-    kind, digest, at = canon.tokens(text)
-    sums, rich = window_digests(kind, digest, width, literals)
-    for i in np.flatnonzero(rich & wanted(sums)).tolist():
-        words = [(k, canon.words[a].lower()) for k, a in zip(kind[i : i + width].tolist(), at[i : i + width].tolist())]
-        template = " ".join(w if k == LITERAL else MARKS[k] for k, w in words)
-        yield i, int(sums[i].view(np.int64)), template, [w for k, w in words if k != LITERAL]
+def _rows(canon: Canon, text: str, width: int, literals: int, short: list[int] | None, wanted) -> Iterator[tuple[int, int, str, list[str]]]:
+    """(place, digest, template, slot values) of the windows of a text that are wanted.
 
-
-def windows(rows: DataFrame, key: str, width: int, literals: int, only: np.ndarray | None = None) -> DataFrame:
-    """(key, text_key, pos, window, template, slots) of each text's windows; with `only`, of those digests."""
+    Windows of templates, and windows of plain words in lower case, whose template begins with PLAIN. `short` are the
+    widths below `width` that are cut as well; without it a text shorter than a window is one window.
+    """
+    kind, typed, plain, at = canon.tokens(text)
+    if short is None:
+        widths = [min(width, len(kind))] if len(kind) else []
+    else:
+        widths = [w for w in (*short, width) if w <= len(kind)]
+    for w in widths:
+        sums, rich = window_digests(kind, typed, w, literals)
+        for i in np.flatnonzero(rich & wanted(sums)).tolist():
+            words = [(k, canon.words[a].lower()) for k, a in zip(kind[i : i + w].tolist(), at[i : i + w].tolist())]
+            template = " ".join(x if k == LITERAL else MARKS[k] for k, x in words)
+            yield i, int(sums[i].view(np.int64)), template, [x for k, x in words if k != LITERAL]
+        sums = window_digests(kind, plain, w, 0)[0] ^ _STEP
+        held = np.flatnonzero(wanted(sums))
+        if w < width and len(held):
+            held = np.sort(held[np.unique(sums[held], return_index=True)[1]])  # once is enough
+        for i in held.tolist():
+            yield i, int(sums[i].view(np.int64)), " ".join([PLAIN, *(canon.words[a].lower() for a in at[i : i + w].tolist())]), []
+
+
+def windows(
+    rows: DataFrame, key: str, width: int, literals: int, only: np.ndarray | None = None, short: list[int] | None = None
+) -> DataFrame:
+    """(key, text_key, pos, window, template, slots) of each text's windows; with `only`, of those digests; `short` as in `_rows`."""
     source = rows.select(F.col(key), "text")
     kind = source.schema[key].dataType.simpleString()
     if only is None:
@@ -158,7 +178,7 @@ def windows(rows: DataFrame, key: str, width: int, literals: int, only: np.ndarr
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon = Canon()
         for batch in (s for b in batches for s in slices(b)):
-            out = [(i, t, r) for i, t in enumerate(strings(batch.column("text"))) for r in _rows(canon, t, width, literals, wanted)]
+            out = [(i, t, r) for i, t in enumerate(strings(batch.column("text"))) for r in _rows(canon, t, width, literals, short, wanted)]
             digests = {i: hashlib.md5(t.encode()).digest() for i, t, _ in out}
             yield pa.RecordBatch.from_arrays(
                 [
@@ -173,29 +193,36 @@ def windows(rows: DataFrame, key: str, width: int, literals: int, only: np.ndarr
     return source.mapInArrow(cut, f"{key} {kind}, text_key binary, pos int, window long, template string, slots array<string>")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, share: float = SHARE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, share: float = SHARE, run: int = RUN) -> DataFrame:
     """Documents that hold a benchmark item, as it is or with other values in its slots.
 
     Columns: doc_id, text_key (MD5 of the text), item_id, n_windows (of the item), n_found, same_values. Texts become
     templates in which numbers, names and units are typed placeholders; windows of templates are
-    joined on their digest and compared as text. A row needs `share` of the item's windows, whatever the values in
-    their slots. Values are judged per slot: within an alignment of a document with an item, a slot agrees if it
+    joined on their digest and compared as text; windows of fewer than `literals` own words have no
+    template. Beside them windows of plain words are joined, in lower case and of any words, and an item shorter than a
+    window is one window of its whole length. A row needs `share` of the item's windows of templates, or of its windows
+    of either kind, or `run` of these in a row, whatever the values in their slots. Values are judged per slot: within an alignment of a document with an item, a slot agrees if it
     holds the item's own value or the one that stands most often for that value of the item (at equal
     numbers the item's own, then the first), or if that value was replaced throughout. n_found counts the windows whose
     slots all agree, so it may be less than the share; same_values tells whether each window is there with the item's own values.
 
-    Texts shorter than a window, empty and null ones match nothing. Items that repeat are items
+    An item of one word is in every document with that word. Texts without words match nothing. Items that repeat are items
     of their own, as are rows that share an item_id with another text; repeated documents of one doc_id and text
     give one row an item. An empty table on either side gives no rows; other columns are not read.
     """
     items = written(windows(benchmark, "item_id", width, literals), "benchmark-windows")
-    sizes = items.groupBy("item_id", "text_key").agg(F.countDistinct("pos").alias("n_windows"))
+    typed = ~F.col("template").startswith(PLAIN)
+    sizes = items.groupBy("item_id", "text_key").agg(
+        F.countDistinct("pos").alias("n_windows"), F.countDistinct(F.when(typed, F.col("pos"))).alias("n_typed")
+    )
+    plain = F.when(~typed, F.size(F.split("template", " ")) - 1).alias("width")
+    short = sorted(r.width for r in items.select(plain).filter(F.col("width") < width).distinct().collect())
     distinct = items.select("window").distinct()
     found = [r.window for r in distinct.limit(FILTER_WINDOWS + 1).collect()]
     only = np.array(found, np.int64).view(np.uint64) if len(found) <= FILTER_WINDOWS else None
     if not found:
         only = np.zeros(1, np.uint64)
-    held = windows(docs, "doc_id", width, literals, only)
+    held = windows(docs, "doc_id", width, literals, only, short)
     item = items.select(
         "item_id", F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), "window", "template",
         F.col("slots").alias("item_slots"),
@@ -204,7 +231,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
     places = F.filter(marked, lambda i: i.isNotNull())
     pairs = F.arrays_zip(places.alias("place"), F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     alignment = F.struct("doc_id", "text_key", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"))
-    hits = held.join(item, ["window", "template"]).select(alignment.alias("alignment"), "item_pos", pairs.alias("pairs"))
+    hits = held.join(item, ["window", "template"]).select(
+        alignment.alias("alignment"), "item_pos", pairs.alias("pairs"), typed.alias("typed")
+    )
     hits = written(hits, "template-hits")
     usual = (
         hits.select("alignment", F.explode("pairs").alias("pair")).select("alignment", "pair.*").distinct()
@@ -216,14 +245,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
     )
     agrees = F.forall("pairs", lambda p: (p["a"] == p["b"]) | (p["b"] == F.coalesce(F.col("usual")[p["a"]], p["b"])))
     same = F.forall("pairs", lambda p: p["a"] == p["b"])
+    places = F.sort_array("places")
+    in_row = F.exists(
+        F.transform(places, lambda p, i: F.get(places, i + run - 1) - p), lambda d: F.coalesce(d == run - 1, F.lit(False))
+    )
+    whole = ["doc_id", "text_key", "item_id", "item_key"]
     return (
         hits.join(usual, "alignment", "left")
-        .groupBy("alignment.doc_id", "alignment.text_key", "alignment.item_id", "alignment.item_key", "item_pos")
-        .agg(F.max(agrees).alias("agrees"), F.max(same).alias("same"))
-        .groupBy("doc_id", "text_key", "item_id", "item_key")
-        .agg(F.count("*").alias("n_held"), F.count_if("agrees").alias("n_found"), F.every("same").alias("same_values"))
+        .groupBy("alignment", "item_pos")
+        .agg(F.max(agrees).alias("agrees"), F.max(same).alias("same"), F.max("typed").alias("typed"))
+        .groupBy("alignment").agg(F.collect_list("item_pos").alias("places"), F.collect_list(F.struct("item_pos", "agrees", "same", "typed")).alias("held"))
+        .select("alignment.*", in_row.alias("in_row"), F.explode("held").alias("held"))
+        .groupBy(*whole, "held.item_pos")
+        .agg(*(F.max(c).alias(c.split(".")[-1]) for c in ("held.agrees", "held.same", "held.typed", "in_row")))
+        .groupBy(*whole)
+        .agg(
+            F.count("*").alias("n_held"), F.count_if("typed").alias("n_held_typed"), F.count_if("agrees").alias("n_found"),
+            F.every("same").alias("same_values"), F.max("in_row").alias("in_row"),
+        )
         .join(sizes.withColumnRenamed("text_key", "item_key"), ["item_id", "item_key"])
-        .filter(F.col("n_held") >= share * F.col("n_windows"))
+        .filter(
+            (F.col("n_held") >= share * F.col("n_windows")) | F.col("in_row")
+            | ((F.col("n_held_typed") > 0) & (F.col("n_held_typed") >= share * F.col("n_typed")))
+        )
         .select("doc_id", "text_key", "item_id", "n_windows", "n_found", "same_values")
     )
 

@@ -210,6 +210,23 @@ def test_leaks_whose_values_are_not_one_to_one(spark, item, text, least):
     assert rows[1].n_found == rows[1].n_windows and rows[1].same_values
 
 
+def test_leaks_of_short_long_and_lower_cased_items(spark):
+    long = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    names = "Anna and Peter see Maria near Paul while Otto and Hans follow Emma to Rome with Karl"
+    items = ["What is 17 plus 25", "12 7 19 33 41 58 63 70 82 91", "Anna Peter Maria Paul", " ".join(long), names]
+    texts = [
+        "He asked: what is 17 plus 25? Then", "so 12 7 19 33 41 58 63 70 82 91 and", "x Anna, Peter, Maria, Paul.",
+        "Before " + " ".join(long[100:190]) + " after", "I saw " + names.lower() + " there",
+        "what is 17 plus", "12 7 19 33", "anna peter and maria paul", " ".join(long[:20]), "anna and peter see maria", None, "",
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontamination.leaks(frame(spark, texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i in range(5)}
+    assert all(r.same_values and 0 < r.n_found <= r.n_windows for r in rows)
+    kept = decontamination.drop_leaks(frame(spark, texts), benchmark).collect()
+    assert {r.doc_id for r in kept} == set(range(5, 12))
+
+
 def test_groups_equal_brute_force(spark, docs, texts):
     sets, lists = {}, defaultdict(list)
     for i, text in texts.items():
