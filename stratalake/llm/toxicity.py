@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,11 +68,13 @@ class BlockMaxIndex:
     blocks are visited by falling upper bound, a few at a time, until none can hold a better example.
     """
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int):
-        self.n, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
-        sizes = [len(v) for v in vectors]
-        terms = np.fromiter((t for v in vectors for t in v), np.int64, sum(sizes))
-        weights = np.fromiter((w for v in vectors for w in v.values()), float, sum(sizes))
+    def __init__(self, vectors: Iterable[dict[int, float]], n_terms: int):
+        parts = [(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), float, len(v))) for v in vectors]
+        self.n, self.blocks = len(parts), -(-len(parts) // BLOCK)
+        sizes = [len(t) for t, _ in parts]
+        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in parts)])
+        weights = np.concatenate([np.zeros(0), *(w for _, w in parts)])
+        del parts
         rows = np.repeat(np.arange(self.n), sizes)
         order = np.lexsort((rows, terms))
         terms, self.rows, self.weights = terms[order], rows[order].astype(np.int32), weights[order]
@@ -118,17 +120,18 @@ class Model:
     def __init__(self, examples: list[tuple[int, Counter, int]], sizes: dict[int, int], terms: list[bytes], weights: np.ndarray):
         self.term = {w: i for i, w in enumerate(terms)}
         self.weights = weights.tolist()
-        vectors = [(doc, self.vector(words), y) for doc, words, y in examples]
-        vectors = sorted(
-            ((doc, v, y) for doc, v, y in vectors if v),
-            key=lambda r: (max(r[1], key=lambda t: (r[1][t], -t)), len(r[1]), r[0]),
-        )  # alike examples share a block
+        # Vectors are made twice and not kept: as dicts, those of all examples would fill the driver.
+        placed = []
+        for i, (doc, words, _) in enumerate(examples):
+            if v := self.vector(words):
+                placed.append((max(v, key=lambda t: (v[t], -t)), len(v), doc, i))
+        order = [i for *_, i in sorted(placed)]  # alike examples share a block
         held = Counter(y for _, _, y in examples)
         self.weight = [sizes.get(c, 0) / held[c] if held[c] else 0.0 for c in (0, 1)]
         total = sum(sizes.values())
         self.base = sizes.get(1, 0) / total if total else 0.0
-        self.docs, self.labels = [r[0] for r in vectors], [r[2] for r in vectors]
-        self.index = BlockMaxIndex([r[1] for r in vectors], len(terms))
+        self.docs, self.labels = [examples[i][0] for i in order], [examples[i][2] for i in order]
+        self.index = BlockMaxIndex((self.vector(examples[i][1]) for i in order), len(terms))
 
     def vector(self, words: dict[bytes, int]) -> dict[int, float]:
         raw = {i: (1 + math.log(words[w])) * x for w in words if (i := self.term.get(w)) is not None and (x := self.weights[i])}
@@ -148,7 +151,9 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EXAMPLES) -> Model:
     """Takes up to `each` labelled examples a class and counts all their words over all documents."""
     rows, sizes = labelled_texts(docs, labels, label, each)
-    examples = _without_near_copies([(doc, Counter(letter_words(text)), y) for doc, text, y in rows])
+    known: dict[bytes, bytes] = {}  # one object for each word, whatever the number of examples that hold it
+    examples = _without_near_copies([(doc, Counter(known.setdefault(w, w) for w in letter_words(text)), y) for doc, text, y in rows])
+    del rows, known
     strength = strengths([(words, y) for _, words, y in examples])
     terms = list(strength)
     place = {w: i for i, w in enumerate(terms)}
