@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, forest, packing, pii, quality, repeats, shingle_join, site_lines, token_files, toxicity
+from stratalake.llm import (
+    decontamination, forest, merkle, outliers, packing, periodic_runs, pii, quality, repeats, shingle_join, site_lines,
+    token_files, toxicity,
+)
 from stratalake.llm.common import held_out, new_folder, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +102,36 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     files = token_files.read_tokens(spark, path)
     return token_files.token_starts(packing.with_crc(files), files).drop("part", "pos")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    text = periodic_runs.with_planted_repeats(F.col("text"), F.col("doc_id"))
+    found = periodic_runs.find_runs(docs.select("doc_id", text.alias("text")))
+    best = found.select("*", periodic_runs.strongest(F.col("runs")).alias("best"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return outliers.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (docs,) = tables(spark, sf_dir, "documents")
+    return merkle.verify(merkle.tampered(docs)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+SQL["op13_merkle_manifest"] = merkle.SQL
