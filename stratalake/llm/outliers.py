@@ -19,7 +19,7 @@ LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
 #: Share of a cell's rows whose covariance has the least determinant, and fewest rows of a cell.
 HALF, LEAST_ROWS = 0.75, 50
 #: Squared distance, on the scale of a normal cell, beyond which a row is rejected.
-CUT = 150.0
+CUT = 120.0
 #: Least standard deviation of each feature, so that one that hardly varies in a cell rejects nothing by itself.
 FLOORS = np.array([0.25, 0.05, 0.05, 0.15, 0.15, 0.03, 0.25])
 _K = len(FLOORS)
