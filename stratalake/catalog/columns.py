@@ -196,29 +196,48 @@ def record_hash(spark, folder):
     return docs.select("doc_id", digest.record_hash(docs.columns).alias("record_hash"))
 
 
-@query("""
-    SELECT event_id, TRUE AS same_in_other_order, TRUE AS same_with_other_stamp, FALSE AS same_with_other_source,
-      event_type = 'click' AS same_as_click
-    FROM events""")
+def record_text(event_type: str, k: str) -> str:
+    """SQL for the text that is hashed of an event's record."""
+    return f"""
+      '{{"_resource":"events","amount":' || event_id || '.10,"event_id":' || event_id || ',"event_type":"' || {event_type}
+      || '","props":{{"even":' || (event_id % 2 = 0) || ',"k":' || {k}
+      || '}},"serial":' || repeat('1234567890', 4) || (event_id % 10) || '}}'"""
+
+
+@query(f"""
+    WITH told AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
+    SELECT event_id, sha256({record_text('event_type', 'k')}) AS record_hash,
+      sha256({record_text('event_type', 'k')}) AS reordered_hash,
+      sha256({record_text("'click'", 'k')}) AS clicked_hash,
+      sha256({record_text('event_type', "k || '.0'")}) AS other_text_hash
+    FROM told""")
 def record_hash_json(spark, folder):
-    """Digests of JSON records: what counts as content, and what does not."""
-    events = table(spark, folder, "events")
-
-    def hashed(*members) -> F.Column:
-        return digest.record_hash_json(F.to_json(F.struct(*members)))
-
-    k = F.from_json("props", "k int").alias("props")
-    source, other = F.lit("events").alias("_resource"), F.lit("clicks").alias("_resource")
-    base = hashed("event_id", "event_type", "value", k, source)
-    reordered = hashed(source, k, "value", "event_id", "event_type")
-    stamped = hashed(F.col("ts").alias("_extracted_at"), "event_id", "event_type", "value", k, source)
-    clicked = hashed("event_id", F.lit("click").alias("event_type"), "value", k, source)
+    """Digests of JSON records: members in key order, numbers by their text, bookkeeping fields left out."""
+    events = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k"))
+
+    def member(name: str, value) -> F.Column:
+        return F.concat(F.lit(f'"{name}":'), value)
+
+    def text_member(name: str, value) -> F.Column:
+        return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+
+    def hashed(*members, event_type=F.col("event_type"), k=F.col("k")) -> F.Column:
+        even = F.when(F.col("event_id") % 2 == 0, "true").otherwise("false")
+        props = F.concat(F.lit("{"), member("k", k), F.lit(" , "), member("even", even), F.lit("}"))
+        serial = F.concat(F.lit("1234567890" * 4), F.col("event_id") % 10)
+        known = {
+            "resource": text_member("_resource", F.lit("events")), "id": member("event_id", F.col("event_id")),
+            "amount": member("amount", F.concat("event_id", F.lit(".10"))), "type": text_member("event_type", event_type),
+            "props": member("props", props), "serial": member("serial", serial),
+            "stamp": text_member("_extracted_at", F.col("ts").cast("string")),
+        }
+        return digest.record_hash_json(F.concat(F.lit("{"), F.concat_ws(", ", *(known[m] for m in members)), F.lit("}")))
+
+    one, other = ("id", "type", "amount", "props", "serial", "resource"), ("stamp", "serial", "props", "resource", "amount", "id", "type")
     return events.select(
-        "event_id",
-        (base == reordered).alias("same_in_other_order"),
-        (base == stamped).alias("same_with_other_stamp"),
-        (base == hashed("event_id", "event_type", "value", k, other)).alias("same_with_other_source"),
-        (base == clicked).alias("same_as_click"),
+        "event_id", hashed(*one).alias("record_hash"), hashed(*other).alias("reordered_hash"),
+        hashed(*one, event_type=F.lit("click")).alias("clicked_hash"),
+        hashed(*one, k=F.concat("k", F.lit(".0"))).alias("other_text_hash"),
     )
 
 
@@ -287,6 +306,29 @@ def list_detail_merge(spark, folder):
     )
 
 
+WIDE = 80
+
+
+@query(f"""
+    SELECT c_custkey, '{{' || list_aggregate(list_transform(range({WIDE * 3 // 2}), lambda i:
+      '"m' || lpad(i::varchar, 3, '0') || '":' || CASE WHEN i < {WIDE // 2} THEN c_custkey || '.' || i || '0'
+        WHEN i % 3 = 0 THEN 'null' ELSE '"' || c_name || ' 1.10"' END), 'string_agg', ',') || '}}' AS merged
+    FROM customer""")
+def list_detail_merge_wide(spark, folder):
+    """Records of many members, half of them in both; the text of every number stays."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+
+    def record(first: int, value) -> F.Column:
+        place = F.sequence(F.lit(first), F.lit(first + WIDE - 1))
+        named = F.transform(place, lambda i: F.concat(F.lit('"m'), F.lpad(i.cast("string"), 3, "0"), F.lit('": '), value(i)))
+        return F.concat(F.lit("{"), F.array_join(F.reverse(named), ", "), F.lit("}"))
+
+    listed = record(0, lambda i: F.concat(key, F.lit("."), i.cast("string"), F.lit("0")))
+    detail = record(WIDE // 2, lambda i: F.when(i % 3 == 0, "null").otherwise(F.concat(F.lit('"'), name, F.lit(' 1.10"'))))
+    customers = table(spark, folder, "customer").select("c_custkey", listed.alias("listed"), detail.alias("detail"))
+    return customers.select("c_custkey", json.merge_json("listed", "detail").alias("merged"))
+
+
 @query("""
     SELECT event_id, json_extract_string(props, '$.k') AS k, 'N/A' AS missing, 'N/A' AS through_a_value,
       event_type AS nested, CASE WHEN value < 10 THEN 'N/A' ELSE CAST(user_id AS VARCHAR) END AS sometimes
@@ -306,14 +348,15 @@ def nested_get(spark, folder):
 
 
 @query("""
-    SELECT o_orderkey, 'orders' AS resource, '2002-01-01T00:00:00' AS extracted_at, o_orderstatus AS status
+    SELECT o_orderkey, '{"_extracted_at":"2002-01-01T00:00:00","_resource":"orders","amount":' || o_orderkey || '.50,"status":"'
+      || o_orderstatus || '"}' AS record, 'orders' AS resource, '2002-01-01T00:00:00' AS extracted_at, o_orderstatus AS status
     FROM orders""")
 def source_fields(spark, folder):
-    """JSON records stamped with resource and extraction time."""
-    record = F.to_json(F.struct(F.col("o_orderstatus").alias("status")))
+    """JSON records stamped with resource and extraction time; all else stays as it is, numbers by their text."""
+    record = F.concat(F.lit('{"status":"'), "o_orderstatus", F.lit('","amount":'), "o_orderkey", F.lit(".50}"))
     stamped = dedup.add_source_fields(record, "orders", datetime(2002, 1, 1))
     return table(spark, folder, "orders").select("o_orderkey", stamped.alias("record")).select(
-        "o_orderkey",
+        "o_orderkey", "record",
         json.nested_get("record", "_resource").alias("resource"),
         json.nested_get("record", "_extracted_at").alias("extracted_at"),
         json.nested_get("record", "status").alias("status"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratalake.functions.json import json_members
+from stratalake.functions.json import sorted_json
 from stratalake.functions.text import as_column
 
 # Bookkeeping fields that are not part of a record's content.
@@ -37,11 +37,10 @@ def record_hash(columns: Sequence[str], exclude: Sequence[str] = UNHASHED_FIELDS
 def canonical_json(data: Column | str, exclude: Sequence[str] = UNHASHED_FIELDS) -> Column:
     """One text per record content, whatever the key order, at every depth.
 
-    VARIANT keeps the members of every object sorted by key and tells the number ``1`` from
-    the text ``"1"``; ``1`` and ``1.0`` are the same number. NULL for text that is no JSON
-    object.
+    Numbers count by their text, so ``1.10`` is not ``1.1``, no digit of a long number is lost, and the number ``1``
+    is not the text ``"1"``. NULL for text that is no JSON object.
     """
-    return F.to_json(F.map_filter(json_members(data), lambda key, _: ~key.isin(*exclude)))
+    return sorted_json(data, tuple(exclude))
 
 
 def record_hash_json(data: Column | str, exclude: Sequence[str] = UNHASHED_FIELDS) -> Column:

@@ -1,4 +1,9 @@
-"""Schema-less JSON records: member maps, merging, nested access."""
+"""Schema-less JSON records: member maps, merging, nested access. Numbers keep their text.
+
+Spark's JSON readers turn ``1.10`` into ``1.1`` and long numbers into doubles. Records are therefore
+parsed with their numbers as marked strings, and the marks are taken off what is written again. All of it
+is regular expressions and built-in functions over whole columns.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +12,73 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.text import as_column
 
+# Characters for private use: a string that is a number in the record, and one that began with a mark itself.
+NUMBER_MARK, ESCAPE_MARK = "\ue000", "\ue001"
+_MARKS = f"{NUMBER_MARK}{ESCAPE_MARK}"
+# An opening quote ahead of a mark, as itself or as an escape; a closing quote has none after it.
+_OPENS_WITH_MARK = rf'(?<!\\)"(?=[{_MARKS}]|\\u[eE]00[01])'
+# Each match starts where the last one ended and passes over whole strings, so it ends in a number outside of them.
+# Only what JSON takes for a number is one, and only where a value may stand: the rest is left for the parser to refuse.
+_NUMBER = (
+    r'(?s)(\G(?:[^"0-9\-]++|"(?:[^"\\]++|\\.)*+")*+)'
+    r"(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+\-]?[0-9]++)?+)(?=\s*+(?:[,}\]]|\z))"
+)
+_MARKED_NUMBER = rf'(?<!\\)"{NUMBER_MARK}([0-9.eE+\-]++)"'
+
+
+def _with_marks(data: Column | str) -> Column:
+    escaped = F.regexp_replace(as_column(data), _OPENS_WITH_MARK, f'"{ESCAPE_MARK}')
+    return F.regexp_replace(escaped, _NUMBER, f'$1"{NUMBER_MARK}$2"')
+
+
+def _without_marks(text: Column) -> Column:
+    numbers = F.regexp_replace(text, _MARKED_NUMBER, "$1")
+    return F.regexp_replace(numbers, rf'(?<!\\)"{ESCAPE_MARK}', '"')
+
+
+def _members(data: Column | str) -> Column:
+    return F.try_variant_get(F.try_parse_json(_with_marks(data)), "$", "map<string,variant>")
+
 
-def json_members(data: Column | str) -> Column:
-    """Top-level members of a JSON object as ``map<string, variant>``, in key order.
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row: a lambda would compute it again for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    NULL for text that is no JSON object or names a member twice.
+
+def sorted_json(data: Column | str, exclude: tuple[str, ...] | list[str] = ()) -> Column:
+    """The record with the members of every object in key order and without the excluded top-level ones.
+
+    Numbers keep their text. NULL for text that is no JSON object or names a member twice.
     """
-    return F.try_variant_get(F.try_parse_json(as_column(data)), "$", "map<string,variant>")
+    members = _members(data)
+    if exclude:
+        members = F.map_filter(members, lambda key, _: ~key.isin(*exclude))
+    return _without_marks(F.to_json(members))
 
 
 def merge_json(base: Column | str, update: Column | str, overwrite: bool = True) -> Column:
-    """Members of both records; ``update`` wins where both have a key, or ``base`` when
-    ``overwrite`` is off. A member that is present with the value null counts as present.
-    A missing or unreadable side leaves the other one unchanged.
+    """Members of both records, by key; ``update`` wins where both have a key, or ``base`` when
+    ``overwrite`` is off. A member that is present with the value null counts as present, and numbers keep
+    their text. A missing or unreadable side leaves the other one unchanged.
+
+    Members of both sides are sorted together and the first of each key is kept, so time is in
+    proportion to their number, but for the sort.
     """
-    winner, loser = (update, base) if overwrite else (base, update)
-    top, rest = json_members(winner), json_members(loser)
-    extra = F.map_filter(rest, lambda key, _: ~F.map_contains_key(top, key))
-    return F.coalesce(F.to_json(F.map_concat(extra, top)), as_column(base), as_column(update))
+
+    def listed(data: Column | str, rank: int) -> Column:
+        def member(entry: Column) -> Column:
+            return F.struct(entry["key"].alias("key"), F.lit(rank).alias("rank"), F.to_json(F.create_map(entry["key"], entry["value"])).alias("text"))
+
+        return F.transform(F.map_entries(_members(data)), member)
+
+    def joined(members: Column) -> Column:
+        first = F.filter(members, lambda m, i: (i == 0) | (F.get(members, i - 1)["key"] != m["key"]))
+        texts = F.transform(first, lambda m: F.substr(m["text"], F.lit(2), F.length(m["text"]) - 2))
+        return F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}"))
+
+    both = F.array_sort(F.concat(listed(base, int(overwrite)), listed(update, int(not overwrite))))
+    merged = F.when(both.isNotNull(), _without_marks(_bound(both, joined)))
+    return F.coalesce(merged, as_column(base), as_column(update))
 
 
 def nested_get(data: Column | str, path: str, default: str | None = None, separator: str = ".") -> Column:

@@ -1,5 +1,8 @@
 """Edge values of the column functions."""
 
+import json as pyjson
+import random
+import time
 from datetime import datetime
 
 import pytest
@@ -189,3 +192,68 @@ def test_record_hash_json_unicode_and_escapes(spark):
 @pytest.mark.parametrize("hot", ["", "   "])
 def test_clean_text_of_blank(spark, hot):
     assert values(spark, "c string", [(hot,)], text.clean_text("c")) == [None]
+
+
+LONG = "12345678901234567890123456789012345678901"
+
+
+def test_json_numbers_keep_their_text(spark):
+    rows = [
+        (f'{{"b":1.10,"a":{LONG},"c":[-0.50,1E+2,{{"z":0.1,"y":10}}]}}', '{"d":2.0}'),
+        ('{"s":"say 1.10, \\"2.0\\" [3]","t":"\\\\","n":7}', '{"s2":"-1"}'),
+        ('{"m":"\ue0001","k":"\ue001x","\ue0002":1,"u":"\\ue0003","v":"\\\\\ue0004","w":"\\"\ue0005"}', '{"e":1}'),
+    ]
+    got = values(spark, "l string, d string", rows, json.merge_json("l", "d"))
+    assert got[0] == f'{{"a":{LONG},"b":1.10,"c":[-0.50,1E+2,{{"y":10,"z":0.1}}],"d":2.0}}'
+    assert got[1] == '{"n":7,"s":"say 1.10, \\"2.0\\" [3]","s2":"-1","t":"\\\\"}'
+    assert pyjson.loads(got[2]) == {**pyjson.loads(rows[2][0]), "e": 1}
+
+
+def test_merge_json_is_that_of_dicts(spark):
+    pick = random.Random(1)
+
+    def value(depth=0):
+        kinds = [None, True, 0, -3, 1.5, "", "x", 'q"1.0', "\\", "1.10", "é\n", "\ue0001", "\ue001"]
+        if depth < 2 and pick.random() < 0.3:
+            return [value(depth + 1) for _ in range(pick.randrange(3))]
+        if depth < 2 and pick.random() < 0.3:
+            return {pick.choice("abcde\ue000\ue001"): value(depth + 1) for _ in range(pick.randrange(4))}
+        return pick.choice(kinds)
+
+    rows = [tuple({pick.choice(["a", "b", "é", "k 1", '"', "\ue0002", "\\"]): value() for _ in range(pick.randrange(6))} for _ in "ld") for _ in range(300)]
+    texts = [tuple(pyjson.dumps(x, ensure_ascii=pick.random() < 0.5, indent=pick.choice([None, 1])) for x in row) for row in rows]
+    for overwrite in (True, False):
+        got = values(spark, "l string, d string", texts, json.merge_json("l", "d", overwrite))
+        assert [pyjson.loads(g) for g in got] == [{**a, **b} if overwrite else {**b, **a} for a, b in rows]
+    # the numbers as text: two records are alike exactly if they are as parsed with numbers left as text
+    alike = [pyjson.dumps(pyjson.loads(t, parse_int=lambda x: ["n", x], parse_float=lambda x: ["n", x]), sort_keys=True) for t, _ in texts]
+    hashes = values(spark, "l string, d string", texts, digest.record_hash_json("l"))
+    assert len(set(zip(alike, hashes))) == len(set(alike)) == len(set(hashes))
+
+
+def test_unreadable_json_stays_unreadable(spark):
+    bad = ['{"a":01}', '{1:2}', '{"a":1 2}', '{"a":1.}', '{"a":+1}', '{"a":-}', '{"a":1', '{"a":"x}', '[1,2]', '{"a":1x}', '{"a":"1" 1}', "1", ""]
+    assert values(spark, "c string", [(b,) for b in bad], digest.canonical_json("c")) == [None] * len(bad)
+    assert values(spark, "c string", [(b,) for b in bad], json.merge_json("c", F.lit('{"k":1}'))) == bad
+
+
+def test_records_that_differ_in_a_late_digit_are_told_apart(spark):
+    other = LONG[:-1] + "2"
+    rows = [(f'{{"a":{x}}}',) for x in (LONG, other, "1.10", "1.1", "1", "1.0")]
+    assert len(set(values(spark, "c string", rows, digest.record_hash_json("c")))) == 6
+
+
+def test_merge_json_grows_with_the_members(spark):
+    def seconds(members):
+        side = F.concat(F.lit("{"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(members)), lambda i: F.concat(F.lit('"k'), i, F.lit('":'), i)), ","), F.lit("}"))
+        n = 160_000 // members
+        df = spark.range(0, n, 1, 4).select(side.alias("l"), F.replace(side, F.lit("k"), F.lit("j")).alias("d"))
+        df = df.select(json.merge_json("l", "d").alias("m"))
+        times = []
+        for _ in range(3):
+            start = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    assert seconds(1600) < 4 * seconds(80) + 1  # the same number of members in all
