@@ -143,7 +143,7 @@ def _doubles(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
 
 
 def _histograms(packs: DataFrame, buckets: Callable[[pa.RecordBatch, int, np.ndarray], np.ndarray]) -> DataFrame:
-    """cell, kind, bucket, n: how many rows of a cell fall into each bucket, for each column that `buckets` gives."""
+    """cell, kind, bucket, n: how many rows of a pack fall into each bucket, for each column that `buckets` gives."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,23 +160,19 @@ def _histograms(packs: DataFrame, buckets: Callable[[pa.RecordBatch, int, np.nda
                 [pa.array(cells, pa.string()), pa.array(kinds), *(pa.array(b) for b in both)], ["cell", "kind", "bucket", "n"]
             )
 
-    counted = packs.mapInArrow(count, "cell string, kind int, bucket long, n long")
-    return counted.groupBy("cell", "kind", "bucket").agg(F.sum("n").alias("n"))
+    return packs.mapInArrow(count, "cell string, kind int, bucket long, n long")
 
 
-def _quantile(share: float) -> Column:
-    """The bucket in which a share of the rows of a cell and kind is reached, given `upto` and `total`."""
-    return F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), F.col("bucket")))
+def _quantiles(histograms: DataFrame, kinds: int, **shares: float) -> DataFrame:
+    """cell and, for each share, the buckets in which it is reached, one of each kind.
 
-
-def _quantiles(histograms: DataFrame, **shares: float) -> DataFrame:
-    each = Window.partitionBy("cell", "kind")
-    running = histograms.select(
-        "cell", "kind", "bucket", F.sum("n").over(each.orderBy("bucket")).alias("upto"), F.sum("n").over(each).alias("total")
-    )
-    one = running.groupBy("cell", "kind").agg(*(_quantile(s).alias(name) for name, s in shares.items()))
-    kinds = one.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("kind", *shares))).alias("kinds"))
-    return kinds.select("cell", *(F.col(f"kinds.{name}").alias(name) for name in shares))
+    Buckets are counted in each task, and there are few of them, so this is one exchange of small rows.
+    """
+    lists = [
+        F.array(*(F.ceil(F.percentile(F.when(F.col("kind") == k, F.col("bucket")), share, F.col("n"))) for k in range(kinds))).alias(name)
+        for name, share in shares.items()
+    ]
+    return histograms.groupBy("cell").agg(*lists)
 
 
 def _log_buckets(batch: pa.RecordBatch, i: int, x: np.ndarray) -> np.ndarray:
@@ -190,27 +186,27 @@ def _distances(x: np.ndarray, centres: np.ndarray, whitens: np.ndarray) -> np.nd
     return np.column_stack([(t * t).sum(1) for t in turned])
 
 
-_SUMS = [f"s{i}" for i in range(1 + _K + len(_CROSS[0]))]
+_WIDTH = 1 + _K + len(_CROSS[0])
 
 
-def _sums(packs: DataFrame, choose: Callable[[pa.RecordBatch, int, np.ndarray], list[np.ndarray]]) -> DataFrame:
-    """cell, kind and the number, sums and sums of products of the rows that `choose` gives for each kind."""
+def _sums(packs: DataFrame, kinds: int, choose: Callable[[pa.RecordBatch, int, np.ndarray], list[np.ndarray]], *keep: str) -> DataFrame:
+    """cell, s0, s1, ...: for each kind the number, sums and sums of products of the rows that `choose` gives.
+
+    `keep` are columns that are equal in all packs of a cell.
+    """
+    names = [f"s{i}" for i in range(kinds * _WIDTH)]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for i, x in _vectors_of(batch):
-                for kind, y in enumerate(choose(batch, i, x)):
-                    rows.append((batch.column("cell")[i].as_py(), kind, len(y), *y.sum(0), *(y.T @ y)[_CROSS]))
-            columns = list(zip(*rows)) if rows else [[]] * (2 + len(_SUMS))
+            rows = [[v for y in choose(batch, i, x) for v in (len(y), *y.sum(0), *(y.T @ y)[_CROSS])] for i, x in _vectors_of(batch)]
+            columns = np.array(rows, float).reshape(-1, len(names)).T
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.float64()) for c in columns[2:])],
-                ["cell", "kind", *_SUMS],
+                [*(batch.column(c) for c in ("cell", *keep)), *(pa.array(c) for c in columns)], ["cell", *keep, *names]
             )
 
-    shape = ", ".join(f"{c} double" for c in _SUMS)
-    added = packs.mapInArrow(add, f"cell string, kind int, {shape}")
-    return added.groupBy("cell", "kind").agg(*(F.sum(c).alias(c) for c in _SUMS))
+    kept = "".join(f", {c} {packs.schema[c].dataType.simpleString()}" for c in keep)
+    added = packs.mapInArrow(add, f"cell string{kept}, {', '.join(f'{c} double' for c in names)}")
+    return added.groupBy("cell").agg(*(F.first(c).alias(c) for c in keep), *(F.sum(c).alias(c) for c in names))
 
 
 def _moments(row: np.ndarray, centred: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -230,27 +226,14 @@ def _model(centre: np.ndarray, cov: np.ndarray) -> tuple[list[float], list[float
     return short(centre), short(whiten), float(f"{-2 * np.log(np.diag(whiten)).sum():.10g}")
 
 
-_MODEL = "cell string, kind int, centre array<double>, whiten array<double>, spread double"
-
-
-def _models(sums: DataFrame) -> DataFrame:
-    """Centre and covariance of the chosen rows of each cell and kind."""
-
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fitted = [_model(*_moments(row, centred=True)) for row in _matrix(batch, _SUMS)]
-            yield _model_batch(batch.column("cell").to_pylist(), batch.column("kind").to_pylist(), fitted)
+_MODELS = "cell string, centres array<double>, whitens array<double>, spreads array<double>, fall double"
 
-    return sums.mapInArrow(fit, _MODEL)
 
-
-def _model_batch(cells: list[str], kinds: list[int], fitted: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*fitted)) if fitted else [[]] * 3
+def _model_rows(batch: pa.RecordBatch, fitted: list[list[tuple]], falls: list[float]) -> pa.RecordBatch:
+    """One row a cell: its models' centres, whitening matrices and log determinants end to end."""
     lists = pa.list_(pa.float64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(cells, pa.string()), pa.array(kinds, pa.int32()), pa.array(columns[0], lists), pa.array(columns[1], lists), pa.array(columns[2], pa.float64())],
-        ["cell", "kind", "centre", "whiten", "spread"],
-    )
+    columns = [pa.array([[v for m in cell for v in (m[k] if k < 2 else [m[2]])] for cell in fitted], lists) for k in range(3)]
+    return pa.RecordBatch.from_arrays([batch.column("cell"), *columns, pa.array(falls, pa.float64())], ["cell", "centres", "whitens", "spreads", "fall"])
 
 
 def _starts(packs: DataFrame) -> DataFrame:
@@ -259,7 +242,7 @@ def _starts(packs: DataFrame) -> DataFrame:
     def grid(batch: pa.RecordBatch, i: int, x: np.ndarray) -> np.ndarray:
         return np.floor(x * _GRID)
 
-    places = _quantiles(_histograms(packs, grid), low=0.25, middle=0.5, high=0.75)
+    places = _quantiles(_histograms(packs, grid), _K, low=0.25, middle=0.5, high=0.75)
 
     def scaled(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
         middle = (_doubles(batch, "middle", i) + 0.5) / _GRID
@@ -271,43 +254,50 @@ def _starts(packs: DataFrame) -> DataFrame:
         size = np.sqrt((z * z).sum(1, keepdims=True))
         return [np.tanh(z), z / np.maximum(size, 1e-9)]
 
-    sums = _sums(packs.join(places, "cell"), squashed).join(places, "cell")
+    sums = _sums(packs.join(written(places, "outlier-places"), "cell"), 2, squashed, "low", "middle", "high")
+    names = [c for c in sums.columns if c[0] == "s"]
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells, kinds, fitted = [], [], []
-            for i, row in enumerate(_matrix(batch, _SUMS)):
+            fitted = []
+            for i, row in enumerate(_matrix(batch, names)):
                 middle, scale = scaled(batch, i)
-                cov = _moments(row, centred=False)[1] + 1e-6 * np.eye(_K)
-                side = np.sqrt(np.diag(cov))
-                kind = batch.column("kind")[i].as_py()
-                for k, shape in [(0, np.eye(_K)), (1, cov / np.outer(side, side))] if kind == 0 else [(2, cov / np.outer(side, side))]:
-                    cells.append(batch.column("cell")[i].as_py())
-                    kinds.append(k)
-                    fitted.append(_model(middle, shape * np.outer(scale, scale)))
-            yield _model_batch(cells, kinds, fitted)
-
-    return sums.mapInArrow(begin, _MODEL)
-
-
-def _laid_out(models: DataFrame) -> DataFrame:
-    """One row a cell: its models' centres and whitening matrices end to end, by kind."""
-    by_kind = F.sort_array(F.collect_list(F.struct("kind", "centre", "whiten")))
-    return models.groupBy("cell").agg(by_kind.alias("m")).select(
-        "cell", F.flatten("m.centre").alias("centres"), F.flatten("m.whiten").alias("whitens")
-    )
+                shapes = [np.eye(_K)]
+                for part in row.reshape(2, _WIDTH):
+                    cov = _moments(part, centred=False)[1] + 1e-6 * np.eye(_K)
+                    side = np.sqrt(np.diag(cov))
+                    shapes.append(cov / np.outer(side, side))
+                fitted.append([_model(middle, shape * np.outer(scale, scale)) for shape in shapes])
+            yield _model_rows(batch, fitted, [0.0] * len(fitted))
+
+    return sums.mapInArrow(begin, _MODELS)
+
 
+def _concentrated(packs: DataFrame, models: DataFrame, kinds: int, choose_one: bool = False) -> DataFrame:
+    """One step: models of the rows nearest by the present ones, HALF of each cell, and how far the determinants fell.
 
-def _concentrated(packs: DataFrame, models: DataFrame) -> DataFrame:
-    """One step: models of the rows nearest by the present ones, HALF of each cell."""
-    known = packs.join(_laid_out(models), "cell")
-    bounds = _quantiles(_histograms(known, _log_buckets), bound=HALF)
+    With `choose_one` only the model of least determinant goes on.
+    """
+    known = packs.join(models, "cell")
+    bounds = written(_quantiles(_histograms(known, _log_buckets), kinds, bound=HALF), "outlier-bounds")
 
     def inner(batch: pa.RecordBatch, i: int, x: np.ndarray) -> list[np.ndarray]:
         inside = _log_buckets(batch, i, x) <= _doubles(batch, "bound", i)
         return [x[c] for c in inside.T]
 
-    return written(_models(_sums(known.join(bounds, "cell"), inner)), "outlier-models")
+    sums = _sums(known.join(bounds, "cell"), kinds, inner, "spreads")
+    names = [c for c in sums.columns if c[0] == "s" and c != "spreads"]
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fitted, falls = [], []
+            for i, row in enumerate(_matrix(batch, names)):
+                found = [_model(*_moments(part, centred=True)) for part in row.reshape(kinds, _WIDTH)]
+                falls.append(max(abs(m[2] - before) for m, before in zip(found, _doubles(batch, "spreads", i))))
+                fitted.append([min(found, key=lambda m: m[2])] if choose_one else found)
+            yield _model_rows(batch, fitted, falls)
+
+    return written(sums.mapInArrow(fit, _MODELS), "outlier-models")
 
 
 def fit(packs: DataFrame) -> DataFrame:
@@ -318,21 +308,16 @@ def fit(packs: DataFrame) -> DataFrame:
     counted and summed of them is of fixed size, made in each task first.
     """
     models = written(_starts(packs), "outlier-models")
-    for _ in range(_STEPS_OF_ALL):
-        models = _concentrated(packs, models)
-    least = Window.partitionBy("cell").orderBy("spread", "kind")
-    models = models.withColumn("place", F.row_number().over(least)).filter("place = 1")
-    models = models.withColumn("kind", F.lit(0)).drop("place")
+    for step in range(_STEPS_OF_ALL):
+        models = _concentrated(packs, models, 3, choose_one=step == _STEPS_OF_ALL - 1)
     for _ in range(_STEPS):
-        following = _concentrated(packs, models)
-        fall = models.join(following.select("cell", F.col("spread").alias("next")), "cell").agg(F.max(F.abs(F.col("spread") - F.col("next"))))
-        models, change = following, fall.first()[0]
-        if change is None or change < 1e-6:
+        models = _concentrated(packs, models, 1)
+        if (models.agg(F.max("fall")).first()[0] or 0.0) < 1e-6:
             break
-    middle = _quantiles(_histograms(packs.join(_laid_out(models), "cell"), _log_buckets), middle=0.5)
+    middle = _quantiles(_histograms(packs.join(models, "cell"), _log_buckets), 1, middle=0.5)
     typical = F.pow(F.lit(2.0), (F.col("middle")[0] + 0.5) / _FINE)
     return models.join(middle, "cell").select(
-        "cell", "centre", F.transform("whiten", lambda w: w * F.sqrt(_TYPICAL / typical)).alias("whiten")
+        "cell", F.col("centres").alias("centre"), F.transform("whitens", lambda w: w * F.sqrt(_TYPICAL / typical)).alias("whiten")
     )
 
 
