@@ -28,7 +28,7 @@ def checked(*done):
 @query(CLEANED_SQL["clients"])
 def cleaned_refresh(spark, folder):
     """Clients loaded and refreshed, then loaded with new content and merged."""
-    layout = Layout(new_folder(spark, "refresh"), buckets=8)
+    layout = Layout(new_folder(spark, "refresh"), buckets=8, key_digits=1)
     spec = RESOURCES["clients"]
     feed = raw_feed(spark, folder, "clients")
     older = feed.withColumns(
@@ -46,7 +46,7 @@ def cleaned_refresh(spark, folder):
 @query(FACT_SQL["fact_invoices"])
 def layers_run(spark, folder):
     """Raw, cleaned and star tables of three resources in one run; the invoices at its end."""
-    layout = Layout(new_folder(spark, "layers"), buckets=8)
+    layout = Layout(new_folder(spark, "layers"), buckets=8, key_digits=1)
     names = ("projects", "clients", "invoices")
     batches = {name: raw_feed(spark, folder, name) for name in names}
     checked(*run_layers(spark, layout, AS_OF, batches, ",".join(names)))

@@ -229,7 +229,7 @@ def dedup_report(spark, folder):
     WHERE record_hash NOT IN (SELECT record_hash FROM loaded) GROUP BY record_hash""")
 def raw_load_twice(spark, folder):
     """An early load, a full load, and the full load again: the raw table after all three."""
-    layout = Layout(new_folder(spark, "raw-load"))
+    layout = Layout(new_folder(spark, "raw-load"), key_digits=1)
     for batch in (labelled_rows(spark, folder), document_rows(spark, folder), document_rows(spark, folder)):
         done = load_raw(batch, "documents", layout)
         if done.errors:
@@ -239,18 +239,26 @@ def raw_load_twice(spark, folder):
 
 @query(DEDUP_SQL + "SELECT DISTINCT record_hash FROM hashed")
 def stream_dedup(spark, folder):
-    """The same load as a stream of files, run a second time after the stream ended."""
-    root = new_folder(spark, "stream")
+    """The same load as a stream of files: labelled documents first, then all of them in a file that arrives late and
+    holds the first ones again, after a restart; then once more by a stream that remembers nothing."""
+    layout = Layout(new_folder(spark, "stream"), key_digits=1)
+    landing_folder = f"{layout.root}/landing"
     docs = table(spark, folder, "documents")
-    for checkpoint in ("first", "second"):
-        files = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet")
-        records = files.parquet(folder)
+    labelled = docs.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+
+    def run(checkpoint: str) -> None:
+        records = spark.readStream.schema(docs.schema).parquet(landing_folder)
         stream = stream_raw(
             records, lambda batch: dedup.raw_rows(batch, "doc_id", LOADED_AT, columns=["lang", "text"]),
-            f"{root}/raw", f"{root}/{checkpoint}",
+            "documents", layout, f"{layout.root}/{checkpoint}",
         )
         stream.awaitTermination()
-    return writer.read_raw(spark, f"{root}/raw").select("record_hash")
+
+    for batch in (labelled, docs):
+        batch.write.mode("append").parquet(landing_folder)
+        run("first")
+    run("second")
+    return writer.read_raw(spark, layout.raw("documents")).select("record_hash")
 
 
 @query("""

@@ -290,7 +290,7 @@ def scd2_table(spark, folder):
     for period in (0, 1, 2, 2):
         update_dimension(
             snapshot(spark, folder, period), f"{root}/table", "customer_sk", ["customer_id"],
-            PERIODS[period][1], f"{root}/staging", TRACKED,
+            PERIODS[period][1], TRACKED,
         )
     return read_dimension(spark, f"{root}/table")
 

@@ -96,12 +96,11 @@ def upsert_extra_columns(spark, folder):
       CASE WHEN s.o_custkey IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice
     FROM target t FULL JOIN source s ON t.o_custkey = s.o_custkey""")
 def upsert_table(spark, folder):
-    """The same upsert on a table in buckets, run twice."""
+    """The same upsert on a table that merges on read, run twice and folded in between."""
     root = new_folder(spark, "upsert")
     for late in (False, True, True):
-        upsert.upsert_table(
-            last_orders(spark, folder, late), f"{root}/table", ["o_custkey"], f"{root}/staging", buckets=8
-        )
+        upsert.upsert_table(last_orders(spark, folder, late), f"{root}/table", ["o_custkey"], buckets=8)
+        upsert.fold(spark, f"{root}/table", buckets=8) if late else None
     return upsert.read_keyed(spark, f"{root}/table")
 
 
@@ -114,7 +113,7 @@ def upsert_table(spark, folder):
         + (SELECT count(*) FROM orders) AS BIGINT) AS rows_output""")
 def run_metrics(spark, folder):
     """Load three tables, append what was measured, summarise it (without the times)."""
-    layout = Layout(new_folder(spark, "metrics"))
+    layout = Layout(new_folder(spark, "metrics"), key_digits=1)
     loaded_at = datetime(2002, 1, 1)
     batches = {
         "documents": raw_rows(table(spark, folder, "documents"), "doc_id", loaded_at, columns=["text"]),

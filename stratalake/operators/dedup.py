@@ -85,10 +85,32 @@ def new_records(raw: DataFrame, loaded: DataFrame | None, skip_dedup: bool = Fal
     """
     if skip_dedup:
         return raw
-    unique = drop_copies(raw)
     if loaded is None:
-        return unique
-    return unique.join(already_loaded(raw, loaded), "record_hash", "left_anti").select(*raw.columns)
+        return drop_copies(raw)
+    return drop_copies(raw.join(already_loaded(raw, loaded), "record_hash", "left_anti").select(*raw.columns))
+
+
+def fresh_rows(staged: DataFrame, held: DataFrame | None) -> DataFrame:
+    """key columns and number of the row that is kept of each new content in a staged batch.
+
+    ``staged`` is a written batch with ``row_key``, ``key_bucket`` and a ``row_number`` of its own; ``held`` has the keys that
+    are loaded. Of copies the earliest load is kept, then the lowest id and digest of the text. Only digests and
+    numbers are shuffled.
+    """
+    order = F.struct("loaded_at", "id", F.md5("data").alias("text"), "row_number")
+    first = staged.groupBy("row_key", "key_bucket").agg(F.min(order).alias("first"))
+    new = first if held is None else first.join(held, "row_key", "left_anti")
+    return new.select("row_key", "key_bucket", F.col("first.row_number").alias("row_number"))
+
+
+def rows_numbered(staged: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The raw rows of a staged batch whose numbers are chosen.
+
+    A small choice is broadcast. For a large one Spark can put a Bloom filter of the chosen numbers ahead of the shuffle
+    of the texts (see ``settings``); the filter on numbers, which all pass, marks that side as one to make it from.
+    """
+    numbers = chosen.where("row_number >= 0").select("row_number")
+    return staged.join(numbers, "row_number", "left_semi").select(*RAW_COLUMNS)
 
 
 def dedup_report(raw: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -68,6 +68,36 @@ def changed_versions(
     return open_versions(moved, as_of)
 
 
+def opened_versions(
+    incoming: DataFrame,
+    current: DataFrame | None,
+    keys: Sequence[str],
+    compare: Sequence[str],
+    as_of: datetime | Column,
+) -> DataFrame:
+    """The incoming rows that open a version, with ``change``: new or changed keys, and every row with a NULL key.
+
+    ``current`` holds keys, compared columns and ``valid_from`` of the open versions; without any, all rows are new.
+    A key twice in ``incoming`` and a change older than the version it meets fail the run.
+    """
+    keyed = unique_keyed_rows(incoming, keys)
+    unkeyed = incoming.where(any_null(keys))
+    if current is None:
+        return keyed.unionByName(unkeyed).withColumn("change", F.lit("new"))
+    known = current.withColumn("_known", F.lit(True)).alias("old")
+    label = (
+        F.when(F.col("old._known").isNull(), "new")
+        .when(differs([F.col(f"new.{c}") for c in compare], [F.col(f"old.{c}") for c in compare]), "changed")
+        .otherwise("unchanged")
+    )
+    joined = keyed.alias("new").join(known, _equal("new", "old", keys), "left")
+    judged = joined.select("new.*", label.alias("change"), F.col("old.valid_from").alias("_began"))
+    late = (F.col("change") == "changed") & (F.col("_began") > as_timestamp(as_of))
+    refusal = F.raise_error(F.lit("as_of lies before the start of a current version")).cast("boolean")
+    moved = judged.where(F.when(late, refusal).otherwise(F.col("change") != "unchanged")).drop("_began")
+    return moved.unionByName(unkeyed.withColumn("change", F.lit("without key")))
+
+
 def change_counts(
     incoming: DataFrame, history: DataFrame | None, keys: Sequence[str], compare: Sequence[str]
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from stratalake.operators.cleaning import CORRUPT, clean_records
 from stratalake.operators.keys import any_null, latest_per_key
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
-from stratalake.sinks.upsert import BUCKET, append_keyed, finish_pending, rebuild_table, upsert_table
+from stratalake.sinks.upsert import append_keyed, rebuild_table, upsert_table
 from stratalake.sinks.writer import Mode, read_raw
 from stratalake.sources.tables import DEFAULT_LOOKBACK_DAYS, look_back
 from stratalake.specs import TableSpec
@@ -69,11 +69,11 @@ def refresh_cleaned(
         staged = spark.read.parquet(f"{staging}/parsed")
         rows = staged.where(~no_key).drop(CORRUPT)
         if mode is Mode.MERGE:
-            upsert_table(rows, path, spec.keys, f"{staging}/merge", layout.buckets, staged=True)
+            upsert_table(rows, path, spec.keys, layout.buckets)
+        elif mode is Mode.OVERWRITE:
+            rebuild_table(rows, path, spec.keys, layout.buckets)
         else:
-            finish_pending(spark, f"{staging}/merge", path, BUCKET)
-            write = rebuild_table if mode is Mode.OVERWRITE else append_keyed
-            write(rows, path, spec.keys, layout.buckets)
+            append_keyed(rows, path, spec.keys)
 
         rejects = staged.where(no_key | F.col(CORRUPT).isNotNull()).select(
             "bronze_id", "record_hash", "bronze_loaded_at", F.col(CORRUPT).alias("data"),

@@ -9,6 +9,11 @@ from dataclasses import dataclass
 class Layout:
     root: str
     buckets: int = 64
+    key_digits: int = 2
+
+    def keys(self, name: str) -> str:
+        """Which keys a table holds (see ``sinks.key_state``)."""
+        return f"{self.root}/keys/{name}"
 
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"

@@ -13,7 +13,7 @@ from stratalake.operators.modeling import date_rows, dimension_rows, fact_rows,
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.dimension import read_dimension, update_dimension
-from stratalake.sinks.upsert import BUCKET, append_keyed, finish_pending, read_keyed, rebuild_table, upsert_table
+from stratalake.sinks.upsert import append_keyed, read_keyed, rebuild_table, upsert_table
 from stratalake.sinks.writer import Mode, write_table
 from stratalake.specs import DATE_DIMENSION, DATE_DIMENSION_RANGE, DIMENSIONS, FACTS, DimensionSpec, FactSpec
 
@@ -48,11 +48,13 @@ def refresh_dimension(
         cleaned = cleaned_rows(spark, spec.source, layout, since)
         if cleaned is None:
             return Status.NO_DATA
+        read = Observation()
+        counted = cleaned.observe(read, F.count(F.lit(1)).alias("rows"))
         counts = update_dimension(
-            dimension_rows(cleaned, spec), layout.star(spec.name), spec.surrogate, [spec.key], as_of,
-            layout.staging(spec.name), spec.attributes, rebuild,
+            dimension_rows(counted, spec), layout.star(spec.name), spec.surrogate, [spec.key], as_of,
+            spec.attributes, rebuild,
         )
-        metrics.rows_input = cleaned.count()
+        metrics.rows_input = read.get["rows"]
         metrics.rows_output = counts["rows_new"] + counts["rows_changed"]
         return Status.SUCCESS
 
@@ -123,11 +125,11 @@ def refresh_fact(
         metrics.rows_input = metrics.rows_output = rows.get["rows"]
         staged = spark.read.schema(facts.schema).parquet(f"{staging}/facts")
         if mode is Mode.MERGE:
-            upsert_table(staged, path, [spec.key], f"{staging}/merge", layout.buckets)
-        elif mode in (Mode.OVERWRITE, Mode.APPEND):
-            finish_pending(spark, f"{staging}/merge", path, BUCKET)
-            write = rebuild_table if mode is Mode.OVERWRITE else append_keyed
-            write(staged, path, [spec.key], layout.buckets)
+            upsert_table(staged, path, [spec.key], layout.buckets)
+        elif mode is Mode.OVERWRITE:
+            rebuild_table(staged, path, [spec.key], layout.buckets)
+        elif mode is Mode.APPEND:
+            append_keyed(staged, path, [spec.key])
         else:
             raise ValueError(f"fact tables are rebuilt, merged or appended to, not {mode}")
         return Status.SUCCESS

@@ -1,10 +1,8 @@
-"""Keyed tables on Parquet: upserts that rewrite only the touched part of a table.
+"""Keyed tables on Parquet that merge on read.
 
-A table is divided into a fixed number of hash buckets of its key, one directory each. An
-upsert reads and replaces only the buckets its source rows fall into. The merged rows are
-first written to a staging folder and then published with Spark's dynamic partition
-overwrite, so the table is never read and replaced by the same job. A publication that is cut
-short is completed from the staged rows when the next upsert starts.
+An upsert appends its rows as a run of their own and touches nothing else (see ``runs``): its cost is that of its source.
+A reader takes, of the rows of a key, those no later merge replaced; the changed keys of all merges since the last base run
+are the small side of that join, so the base is not shuffled. ``fold`` writes the result as a new base.
 """
 
 from __future__ import annotations
@@ -15,110 +13,92 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.keys import any_null, unique_keyed_rows
-from stratalake.operators.merge import merge_rows
-from stratalake.sources.workspace import read_if_written
+from stratalake.sinks.runs import ROW_KEY, RUN, Kind, Run, drop_superseded, live_runs, read_runs, with_row_key, write_run
 
-BUCKET = "key_bucket"
+#: Runs on top of a base after which a merge folds them in.
+FOLD_AFTER = 32
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Add the bucket of each row, as ``i-of-n``. Rows without a full key are spread evenly."""
-    spread = F.when(any_null(keys), F.xxhash64(*df.columns)).otherwise(F.xxhash64(*keys))
-    name = F.concat(F.pmod(spread, F.lit(buckets)).cast("string"), F.lit(f"-of-{buckets}"))
-    return df.withColumn(BUCKET, name)
-
-
-def publish_partitions(staged: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that occur in ``staged`` and leave all others alone."""
-    (
-        staged.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def _set_pending(spark: SparkSession, staging: str, pending: bool) -> None:
-    spark.range(1 if pending else 0).write.mode("overwrite").parquet(f"{staging}/pending")
-
-
-def publish_staged(spark: SparkSession, staging: str, path: str, partition: str) -> None:
-    """Publish the rows staged under ``merged``, marked as pending until it is done."""
-    _set_pending(spark, staging, True)
-    publish_partitions(spark.read.parquet(f"{staging}/merged"), path, partition)
-    _set_pending(spark, staging, False)
-
-
-def finish_pending(spark: SparkSession, staging: str, path: str, partition: str) -> None:
-    """Complete a publication that an earlier run was cut off in. The staged rows are whole
-    partitions, so publishing them once more does no harm."""
-    pending = read_if_written(spark, f"{staging}/pending", "id bigint")
-    if pending is not None and not pending.isEmpty():
-        publish_staged(spark, staging, path, partition)
+def _resolved(spark: SparkSession, path: str, runs: list[Run]) -> DataFrame:
+    table = read_runs(spark, path, runs)
+    later = [r for r in runs[1:] if r.kind is Kind.MERGE]
+    if not later:  # nothing can have been replaced
+        return table.drop(RUN)
+    changed = read_runs(spark, path, later).where(F.col(ROW_KEY).isNotNull())
+    changed = changed.groupBy(ROW_KEY).agg(F.max(RUN).alias("_last"))
+    before = F.col("_last").isNull() | (F.col(RUN) >= F.col("_last"))
+    return table.join(changed, ROW_KEY, "left").where(before).drop("_last", RUN)
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a keyed table, or None before the first write."""
-    table = read_if_written(spark, path)
-    return None if table is None else table.drop(BUCKET)
+    runs = live_runs(spark, path)
+    return _resolved(spark, path, runs).drop(ROW_KEY) if runs else None
+
+
+def _fitted(rows: DataFrame, table: DataFrame | None) -> DataFrame:
+    """The rows with the columns and types of the table, as far as they have them."""
+    if table is None:
+        return rows
+    missing = [c for c in rows.columns if c not in table.columns]
+    if missing:
+        raise ValueError(f"target lacks source columns: {', '.join(missing)}")
+    return rows.select(*[F.col(c).cast(table.schema[c].dataType).alias(c) for c in table.columns if c in rows.columns])
 
 
 def rebuild_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """Write a keyed table from scratch. An empty frame leaves the old table."""
+    """Write a keyed table from scratch, in about ``buckets`` files. An empty frame leaves the old table."""
     if not df.isEmpty():
-        bucketed = with_bucket(df, keys, buckets)
-        bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        keyed = with_row_key(df, list(keys))
+        spread = F.coalesce(F.xxhash64(ROW_KEY), F.xxhash64(*df.columns)) if keys else F.xxhash64(*df.columns)
+        write_run(keyed.repartition(buckets, spread), path, Kind.BASE)
+        drop_superseded(df.sparkSession, path)
 
 
-def append_keyed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+def append_keyed(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Add rows to a keyed table without looking for matches."""
     if not df.isEmpty():
-        bucketed = with_bucket(df, keys, buckets)
-        bucketed.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+        rows = _fitted(df, read_keyed(df.sparkSession, path))
+        write_run(with_row_key(rows, list(keys)), path, Kind.APPEND)
 
 
 def upsert_table(
-    source: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    staging: str,
-    buckets: int = 64,
-    staged: bool = False,
+    source: DataFrame, path: str, keys: Sequence[str], buckets: int = 64, fold_after: int = FOLD_AFTER
 ) -> None:
-    """Merge source rows into a keyed table (see ``merge_rows``).
+    """Merge source rows into a keyed table: the rows that ``merge_rows`` would give are read from then on.
 
-    ``buckets`` is fixed for the life of a table; rebuild the table to change it. ``staging``
-    is a folder on shared storage that this table has to itself. The source is written there
-    first, because several parts of the merge read it; pass ``staged`` when it is a written
-    table already.
+    The table itself is read only where the source lacks some of its columns, whose values are then
+    carried over. Two source rows with one key fail the job before anything is written.
     """
     spark = source.sparkSession
-    finish_pending(spark, staging, path, BUCKET)
     if source.isEmpty():
         return
-    columns = [c for c in source.columns if not c.startswith("_")]
-    incoming = with_bucket(source.select(*columns), keys, buckets)
-    if not staged:
-        incoming.write.mode("overwrite").parquet(f"{staging}/source")
-        incoming = spark.read.parquet(f"{staging}/source")
-
-    keys = [*keys, BUCKET]
-    table = read_if_written(spark, path)
-    if table is None:
-        first = unique_keyed_rows(incoming, keys).unionByName(incoming.where(any_null(keys)))
-        first.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-        return
-    if BUCKET not in table.columns:
-        raise ValueError(f"table {path} is not laid out in buckets; rebuild it first")
-    sample = table.select(BUCKET).first()
-    if sample is not None and not sample[0].endswith(f"-of-{buckets}"):
-        raise ValueError(f"table {path} is laid out as {sample[0]}, not in {buckets} buckets")
-    # At most `buckets` values: the number of directories, whatever the size of the source.
-    touched = [row[0] for row in incoming.select(BUCKET).distinct().collect()]
-    merged = merge_rows(table.where(F.col(BUCKET).isin(touched)), incoming, keys)
-    merged.write.mode("overwrite").parquet(f"{staging}/merged")
-    publish_staged(spark, staging, path, BUCKET)
+    keys = list(keys)
+    table = read_keyed(spark, path)
+    source = _fitted(source.select(*[c for c in source.columns if not c.startswith("_")]), table)
+    rows = unique_keyed_rows(source, keys)
+    unkeyed = source.where(any_null(keys))
+    if table is not None and (own := [c for c in table.columns if c not in source.columns]):
+        kept = table.where(~any_null(keys)).select(*keys, *own).join(source.select(*keys), keys, "left_semi")
+        rows = rows.join(kept, keys, "left").select(*table.columns)
+        unkeyed = unkeyed.withColumns({c: F.lit(None).cast(table.schema[c].dataType) for c in own}).select(*table.columns)
+    write_run(with_row_key(rows.unionByName(unkeyed), keys), path, Kind.MERGE)
+    if len(live_runs(spark, path)) > fold_after:
+        fold(spark, path, buckets)
+
+
+def fold(spark: SparkSession, path: str, buckets: int = 64) -> bool:
+    """Write the present rows as a new base run; False when there is nothing to fold.
+
+    Readers that have begun keep to the runs they listed; ``drop_superseded`` removes those later.
+    """
+    runs = live_runs(spark, path)
+    if len(runs) < 2:
+        return False
+    rows = _resolved(spark, path, runs)
+    spread = F.coalesce(F.xxhash64(ROW_KEY), F.xxhash64(*[c for c in rows.columns if c != ROW_KEY]))
+    write_run(rows.repartition(buckets, spread), path, Kind.BASE)
+    return True
 
 
 def merge_into_catalog(source: DataFrame, table: str, keys: Sequence[str]) -> None:

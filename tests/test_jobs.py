@@ -1,6 +1,8 @@
 """Sinks and jobs on tables in a scratch folder."""
 
 import json as pyjson
+import pathlib
+import random
 from datetime import datetime
 
 import pytest
@@ -8,13 +10,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratalake.operators import dedup
+from stratalake.operators.history import next_history
+from stratalake.operators.merge import merge_rows
 from stratalake.plans.cleaned import refresh_cleaned
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured, overall_status, run_summary
 from stratalake.plans.raw import load_raw, load_raw_batch
 from stratalake.plans.run import run_layers
 from stratalake.plans.star import refresh_fact, refresh_star
-from stratalake.sinks import dimension, upsert, writer
+from stratalake.sinks import dimension, runs, upsert, writer
 from stratalake.sources import workspace
 from stratalake.sources.tables import look_back
 from stratalake.specs import CLIENTS, DIMENSIONS, FACTS, RESOURCES
@@ -61,38 +65,79 @@ def test_json_run(spark, scratch):
     assert spark.read.json(path).count() == 3
 
 
-def test_upsert_table_touches_only_its_buckets(spark, scratch):
-    path, staging = f"{scratch}/t", f"{scratch}/s"
-    first = spark.range(200).selectExpr("cast(id AS int) AS k", "'a' AS v")
-    upsert.upsert_table(first, path, ["k"], staging, buckets=16)
-    stamp = "_metadata.file_path"
-    before = {r[0] for r in spark.read.parquet(path).select(stamp).distinct().collect()}
-    change = spark.createDataFrame([(5, "b"), (None, "n")], "k int, v string")
-    upsert.upsert_table(change, path, ["k"], staging, buckets=16)
-    after = {r[0] for r in spark.read.parquet(path).select(stamp).distinct().collect()}
-    assert len(before - after) <= 2
-    table = upsert.read_keyed(spark, path)
-    assert table.count() == 201 and table.where("k = 5").first().v == "b"
-    with pytest.raises(ValueError, match="laid out"):
-        upsert.upsert_table(change, path, ["k"], staging, buckets=8)
-    upsert.upsert_table(change.limit(0), path, ["k"], staging, buckets=16)
-    assert upsert.read_keyed(spark, path).count() == 201
+def files_of(spark, path):
+    return {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
 
 
-def test_interrupted_publication_is_completed(spark, scratch, monkeypatch):
-    path, staging = f"{scratch}/t", f"{scratch}/s"
-    frame = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
-    upsert.upsert_table(frame((1, "a"), (2, "a")), path, ["k"], staging, buckets=4)
+def test_upsert_writes_the_changed_rows_alone(spark, scratch):
+    path = f"{scratch}/t"
+    first = spark.range(20_000).selectExpr("cast(id AS int) AS k", "'a' AS v", "id * 2 AS w")
+    upsert.upsert_table(first, path, ["k"])
+    before = files_of(spark, path)
+    change = spark.range(19_900, 20_100).selectExpr("cast(id AS int) AS k", "'b' AS v")
+    upsert.upsert_table(change, path, ["k"])
+    added = files_of(spark, path) - before
+    assert before <= files_of(spark, path) and spark.read.parquet(*added).count() == 200
+    table = upsert.read_keyed(spark, path)
+    assert table.columns == ["k", "v", "w"] and table.count() == 20_100
+    assert table.where("v = 'b'").count() == 200 and table.where("v = 'b' AND w IS NULL").count() == 100
+    assert upsert.fold(spark, path, buckets=4) and not upsert.fold(spark, path)
+    assert sorted(upsert.read_keyed(spark, path).collect()) == sorted(table.collect())
+    assert runs.drop_superseded(spark, path) == 2 and upsert.read_keyed(spark, path).count() == 20_100
+
+
+def test_upsert_is_that_of_merge_rows(spark, scratch):
+    pick, path, table = random.Random(3), f"{scratch}/t", None
+    for step in range(7):
+        rows = [(pick.choice([None, *range(step, step + 12)]), "x", pick.randrange(99)) for _ in range(6)]
+        rows = list({(r[0], r[1]) if r[0] is not None else i: r for i, r in enumerate(rows)}.values())
+        source = spark.createDataFrame(rows, "a int, b string, v long")
+        source = source if step % 3 else source.withColumn("w", F.col("v") + 1)
+        if step == 4:
+            upsert.append_keyed(source, path, ["a", "b"])
+            table = workspace.written(table.unionByName(source, allowMissingColumns=True), "t")
+        else:
+            upsert.upsert_table(source, path, ["a", "b"], buckets=2, fold_after=3)
+            table = workspace.written(source if table is None else merge_rows(table, source, ["a", "b"]), "t")
+        got = [sorted(map(str, x.select("a", "b", "v", "w").collect())) for x in (upsert.read_keyed(spark, path), table)]
+        assert got[0] == got[1]
+    with pytest.raises(Exception, match="duplicate source key"):
+        upsert.upsert_table(spark.createDataFrame([(1, "x", 1)] * 2, "a int, b string, v long"), path, ["a", "b"])
+    with pytest.raises(ValueError, match="lacks"):
+        upsert.upsert_table(spark.createDataFrame([(1, "x", 1)], "a int, b string, z long"), path, ["a", "b"])
+    assert sorted(map(str, upsert.read_keyed(spark, path).select("a", "b", "v", "w").collect())) == got[1]
 
-    def cut_off(*args):
-        raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as broken:
-        broken.setattr(upsert, "publish_partitions", cut_off)
-        with pytest.raises(RuntimeError):
-            upsert.upsert_table(frame((1, "b")), path, ["k"], staging, buckets=4)
-    upsert.upsert_table(frame((2, "c")), path, ["k"], staging, buckets=4)
-    assert sorted(map(tuple, upsert.read_keyed(spark, path).collect())) == [(1, "b"), (2, "c")]
+@pytest.mark.parametrize("earlier", [0, 1, 3])
+def test_a_killed_writer_leaves_a_readable_table(spark, scratch, earlier):
+    """What a writer leaves when it is killed: a folder with some files and no mark of success."""
+    path = f"{scratch}/t"
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
+    for i in range(earlier):
+        upsert.upsert_table(frame((i, "a"), (9, str(i))), path, ["k"])
+    before = sorted(map(tuple, upsert.read_keyed(spark, path).collect())) if earlier else None
+
+    broken = frame((1, "b"), (2, "b")).withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("driver lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="driver lost"):
+        upsert.upsert_table(broken, path, ["k"])
+    runs.write_run(runs.with_row_key(frame((1, "half"), (9, "half")), ["k"]), path, runs.Kind.MERGE)
+    last = runs.all_runs(spark, path)[-1]
+    pathlib.Path(f"{path}/run={last.name}/_SUCCESS").unlink()
+    state = upsert.read_keyed(spark, path)
+    assert (None if state is None else sorted(map(tuple, state.collect()))) == before
+    upsert.upsert_table(frame((1, "c"), (9, "c")), path, ["k"])
+    assert {(1, "c"), (9, "c")} <= set(map(tuple, upsert.read_keyed(spark, path).collect()))
+    assert upsert.read_keyed(spark, path).count() == max(2, len(set(range(earlier)) | {1, 9}))
+    runs.drop_superseded(spark, path)
+    assert all(r.finished for r in runs.all_runs(spark, path))
+
+
+def test_reading_does_not_shuffle_the_base(spark, scratch):
+    path = f"{scratch}/t"
+    upsert.rebuild_table(spark.range(5000).withColumn("v", F.lit("a")), path, ["id"], 4)
+    upsert.upsert_table(spark.range(10).withColumn("v", F.lit("b")), path, ["id"])
+    plan = upsert.read_keyed(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_parquet_tables_cannot_merge_in_place(spark, scratch):
@@ -179,33 +224,48 @@ def test_refresh_cleaned(spark, scratch):
     assert upsert.read_keyed(spark, layout.cleaned("clients")).count() == 2
 
 
-def test_dimension_leaves_closed_history_alone(spark, scratch):
-    path, staging = f"{scratch}/d", f"{scratch}/s"
-    days = [datetime(2024, 5, d) for d in (1, 2, 3)]
-    load = lambda rows, at: dimension.update_dimension(
-        spark.createDataFrame(rows, "k int, v string"), path, "sk", ["k"], at, staging
-    )
-    assert load([(1, "a"), (2, "a")], days[0]) == {"rows_new": 2, "rows_changed": 0}
+def test_dimension_writes_one_row_for_one_change(spark, scratch):
+    path = f"{scratch}/d"
+    days = [datetime(2024, 5, d) for d in (1, 2, 3, 4)]
+    load = lambda rows, at: dimension.update_dimension(spark.createDataFrame(rows, "k int, v string"), path, "sk", ["k"], at)
+    assert load([(1, "a"), (2, "a"), (None, "n")], days[0]) == {"rows_new": 3, "rows_changed": 0}
+    before = files_of(spark, path)
     assert load([(1, "b"), (2, "a")], days[1]) == {"rows_new": 0, "rows_changed": 1}
-    files = lambda day: {
-        r[0] for r in spark.read.parquet(path).where(f"closed_on = '{day}'")
-        .select("_metadata.file_path").distinct().collect()
-    }
-    closed = files("2024-05-02")
+    added = files_of(spark, path) - before
+    assert spark.read.parquet(*added).count() == 1 and before <= files_of(spark, path)
+    before = files_of(spark, path)
     assert load([(1, "c"), (2, "a"), (3, "x")], days[2]) == {"rows_new": 1, "rows_changed": 1}
-    assert files("2024-05-02") == closed
+    assert before <= files_of(spark, path)
     assert load([(1, "c"), (2, "a"), (3, "x")], days[2]) == {"rows_new": 0, "rows_changed": 0}
     got = dimension.read_dimension(spark, path)
-    assert got.count() == 5 and got.select("sk").distinct().count() == 5
+    assert got.count() == 6 and got.select("sk").distinct().count() == 6
     assert sorted(r.v for r in got.where("k = 1").collect()) == ["a", "b", "c"]
-    assert got.where("is_current").count() == 3
+    assert got.where("is_current").count() == 4
+    state = sorted(map(str, got.collect()))
+    assert dimension.fold_dimension(spark, path) and not dimension.fold_dimension(spark, path)
+    assert sorted(map(str, dimension.read_dimension(spark, path).collect())) == state
+    assert runs.drop_superseded(spark, path) > 0
+    assert load([(1, "d")], days[3]) == {"rows_new": 0, "rows_changed": 1}
+    assert [r.v for r in dimension.read_dimension(spark, path).where("k = 1").orderBy("valid_from").collect()] == ["a", "b", "c", "d"]
+    plan = dimension._open_log(spark, path, runs.live_runs(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(closed" in plan  # closed versions of the snapshot are not read
+
+
+def test_dimension_is_that_of_whole_histories(spark, scratch):
+    pick, path, state = random.Random(5), f"{scratch}/d", None
+    for day in (1, 2, 2, 3, 5, 6):
+        rows = [(k, pick.choice("ab")) for k in range(6) if pick.random() < 0.7] + [(None, "n")] * (day == 3)
+        incoming = spark.createDataFrame(rows, "k int, v string")
+        dimension.update_dimension(incoming, path, "sk", ["k"], datetime(2024, 5, day), fold_after=2)
+        state = workspace.written(next_history(incoming, state, ["k"], ["v"], datetime(2024, 5, day)), "h")
+        assert sorted(map(str, dimension.read_dimension(spark, path).drop("sk").collect())) == sorted(map(str, state.collect()))
 
 
 def test_same_day_changes_keep_earlier_versions(spark, scratch):
-    path, staging = f"{scratch}/d", f"{scratch}/s"
+    path = f"{scratch}/d"
     for hour, v in ((1, "a"), (2, "b"), (3, "c")):
         rows = spark.createDataFrame([(1, v)], "k int, v string")
-        dimension.update_dimension(rows, path, "sk", ["k"], datetime(2024, 5, 1, hour), staging)
+        dimension.update_dimension(rows, path, "sk", ["k"], datetime(2024, 5, 1, hour))
     got = dimension.read_dimension(spark, path).orderBy("valid_from").collect()
     assert [(r.v, r.is_current) for r in got] == [("a", False), ("b", False), ("c", True)]
 
@@ -311,10 +371,10 @@ def versions(spark, rows):
 
 
 def test_dimension_reruns_keep_one_version_per_start(spark, scratch):
-    path, staging = f"{scratch}/d", f"{scratch}/s"
+    path = f"{scratch}/d"
 
     def run(rows, day, **options):
-        return dimension.update_dimension(versions(spark, rows), path, "sk", ["id"], day, staging, **options)
+        return dimension.update_dimension(versions(spark, rows), path, "sk", ["id"], day, **options)
 
     first, second = datetime(2024, 1, 3), datetime(2024, 1, 6)
     run([("a", "x")], first)
