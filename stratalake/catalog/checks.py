@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.catalog.cleaned import cleaned
+from stratalake.catalog.columns import key_sql
 from stratalake.catalog.registry import query, table
 from stratalake.catalog.star import fact, dimension, FACT_SQL, DIMENSION_SQL
 from stratalake.operators import quality
+from stratalake.sinks import key_state
+from stratalake.sources.workspace import new_folder, written
 from stratalake.specs import DIMENSIONS, FACTS
 
 
@@ -92,12 +95,26 @@ def conform_schema(spark, folder):
 
 
 @query("""
-    SELECT client_id, name, count(*) AS copies FROM (
-      SELECT nullif(trim(c_name || ' '), '') AS name, c_nationkey AS client_id FROM customer)
+    SELECT client_id, industry, count(*) AS copies FROM (
+      SELECT nullif(c_mktsegment, 'MACHINERY') AS industry, c_nationkey AS client_id FROM customer)
     GROUP BY ALL HAVING count(*) > 1""")
 def pk_check_clean(spark, folder):
-    """A key without duplicates reports nothing."""
-    rows = cleaned(spark, folder, "clients").select(
-        F.col("account_manager_id").cast("int").alias("client_id"), F.col("client_name").alias("name")
-    )
-    return quality.duplicate_keys(rows, ["client_id", "name"])
+    """A key of cleaned columns that is none; missing values are alike."""
+    rows = cleaned(spark, folder, "clients").select(F.col("account_manager_id").cast("int").alias("client_id"), "industry")
+    return quality.duplicate_keys(rows, ["client_id", "industry"])
+
+
+@query(f"""
+    SELECT {key_sql('CAST(l_orderkey AS VARCHAR)', 'CAST(l_linenumber AS VARCHAR)')} AS line_key, count(*) AS copies
+    FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def pk_check_appends(spark, folder):
+    """Lines appended in three parts; each part is compared with the keys on record in the folders its own fall into."""
+    state, keys, found = new_folder(spark, "line-keys"), ["l_orderkey", "l_linenumber"], []
+    for flag in ("A", "N", "R"):
+        part = table(spark, folder, "lineitem").where(F.col("l_returnflag") == flag)
+        counts = written(key_state.key_counts(part, keys, digits=1), "line-counts")
+        found.append(written(key_state.repeated_keys(counts, state), "repeated"))
+        key_state.record(counts, state)
+    every = found[0].unionByName(found[1]).unionByName(found[2])
+    last = every.groupBy("row_key").agg(F.max("copies").alias("copies"))
+    return last.select(F.lower(F.hex("row_key")).alias("line_key"), "copies")

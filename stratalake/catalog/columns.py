@@ -382,3 +382,48 @@ def attribute_view(spark, folder):
     )
     shown = ["c_custkey", "c_name", "c_mktsegment", "c_phone"]
     return display.attribute_view(customers, shown, login="c_nationkey")
+
+
+# A record field of the card by an expression that Spark and DuckDB both read; the others are missing.
+CARD = {
+    "employee_number": "CAST(s_suppkey AS STRING)",
+    "first_name": "CASE WHEN s_acctbal < 0 THEN NULL ELSE s_name END",
+    "last_name": "CASE WHEN s_nationkey > 20 THEN NULL ELSE 'of ' || CAST(s_nationkey AS STRING) END",
+    "emp_short_name": "CASE WHEN s_nationkey < 5 THEN NULL ELSE 'S' || CAST(s_suppkey AS STRING) END",
+    "email_id": "replace(s_name, '#', '.') || '@example.com'",
+    "mobile_phone": "CASE WHEN s_nationkey > 20 THEN '' ELSE '555' || CAST(s_suppkey AS STRING) END",
+    "gender": "CAST(NULL AS STRING)",
+    "emp_type": "CASE WHEN s_nationkey < 12 THEN 'full_time' ELSE 'contract' END",
+    "emptype_category": "CASE WHEN s_nationkey < 12 THEN NULL ELSE 'W2' END",
+    "employee_status": "CASE WHEN s_acctbal < 5000 THEN 'active' ELSE 'left' END",
+    "date_of_joining": "'1996-01-02'",
+    "release_date": "CASE WHEN s_acctbal < 5000 THEN NULL WHEN s_acctbal < 7000 THEN '' ELSE '1999-03-31' END",
+    "resignation_status": "CASE WHEN s_acctbal < 8000 THEN NULL ELSE 'accepted' END",
+    "department": "'Dept ' || CAST(s_nationkey AS STRING)",
+    "location": "'L' || CAST(s_nationkey AS STRING)",
+    "reporting_manager": "CAST(s_nationkey AS STRING)",
+    "login_status": "CASE WHEN s_nationkey < 3 THEN NULL WHEN s_nationkey < 15 THEN 1 ELSE 0 END",
+    "created": "'1995-12-01'",
+}
+
+
+def card_sql() -> str:
+    shown = {
+        **{c: f"coalesce({CARD.get(c, 'NULL')}, 'N/A')" for columns in display.EMPLOYEE_GROUPS.values() for c in columns},
+        "employee": f"coalesce({CARD['first_name']}, '') || ' ' || coalesce({CARD['last_name']}, '')",
+        "login_status": f"CASE WHEN {CARD['login_status']} = 1 THEN 'Active' ELSE 'Inactive' END",
+    }
+    named = [(group, c) for group, columns in display.EMPLOYEE_GROUPS.items() for c in columns]
+    rows = [
+        f"SELECT s_suppkey, '{group}' AS \"group\", CAST({i} AS INTEGER) AS position, '{c}' AS attribute, {shown[c]} AS value FROM supplier"
+        + (f" WHERE coalesce({CARD['release_date']}, '') <> ''" if c in display.ONLY_WITH_RELEASE_DATE else "")
+        for i, (group, c) in enumerate(named)
+    ]
+    return " UNION ALL ".join(rows)
+
+
+@query(card_sql())
+def employee_view(spark, folder):
+    """The cards of all employees: 29 fields in six groups, one row per attribute shown; release details where there is a date."""
+    fields = [F.expr(value).alias(c) for c, value in CARD.items()]
+    return display.employee_card(table(spark, folder, "supplier").select("s_suppkey", *fields), "s_suppkey")

@@ -162,6 +162,23 @@ def page_flatten(spark, folder):
     return records.select("o_custkey", "o_orderkey", parsed.alias("r")).select("o_custkey", "o_orderkey", "r.*")
 
 
+@query("""
+    SELECT 'customer-' || c_nationkey AS resource, '2002-01-01T00:00:00' AS extracted_at,
+      '{"balance":' || c_custkey || '.10,"id":' || repeat('9', 30) || c_custkey || ',"name":"' || c_name || ' 1.0"}' AS data
+    FROM customer""")
+def json_envelope(spark, folder):
+    """Extracts that are one JSON document each, one per nation: a row per record, numbers by their text."""
+    record = F.concat(
+        F.lit('{"name": "'), "c_name", F.lit(' 1.0", "id": '), F.lit("9" * 30), "c_custkey", F.lit(', "balance": '), "c_custkey", F.lit(".10}")
+    )
+    listed = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.collect_list(record).alias("records"))
+    head = F.concat(F.lit('{"resource": "customer-'), "c_nationkey", F.lit('", "extracted_at": "2002-01-01T00:00:00", "count": '), F.size("records"))
+    document = F.concat(head, F.lit(', "records": ['), F.array_join("records", ",\n"), F.lit("]}"))
+    path = new_folder(spark, "envelopes")
+    listed.select(document.alias("value")).coalesce(1).write.option("maxRecordsPerFile", 1).text(path)
+    return landing.read_envelope_files(spark, path, spread=True)
+
+
 @query("""
     SELECT CAST(doc_id AS VARCHAR) AS id,
       CAST(json_object('doc_id', doc_id, 'lang', lang, 'n_chars', n_chars, 'source', source, 'text', text)

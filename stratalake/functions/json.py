@@ -26,18 +26,20 @@ _NUMBER = (
 _MARKED_NUMBER = rf'(?<!\\)"{NUMBER_MARK}([0-9.eE+\-]++)"'
 
 
-def _with_marks(data: Column | str) -> Column:
+def marked_json(data: Column | str) -> Column:
+    """JSON text whose numbers are strings that begin with a mark, so that a parser leaves them as they are."""
     escaped = F.regexp_replace(as_column(data), _OPENS_WITH_MARK, f'"{ESCAPE_MARK}')
     return F.regexp_replace(escaped, _NUMBER, f'$1"{NUMBER_MARK}$2"')
 
 
-def _without_marks(text: Column) -> Column:
+def unmarked_json(text: Column) -> Column:
+    """JSON text with the numbers that ``marked_json`` made strings."""
     numbers = F.regexp_replace(text, _MARKED_NUMBER, "$1")
     return F.regexp_replace(numbers, rf'(?<!\\)"{ESCAPE_MARK}', '"')
 
 
 def _members(data: Column | str) -> Column:
-    return F.try_variant_get(F.try_parse_json(_with_marks(data)), "$", "map<string,variant>")
+    return F.try_variant_get(F.try_parse_json(marked_json(data)), "$", "map<string,variant>")
 
 
 def _bound(value: Column, use) -> Column:
@@ -53,7 +55,7 @@ def sorted_json(data: Column | str, exclude: tuple[str, ...] | list[str] = ()) -
     members = _members(data)
     if exclude:
         members = F.map_filter(members, lambda key, _: ~key.isin(*exclude))
-    return _without_marks(F.to_json(members))
+    return unmarked_json(F.to_json(members))
 
 
 def merge_json(base: Column | str, update: Column | str, overwrite: bool = True) -> Column:
@@ -77,7 +79,7 @@ def merge_json(base: Column | str, update: Column | str, overwrite: bool = True)
         return F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}"))
 
     both = F.array_sort(F.concat(listed(base, int(overwrite)), listed(update, int(not overwrite))))
-    merged = F.when(both.isNotNull(), _without_marks(_bound(both, joined)))
+    merged = F.when(both.isNotNull(), unmarked_json(_bound(both, joined)))
     return F.coalesce(merged, as_column(base), as_column(update))
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from stratalake.functions import text
 from stratalake.operators.dedup import as_timestamp
@@ -84,6 +84,18 @@ def timestamps_without_zone(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
 
 
+def table_schema(spec: TableSpec) -> StructType:
+    """The declared columns of a cleaned table: lineage, record fields, derived columns, processing columns."""
+    fields = [StructField(c, StringType()) for c in LINEAGE[:2]] + [StructField(LINEAGE[2], TimestampNTZType())]
+    for field in StructType.fromDDL(spec.fields):
+        zoned = isinstance(field.dataType, TimestampType)
+        fields.append(StructField(field.name, TimestampNTZType() if zoned else field.dataType))
+    derived = {d.name: d.type for d in (*spec.derived, *spec.rules)}
+    known = {f.name for f in fields}
+    fields += StructType.fromDDL(", ".join(f"{n} {t}" for n, t in derived.items() if n not in known)).fields if derived else []
+    return StructType(fields + StructType.fromDDL("silver_processed_at timestamp_ntz, silver_is_current boolean").fields)
+
+
 def clean_records(raw: DataFrame, spec: TableSpec, as_of: datetime | Column) -> DataFrame:
     """Raw rows to cleaned rows: parse, clean, derive, stamp.
 

@@ -18,6 +18,19 @@ EMPLOYEE_VIEW = (
     "permanent_country", "workauthorization", "veteran_status", "reporting_manager", "hr_manager",
     "finance_manager", "created", "modified", "_extracted_at",
 )
+EMPLOYEE_GROUPS = {
+    "employee": ("employee",),
+    "basic information": ("employee_number", "emp_short_name", "email_id", "mobile_phone", "gender", "marital_status"),
+    "employment details": (
+        "emp_type", "emptype_category", "employee_status", "date_of_joining", "release_date", "resignation_status",
+        "classification", "department", "role",
+    ),
+    "location and authorization": (
+        "location", "permanent_state", "permanent_country", "workauthorization", "veteran_status",
+    ),
+    "management": ("reporting_manager", "hr_manager", "finance_manager"),
+    "system information": ("login_status", "created", "modified", "_extracted_at"),
+}
 ONLY_WITH_RELEASE_DATE = ("release_date", "resignation_status")
 
 
@@ -39,8 +52,8 @@ def attribute_view(df: DataFrame, attributes: Sequence[str], login: str | None =
     return df.select(*columns, *([login_state(login).alias(login)] if login else []))
 
 
-def employee_view(df: DataFrame) -> DataFrame:
-    """The employee card. Release details are NULL while there is no release date."""
+def employee_view(df: DataFrame, key: str | None = None) -> DataFrame:
+    """The employee's attributes. Release details are NULL while there is no release date; ``key`` is kept as ``_key``."""
     first = F.coalesce(F.col("first_name"), F.lit("")) if "first_name" in df.columns else F.lit("")
     last = F.coalesce(F.col("last_name"), F.lit("")) if "last_name" in df.columns else F.lit("")
     named = df.withColumn("employee", F.concat(first, F.lit(" "), last))
@@ -51,6 +64,7 @@ def employee_view(df: DataFrame) -> DataFrame:
     if "login_status" not in df.columns:
         named = named.withColumn("login_status", F.lit(None).cast("int"))
     view = named.select(
+        *([F.col(key).alias("_key")] if key else []),
         "employee",
         *[
             F.when(released | F.lit(c not in ONLY_WITH_RELEASE_DATE),
@@ -60,3 +74,18 @@ def employee_view(df: DataFrame) -> DataFrame:
         login_state("login_status").alias("login_status"),
     )
     return view
+
+
+def employee_card(df: DataFrame, key: str) -> DataFrame:
+    """The employee view, one row per attribute that is shown: key, group, position in the card, attribute, value.
+
+    Release details have no row while there is no release date.
+    """
+    named = [(group, c) for group, columns in EMPLOYEE_GROUPS.items() for c in columns]
+    view = employee_view(df, key).unpivot("_key", [c for _, c in named], "attribute", "value")
+    place = F.create_map(*[F.lit(x) for i, (group, c) in enumerate(named) for x in (c, f"{i:02d} {group}")])
+    rows = view.where(F.col("value").isNotNull()).withColumn("_place", place[F.col("attribute")])
+    return rows.select(
+        F.col("_key").alias(key), F.substring("_place", 4, 100).alias("group"),
+        F.substring("_place", 1, 2).cast("int").alias("position"), "attribute", "value",
+    )

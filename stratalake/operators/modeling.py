@@ -41,6 +41,7 @@ def fact_with_keys(
     surrogates: Mapping[str, tuple[str, str]],
     valid_at: str | None = None,
     salts: int = 1,
+    slice_days: int | None = None,
 ) -> DataFrame:
     """Fact rows with the surrogate key of every dimension they refer to.
 
@@ -50,7 +51,7 @@ def fact_with_keys(
     for fact_key, name in spec.lookups.items():
         surrogate, natural = surrogates[name]
         at = None if valid_at is None else F.col(valid_at)
-        facts = add_dimension_key(facts, dimensions[name], surrogate, natural, fact_key, at, salts)
+        facts = add_dimension_key(facts, dimensions[name], surrogate, natural, fact_key, at, salts, slice_days)
     return facts
 
 

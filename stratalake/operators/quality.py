@@ -57,6 +57,37 @@ def orphan_keys(
     return used.join(known, list(keys), "left_anti").select(*keys, "rows")
 
 
+def contract_tests(
+    columns: Sequence[str], not_null: Sequence[str] = (), max_lengths: Mapping[str, int] | None = None
+) -> dict[str, Column]:
+    """A test per rule, true where a row breaks it, for those columns that are there."""
+    tests = {f"not_null:{c}": F.col(c).isNull() for c in not_null if c in columns}
+    for c, limit in (max_lengths or {}).items():
+        if c in columns:
+            tests[f"max_length:{c}"] = F.coalesce(F.length(c) > limit, F.lit(False))
+    return tests
+
+
+def orphan_tests(lookups: Mapping[str, str]) -> dict[str, Column]:
+    """A test per reference, given the key column and that of the key it found."""
+    return {f"orphan:{key}": F.col(key).isNotNull() & F.col(found).isNull() for key, found in lookups.items()}
+
+
+def broken_rules(tests: Mapping[str, Column]) -> Column:
+    """The names of the rules that a row breaks."""
+    return F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(test, F.lit(rule)) for rule, test in tests.items()]))
+
+
+def rule_counters(tests: Mapping[str, Column]) -> list[Column]:
+    """For an Observation: the number of rows that break each rule."""
+    return [F.count_if(test).alias(rule) for rule, test in tests.items()]
+
+
+def violations(observed: Mapping[str, int], tests: Mapping[str, Column]) -> dict[str, int]:
+    """The rules that rows were found to break, with their number."""
+    return {rule: observed[rule] for rule in tests if observed[rule]}
+
+
 def column_failures(
     df: DataFrame, not_null: Sequence[str] = (), max_lengths: Mapping[str, int] | None = None
 ) -> DataFrame:

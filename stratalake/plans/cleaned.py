@@ -10,8 +10,9 @@ from operator import or_
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.cleaning import CORRUPT, clean_records
+from stratalake.operators.cleaning import CORRUPT, LINEAGE, clean_records, table_schema
 from stratalake.operators.keys import any_null, latest_per_key
+from stratalake.operators.quality import broken_rules, conform, contract_tests, rule_counters, violations
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.upsert import append_keyed, rebuild_table, upsert_table
@@ -20,6 +21,7 @@ from stratalake.sources.tables import DEFAULT_LOOKBACK_DAYS, look_back
 from stratalake.specs import TableSpec
 
 STEP = "cleaned"
+BROKEN = "_broken_rules"
 
 
 def latest_versions(raw: DataFrame, tie_breakers: Sequence[str] = ("record_hash",)) -> DataFrame:
@@ -45,7 +47,9 @@ def refresh_cleaned(
     Raw rows are parsed once: the cleaned rows go to a staging table, which feeds both the
     cleaned table and the rejects. A record that has no key or an empty one, or whose text or some member
     could not be read, is added to the rejects with its text; unless its key is missing it is
-    also in the cleaned table, with NULL for what could not be read.
+    also in the cleaned table, with NULL for what could not be read. Rows that break a rule of the
+    specification (missing values, lengths) are counted in the write and go to the rejects alone. The rejects of
+    a day are those of its last run.
     """
     mode = mode or (Mode.OVERWRITE if full_rebuild else Mode.MERGE)
     staging, path = layout.staging(spec.name), layout.cleaned(spec.name)
@@ -62,12 +66,16 @@ def refresh_cleaned(
         written = Observation()
         no_key = reduce(or_, [F.col(k).cast("string") == "" for k in spec.keys], any_null(spec.keys))
         cleaned = clean_records(latest_versions(counted), spec, as_of)
-        cleaned = cleaned.observe(written, F.count_if(~no_key).alias("rows"))
+        tests = contract_tests(cleaned.columns, spec.not_null, spec.max_lengths)
+        cleaned = cleaned.withColumn(BROKEN, broken_rules(tests))
+        good = ~no_key & (F.size(BROKEN) == 0)
+        cleaned = cleaned.observe(written, F.count_if(good).alias("rows"), *rule_counters(tests))
         cleaned.write.mode("overwrite").parquet(f"{staging}/parsed")
         metrics.rows_input, metrics.rows_output = read.get["rows"], written.get["rows"]
+        metrics.violations = violations(written.get, tests)
 
         staged = spark.read.parquet(f"{staging}/parsed")
-        rows = staged.where(~no_key).drop(CORRUPT)
+        rows = conform(staged.where(good), table_schema(spec))
         if mode is Mode.MERGE:
             upsert_table(rows, path, spec.keys, layout.buckets)
         elif mode is Mode.OVERWRITE:
@@ -75,15 +83,16 @@ def refresh_cleaned(
         else:
             append_keyed(rows, path, spec.keys)
 
-        rejects = staged.where(no_key | F.col(CORRUPT).isNotNull()).select(
-            "bronze_id", "record_hash", "bronze_loaded_at", F.col(CORRUPT).alias("data"),
-            F.when(F.coalesce(no_key, F.lit(True)), "no key").otherwise("unreadable member").alias("reason"),
-            F.lit(as_of.date()).alias("run_date"),
+        reason = (
+            F.when(F.coalesce(no_key, F.lit(True)), "no key")
+            .when(F.size(BROKEN) > 0, F.array_join(BROKEN, ", "))
+            .otherwise("unreadable member")
         )
-        (
-            rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_date").parquet(layout.rejects(spec.name))
+        record = F.to_json(F.struct(*[c for c in rows.columns if c not in LINEAGE]))
+        rejects = staged.where(~good | F.col(CORRUPT).isNotNull()).select(
+            "bronze_id", "record_hash", "bronze_loaded_at", F.coalesce(CORRUPT, record).alias("data"), reason.alias("reason")
         )
+        rejects.write.mode("overwrite").parquet(layout.rejects_of(spec.name, as_of))
         return Status.SUCCESS
 
     return measured(STEP, spec.name, job)

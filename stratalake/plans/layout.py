@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,10 @@ class Layout:
     def rejects(self, name: str) -> str:
         return f"{self.root}/rejects/{name}"
 
+    def rejects_of(self, name: str, as_of: datetime) -> str:
+        """The rejects of one day's runs: written whole by each, so a rerun leaves none of an earlier one."""
+        return f"{self.rejects(name)}/run_date={as_of:%Y-%m-%d}"
+
     def star(self, name: str) -> str:
         return f"{self.root}/star/{name}"
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 METRICS_SCHEMA = (
     "step string, table_name string, start_ts timestamp, end_ts timestamp, duration_sec double, "
-    "rows_input bigint, rows_output bigint, status string, errors array<string>"
+    "rows_input bigint, rows_output bigint, status string, errors array<string>, violations map<string, bigint>"
 )
 
 
@@ -36,6 +36,7 @@ class JobMetrics:
     rows_output: int = 0
     status: str = Status.PENDING
     errors: list[str] = field(default_factory=list)
+    violations: dict[str, int] = field(default_factory=dict)
 
 
 def measured(step: str, table: str, job: Callable[[JobMetrics], Status | None]) -> JobMetrics:

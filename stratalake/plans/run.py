@@ -31,11 +31,13 @@ def run_layers(
     salts: int = 1,
     calendar: tuple[str, str] | None = None,
     until: datetime | None = None,
+    keys_at_event: bool = False,
+    slice_days: int | None = None,
 ) -> list[JobMetrics]:
     """Load raw rows, refresh cleaned tables, refresh the star schema; steps in ``skip`` are
     left out. A step with a failed table ends the run after that step. Every table's metrics
     are appended to the metrics table. ``fact_mode``, ``since``, ``salts`` and ``calendar`` (first and last
-    day) go to the star step, ``until`` (latest load time to read) to the cleaned step. A batch whose name is no resource is refused before any step.
+    day), ``keys_at_event`` and ``slice_days`` (see ``build_fact``) go to the star step, ``until`` (latest load time to read) to the cleaned step. A batch whose name is no resource is refused before any step.
     """
     chosen = select_resources(resources)
     if unknown := sorted(set(batches or ()) - {spec.name for spec in select_resources(None)}):
@@ -60,7 +62,8 @@ def run_layers(
     if "star" not in skip:
         finished(
             refresh_star(
-                spark, layout, as_of, rebuild=full_rebuild, fact_mode=fact_mode, since=since, salts=salts, calendar=calendar
+                spark, layout, as_of, rebuild=full_rebuild, fact_mode=fact_mode, since=since, salts=salts, calendar=calendar,
+                keys_at_event=keys_at_event, slice_days=slice_days,
             )
         )
     return done

@@ -12,12 +12,18 @@ from stratalake.operators.dedup import as_timestamp
 from stratalake.operators.modeling import date_rows, dimension_rows, fact_rows, fact_with_keys
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
+from stratalake.operators.quality import broken_rules, contract_tests, orphan_tests, rule_counters, violations
 from stratalake.sinks.dimension import read_dimension, update_dimension
+from stratalake.sinks.key_state import key_counts, record, repeated_keys
+from stratalake.sinks.runs import Kind
 from stratalake.sinks.upsert import append_keyed, read_keyed, rebuild_table, upsert_table
 from stratalake.sinks.writer import Mode, write_table
+from stratalake.sources.workspace import written
 from stratalake.specs import DATE_DIMENSION, DATE_DIMENSION_RANGE, DIMENSIONS, FACTS, DimensionSpec, FactSpec
 
 STEP = "star"
+REASON = "_reason"
+KINDS = {Mode.OVERWRITE: Kind.BASE, Mode.MERGE: Kind.MERGE, Mode.APPEND: Kind.APPEND}
 
 
 def cleaned_rows(
@@ -40,6 +46,7 @@ def refresh_dimension(
 ) -> JobMetrics:
     """Version one dimension against its cleaned table.
 
+    Rows that break a rule of the specification are counted and set aside as rejects, before the others are compared.
     With ``since`` only cleaned rows written from then on are looked at. That gives the same
     dimension as long as every run is covered, because a key that is absent stays as it is.
     """
@@ -48,13 +55,18 @@ def refresh_dimension(
         cleaned = cleaned_rows(spark, spec.source, layout, since)
         if cleaned is None:
             return Status.NO_DATA
+        rows = dimension_rows(cleaned, spec)
+        tests = contract_tests(rows.columns, [spec.key], spec.max_lengths)
+        bad = F.size(broken_rules(tests)) > 0
         read = Observation()
-        counted = cleaned.observe(read, F.count(F.lit(1)).alias("rows"))
+        checked = rows.withColumn("reason", F.array_join(broken_rules(tests), ", "))
+        checked = checked.observe(read, F.count(F.lit(1)).alias("rows"), *rule_counters(tests)).where("reason <> ''")
+        checked.write.mode("overwrite").parquet(layout.rejects_of(spec.name, as_of))
         counts = update_dimension(
-            dimension_rows(counted, spec), layout.star(spec.name), spec.surrogate, [spec.key], as_of,
+            rows.where(~bad), layout.star(spec.name), spec.surrogate, [spec.key], as_of,
             spec.attributes, rebuild,
         )
-        metrics.rows_input = read.get["rows"]
+        metrics.rows_input, metrics.violations = read.get["rows"], violations(read.get, tests)
         metrics.rows_output = counts["rows_new"] + counts["rows_changed"]
         return Status.SUCCESS
 
@@ -84,9 +96,18 @@ def empty_dimension(spark: SparkSession, name: str) -> DataFrame:
 
 
 def build_fact(
-    spark: SparkSession, spec: FactSpec, layout: Layout, salts: int = 1, since: datetime | None = None
+    spark: SparkSession,
+    spec: FactSpec,
+    layout: Layout,
+    salts: int = 1,
+    since: datetime | None = None,
+    keys_at_event: bool = False,
+    slice_days: int | None = None,
 ) -> DataFrame | None:
-    """Fact rows with dimension keys, or None while there is no cleaned table."""
+    """Fact rows with dimension keys, or None while there is no cleaned table.
+
+    With ``keys_at_event`` a row gets the versions that were valid on its first day, else the current ones.
+    """
     cleaned = cleaned_rows(spark, spec.source, layout, since)
     if cleaned is None:
         return None
@@ -95,7 +116,8 @@ def build_fact(
         known = read_dimension(spark, layout.star(name))
         dimensions[name] = empty_dimension(spark, name) if known is None else known
         surrogates[name] = (DIMENSIONS[name].surrogate, DIMENSIONS[name].key)
-    return fact_with_keys(fact_rows(cleaned, spec), spec, dimensions, surrogates, salts=salts)
+    day = spec.days[0] if keys_at_event else None
+    return fact_with_keys(fact_rows(cleaned, spec), spec, dimensions, surrogates, day, salts, slice_days)
 
 
 def refresh_fact(
@@ -105,25 +127,43 @@ def refresh_fact(
     mode: Mode = Mode.OVERWRITE,
     salts: int = 1,
     since: datetime | None = None,
+    keys_at_event: bool = False,
+    slice_days: int | None = None,
+    as_of: datetime | None = None,
 ) -> JobMetrics:
     """Write one fact table: rebuilt (the default), appended to, or merged on its own key.
 
-    All modes keep one layout, in buckets of the key, so they may follow each other on a table.
+    All modes keep one layout, so they may follow each other on a table. Rows that break a rule of the
+    specification are counted in the write and set aside as rejects of ``as_of``; keys that a dimension lacks are
+    counted. Where rows are appended, the counts of their keys are compared with those on record, so a key that the table then
+    holds twice is reported without a look at the table.
     ``since`` limits an append or a merge to cleaned rows written from then on.
     """
     if since is not None and mode is Mode.OVERWRITE:
         raise ValueError("a rebuilt fact table needs all cleaned rows")
 
     def job(metrics: JobMetrics) -> Status:
-        facts = build_fact(spark, spec, layout, salts, since)
+        facts = build_fact(spark, spec, layout, salts, since, keys_at_event, slice_days)
         if facts is None:
             return Status.NO_DATA
         staging, path = layout.staging(spec.name), layout.star(spec.name)
         rows = Observation()
-        counted = facts.observe(rows, F.count(F.lit(1)).alias("rows"))
+        tests = contract_tests(facts.columns, spec.not_null, spec.max_lengths)
+        orphans = orphan_tests({key: DIMENSIONS[name].surrogate for key, name in spec.lookups.items()})
+        judged = facts.withColumn(REASON, F.array_join(broken_rules(tests), ", "))
+        good = F.col(REASON) == ""
+        counted = judged.observe(
+            rows, F.count(F.lit(1)).alias("rows"), F.count_if(good).alias("good"), *rule_counters(tests | orphans)
+        )
         counted.write.mode("overwrite").parquet(f"{staging}/facts")  # the joins run here and only here
-        metrics.rows_input = metrics.rows_output = rows.get["rows"]
-        staged = spark.read.schema(facts.schema).parquet(f"{staging}/facts")
+        metrics.rows_input, metrics.rows_output = rows.get["rows"], rows.get["good"]
+        metrics.violations = violations(rows.get, tests | orphans)
+        staged = spark.read.schema(judged.schema).parquet(f"{staging}/facts")
+        staged.where(~good).write.mode("overwrite").parquet(layout.rejects_of(spec.name, as_of) if as_of else f"{staging}/rejects")
+        staged = staged.where(good).drop(REASON)
+        counts = written(key_counts(staged, [spec.key], layout.key_digits), "fact-keys")
+        if mode is Mode.APPEND and (repeated := repeated_keys(counts, layout.keys(spec.name)).count()):
+            metrics.violations[f"unique:{spec.key}"] = repeated
         if mode is Mode.MERGE:
             upsert_table(staged, path, [spec.key], layout.buckets)
         elif mode is Mode.OVERWRITE:
@@ -132,6 +172,8 @@ def refresh_fact(
             append_keyed(staged, path, [spec.key])
         else:
             raise ValueError(f"fact tables are rebuilt, merged or appended to, not {mode}")
+        if metrics.rows_output:
+            record(counts, layout.keys(spec.name), KINDS[mode])
         return Status.SUCCESS
 
     return measured(STEP, spec.name, job)
@@ -148,6 +190,8 @@ def refresh_star(
     since: datetime | None = None,
     salts: int = 1,
     calendar: tuple[str, str] | None = None,
+    keys_at_event: bool = False,
+    slice_days: int | None = None,
 ) -> list[JobMetrics]:
     """Dimensions first, then the facts that refer to them. None means all of a kind."""
     done = []
@@ -158,5 +202,5 @@ def refresh_star(
             done.append(refresh_dimension(spark, DIMENSIONS[name], layout, as_of, rebuild, since))
     for name in FACTS if facts is None else facts:
         changed = None if fact_mode is Mode.OVERWRITE else since
-        done.append(refresh_fact(spark, FACTS[name], layout, fact_mode, salts, changed))
+        done.append(refresh_fact(spark, FACTS[name], layout, fact_mode, salts, changed, keys_at_event, slice_days, as_of))
     return done

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Layout of an extract file and of a page response. Records are kept as JSON text.
-FILE_ENVELOPE = "resource string, extracted_at string, count bigint, records array<string>"
+from stratalake.functions.json import marked_json, unmarked_json
+
+# Layout of a page response. Records are kept as JSON text.
 PAGE_ENVELOPE = "count bigint, next string, results array<string>"
 
 
-def read_envelope_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of extract files that hold a single JSON document each.
+def read_envelope_files(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """One row per record of extract files that hold a single JSON document each: resource, extracted_at, data.
 
-    A document cannot be split, so parallelism is the number of files. Large extracts are
-    better landed as JSON lines (``read_json_lines``).
+    A document cannot be split, so it is parsed by one task, once, to a VARIANT; its records are taken from that one after
+    the other, and with ``spread`` they are dealt out, so what follows is parallel. Their numbers keep their text. A file that is no JSON, or
+    larger than a VARIANT may be, fails the read: land larger extracts as JSON lines (``read_json_lines``).
     """
-    documents = spark.read.schema(FILE_ENVELOPE).option("multiLine", True).json(path)
-    return documents.select("resource", "extracted_at", F.explode("records").alias("data"))
+    documents = spark.read.text(path, wholetext=True).select(F.parse_json(marked_json(F.col("value"))).alias("document"))
+    head = documents.select(
+        F.variant_get("document", "$.resource", "string").alias("resource"),
+        F.variant_get("document", "$.extracted_at", "string").alias("extracted_at"),
+        F.variant_get("document", "$.records", "variant").alias("records"),
+    )
+    records = head.lateralJoin(spark.tvf.variant_explode(F.col("records").outer()))
+    rows = records.select("resource", "extracted_at", unmarked_json(F.to_json("value")).alias("data"))
+    return rows.hint("rebalance") if spread else rows
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -43,24 +52,27 @@ def flatten_pages(
     body: str = "body",
     page_no: str = "page_no",
     max_pages: int | None = None,
-    salts: int = 16,
+    bin_pages: int = 256,
 ) -> DataFrame:
     """Records of page responses, up to the page that ends each listing.
 
     ``listing`` names the columns that tell one listing from another. A listing ends with the
-    first page that names no next page or has no results, or with page ``max_pages``. Where it
-    ends is found by a partial aggregate, and the one row that says so is repeated for each of
-    ``salts`` shares of a listing's pages, so a long listing never meets in one task.
+    first page that names no next page or has no results, or with page ``max_pages``.
+
+    Where it ends is found by a scan for those two members alone. Pages are binned by ``bin_pages`` of their numbers: the
+    scan leaves one row per listing and bin, which meets the bin's pages in a join, so a long listing is never in one
+    task. Bodies are parsed after that, each once, and those behind the end not at all.
     """
     if max_pages is not None:
         pages = pages.where(F.col(page_no) <= max_pages)
-    parsed = pages.select(*listing, page_no, F.from_json(body, PAGE_ENVELOPE).alias("page")).select(
-        *listing, page_no, F.col("page.next").alias("next"), F.col("page.results").alias("results")
-    )
-    is_last = F.col("next").isNull() | (F.coalesce(F.size("results"), F.lit(0)) <= 0)
-    ends = parsed.groupBy(*listing).agg(F.min(F.when(is_last, F.col(page_no))).alias("last_page"))
-    shares = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    ends = ends.withColumn("_share", F.explode(shares))
-    dealt = parsed.withColumn("_share", F.pmod(F.col(page_no).cast("bigint"), F.lit(salts).cast("bigint")))
-    kept = dealt.join(ends, [*listing, "_share"]).where(F.col(page_no) <= F.coalesce("last_page", page_no))
-    return kept.select(*listing, page_no, F.explode("results").alias("data"))
+    keys = [*listing, "_bin"]
+    binned = pages.withColumn("_bin", F.floor(F.col(page_no) / F.lit(bin_pages)))
+    results = F.json_array_length(F.get_json_object(body, "$.results"))
+    is_last = F.get_json_object(body, "$.next").isNull() | (F.coalesce(results, F.lit(0)) <= 0)
+    ends = binned.groupBy(*keys).agg(F.min(F.when(is_last, F.col(page_no))).alias("_end"))
+    ends = ends.withColumn("_end", F.min("_end").over(Window.partitionBy(*listing)))
+    first_after = F.col("_end") < F.col("_bin") * F.lit(bin_pages)
+    ends = ends.where(~F.coalesce(first_after, F.lit(False)))  # whole bins behind the end
+    kept = binned.join(ends, keys).where(F.col(page_no) <= F.coalesce("_end", page_no))
+    records = F.from_json(body, PAGE_ENVELOPE)["results"]
+    return kept.select(*listing, page_no, F.explode(records).alias("data"))
