@@ -154,14 +154,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", each: int =
 
     With labels of one class only, or none, the model scores their rate, or one half.
     """
-    rows, sizes = labelled_texts(docs, labels, label, each)
-    if len({y for _, _, y in rows}) < 2:
-        rate = (np.mean([y for _, _, y in rows]) * 0.998 + 0.001) if rows else 0.5
+    sample, sizes = labelled_texts(docs, labels, label, each)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (s for b in batches for s in slices(b)):
+            x = [features(text) for text in strings(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    measured = sample.mapInArrow(measure, f"doc_id {kind}, label int, x array<double>").collect()  # 2 * each rows of numbers
+    rows = sorted(((r.doc_id, r.label, r.x) for r in measured), key=lambda r: r[0])
+    y = np.array([r[1] for r in rows], float)
+    if len(set(y.tolist())) < 2:
+        rate = (y.mean() * 0.998 + 0.001) if rows else 0.5
         return Gam([np.zeros(0)] * len(FEATURES), [np.zeros(1)] * len(FEATURES), math.log(rate / (1 - rate)))
-    y = np.array([r[2] for r in rows], float)
-    held = Counter(r[2] for r in rows)
-    share = np.array([sizes[r[2]] / held[r[2]] for r in rows])
-    return fit_tables(np.array([features(r[1]) for r in rows]), y, share / share.mean())
+    held = Counter(r[1] for r in rows)
+    share = np.array([sizes[r[1]] / held[r[1]] for r in rows])
+    return fit_tables(np.array([r[2] for r in rows]), y, share / share.mean())
 
 
 def score_quality(docs: DataFrame, model: Gam) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import held_out
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, each: int) -> tuple[list[tuple[int, str, int]], dict[int, int]]:
-    """Up to `each` texts of either class with doc_id and label, and the size of either class.
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, each: int) -> tuple[DataFrame, dict[int, int]]:
+    """Up to `each` texts of either class (doc_id, label, text), and the size of either class.
 
     Rows held out, without a label or without doc_id are left aside; of repeated doc_ids the larger label
     counts, and of their rows the least text. The choice follows a digest of doc_id alone, so
-    it is the same in every run. What reaches the driver is bounded by 2 * `each` texts.
+    it is the same in every run. The texts stay on Spark: what a fit brings to the driver are numbers made of them.
     """
     usable = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -24,6 +24,5 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, each: int) ->
     order = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = [usable.filter(F.col("label") == c).orderBy(order, "doc_id").limit(each) for c in (0, 1)]
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * each rows
-    found = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    rows = [(r.doc_id, r.text or "", r.label) for r in found.collect()]
-    return sorted(rows, key=lambda r: (r[0], r[1])), sizes
+    found = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "label")
+    return found.agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), sizes

@@ -1,18 +1,17 @@
-"""Toxicity by the nearest labelled examples under exact cosine of TF-IDF, weighted by the label."""
+"""Toxicity by the nearest labelled examples under exact cosine of TF-IDF, words weighted by what they tell of the label."""
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import slices, strings
+from stratalake.llm.common import slices, strings, written
 from stratalake.llm.sample import labelled_texts
 from stratalake.llm.words import letter_words
 
@@ -26,33 +25,23 @@ BASE_WEIGHT = 0.5
 THRESHOLD = 0.3
 
 
-def strengths(rows: list[tuple[Counter, int]]) -> dict[bytes, float]:
-    """Weight of every word of the examples: how clearly, and by how much, its rates in the two classes differ.
+#: Chi-square that chance alone gives a word in one case of twenty.
+CHANCE = 3.84
 
-    The root of chi-square, times the log of the ratio of rates. No word is left out, however rare: one that
-    tells nothing of the label weighs next to nothing beside one that only toxic examples hold.
-    """
-    n = [sum(1 for _, y in rows if y == c) for c in (0, 1)]
-    seen = [Counter(), Counter()]
-    for words, y in rows:
-        seen[y].update(words.keys())
-    out = {}
-    for w in sorted({*seen[0], *seen[1]}):
-        a, b = seen[1][w], seen[0][w]
-        c, d = n[1] - a, n[0] - b
-        rest = (a + b) * (c + d) * n[1] * n[0]
-        ratio = math.log((a + 0.5) / (n[1] + 1) / ((b + 0.5) / (n[0] + 1)))
-        out[w] = math.sqrt((a + b + c + d) * (a * d - b * c) ** 2 / rest) * abs(ratio) if rest else 0.0
-    return out
 
+def strength(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """How clearly, and by how much, a word's rates in the two classes differ, given how many examples of each hold it.
 
-def _without_near_copies(rows: list[tuple[int, Counter, int]]) -> list[tuple[int, Counter, int]]:
-    """One example of each group of copies: rows that share the two least digests of their longer words."""
-    first: dict[tuple, tuple[int, Counter, int]] = {}
-    for row in rows:
-        digests = sorted(zlib.crc32(w) for w in row[1] if len(w) > 5)[:2]
-        first.setdefault((row[2], *digests) if len(digests) == 2 else (row[0],), row)
-    return list(first.values())
+    The root of what chi-square, corrected for small counts, has beyond chance, times the log of the ratio of rates. A word
+    that says no more of the label than chance would has the weight 0, and one in a single example says nothing; there
+    is no bound on the number of words.
+    """
+    n = n_toxic + n_clean
+    rest = (toxic + clean) * (n - toxic - clean) * F.lit(float(n_toxic) * n_clean)
+    apart = F.greatest(F.abs(toxic * (n_clean - clean) - clean * (n_toxic - toxic)) - n / 2, F.lit(0.0))
+    square = F.when(rest > 0, n * apart * apart / rest).otherwise(F.lit(0.0))
+    ratio = F.ln((toxic + 0.5) / (n_toxic + 1) / ((clean + 0.5) / (n_clean + 1)))
+    return F.sqrt(F.greatest(square - CHANCE, F.lit(0.0))) * F.abs(ratio)
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -117,21 +106,17 @@ class BlockMaxIndex:
 class Model:
     """Examples, their index and the base rate; small enough to go with each task."""
 
-    def __init__(self, examples: list[tuple[int, Counter, int]], sizes: dict[int, int], terms: list[bytes], weights: np.ndarray):
+    def __init__(self, examples: list[tuple[int, dict[bytes, int], int]], sizes: dict[int, int], terms: list[bytes], weights: np.ndarray):
         self.term = {w: i for i, w in enumerate(terms)}
         self.weights = weights.tolist()
-        # Vectors are made twice and not kept: as dicts, those of all examples would fill the driver.
-        placed = []
-        for i, (doc, words, _) in enumerate(examples):
-            if v := self.vector(words):
-                placed.append((max(v, key=lambda t: (v[t], -t)), len(v), doc, i))
-        order = [i for *_, i in sorted(placed)]  # alike examples share a block
+        placed = [(v, doc, y) for doc, words, y in examples if (v := self.vector(words))]
+        placed.sort(key=lambda r: (max(r[0], key=lambda t: (r[0][t], -t)), len(r[0]), r[1]))  # alike examples share a block
         held = Counter(y for _, _, y in examples)
         self.weight = [sizes.get(c, 0) / held[c] if held[c] else 0.0 for c in (0, 1)]
         total = sum(sizes.values())
         self.base = sizes.get(1, 0) / total if total else 0.0
-        self.docs, self.labels = [examples[i][0] for i in order], [examples[i][2] for i in order]
-        self.index = BlockMaxIndex((self.vector(examples[i][1]) for i in order), len(terms))
+        self.docs, self.labels = [doc for _, doc, _ in placed], [y for _, _, y in placed]
+        self.index = BlockMaxIndex((v for v, _, _ in placed), len(terms))
 
     def vector(self, words: dict[bytes, int]) -> dict[int, float]:
         raw = {i: (1 + math.log(words[w])) * x for w in words if (i := self.term.get(w)) is not None and (x := self.weights[i])}
@@ -148,39 +133,83 @@ class Model:
         return min(1.0, max(0.0, score)), [self.docs[i] for _, i in near[:5]]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EXAMPLES) -> Model:
-    """Takes up to `each` labelled examples a class and counts all their words over all documents."""
-    rows, sizes = labelled_texts(docs, labels, label, each)
-    known: dict[bytes, bytes] = {}  # one object for each word, whatever the number of examples that hold it
-    examples = _without_near_copies([(doc, Counter(known.setdefault(w, w) for w in letter_words(text)), y) for doc, text, y in rows])
-    del rows, known
-    strength = strengths([(words, y) for _, words, y in examples])
-    terms = list(strength)
+def _example_words(sample: DataFrame) -> DataFrame:
+    """doc_id, label and the counted words of each text."""
+    kind = sample.schema["doc_id"].dataType.simpleString()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (s for b in batches for s in slices(b)):
+            counted = [Counter(letter_words(text)) for text in strings(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), batch.column("label"),
+                    pa.array([list(c) for c in counted], pa.list_(pa.binary())), pa.array([list(c.values()) for c in counted], pa.list_(pa.int64())),
+                ],
+                ["doc_id", "label", "words", "counts"],
+            )
+
+    return sample.mapInArrow(count, f"doc_id {kind}, label int, words array<binary>, counts array<long>")
+
+
+def _documents_holding(docs: DataFrame, terms: list[bytes]) -> np.ndarray:
+    """Of all documents, how many hold each term, and last how many there are."""
     place = {w: i for i, w in enumerate(terms)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holding, n = np.zeros(len(terms) + 1, np.int64), 0
         for batch in (s for b in batches for s in slices(b)):
             for text in strings(batch.column("text")):
-                held = {place[w] for w in letter_words(text) if w in place}
-                holding[list(held)] += 1
+                holding[[place[w] for w in place.keys() & letter_words(text)]] += 1
                 n += 1
-        holding[-1] = n  # last: all documents
+        holding[-1] = n
         met = np.flatnonzero(holding)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(holding[met])], ["term", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    holding = np.zeros(len(terms) + 1)
-    for r in counted:
-        holding[r.term] = r.n
+    out = np.zeros(len(terms) + 1)
+    for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[r.term] = r.n
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EXAMPLES) -> Model:
+    """Takes up to `each` labelled examples a class, weighs all their words, and counts the weighty ones over all documents.
+
+    Words are counted on Spark. The driver gets the words that have a weight, and of each example which of them
+    it holds: numbers bounded by `each`, no texts.
+    """
+    sample, sizes = labelled_texts(docs, labels, label, each)
+    examples = written(_example_words(sample), "toxicity-examples")
+    held = {r.label: r.n for r in examples.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    each_word = examples.select("label", F.explode("words").alias("word")).groupBy("word")
+    rates = each_word.agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
+    weighed = rates.select("word", strength(F.col("toxic"), F.col("clean"), held.get(1, 0), held.get(0, 0)).alias("weight"))
+    weights = {bytes(r.word): r.weight for r in weighed.filter("weight > 0").collect()}
+    terms = sorted(weights)
+    holding = _documents_holding(docs, terms)
     idf = np.log((1 + holding[-1]) / (1 + holding[:-1])) + 1
-    return Model(examples, sizes, terms, idf * np.array(list(strength.values())))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [
+                [(w, n) for w, n in zip(words, counts) if w in weights]
+                for words, counts in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), batch.column("label"),
+                    pa.array([[w for w, _ in k] for k in kept], pa.list_(pa.binary())), pa.array([[n for _, n in k] for k in kept], pa.list_(pa.int64())),
+                ],
+                batch.schema.names,
+            )
+
+    found = [(r.doc_id, dict(zip(map(bytes, r.words), r.counts)), r.label) for r in examples.mapInArrow(keep, examples.schema).collect()]
+    return Model(found, sizes, terms, idf * np.array([weights[w] for w in terms]))
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """Adds score and evidence (doc_ids of the nearest examples) beside a struct `row` of the given columns.
 
-    A text without any word of the examples that tells of the label, so also an empty or null one, has no neighbour and
+    A text without any word that tells of the label, so also an empty or null one, has no neighbour and
     scores the base rate of the labels; without labelled rows that is 0. Each row is scored by its own
     whole text, repeated ones alike. No rows give no rows.
     """

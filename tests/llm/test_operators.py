@@ -343,3 +343,57 @@ def test_models_without_labels(spark):
     scores = toxicity.score_toxicity(rows, toxicity.fit(rows, labels)).collect()
     assert [r.score for r in scores] == [0.0] * len(ODD)
     assert {r.score for r in quality.score_quality(rows, quality.fit(rows, labels)).collect()} == {0.5}
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    pick = random.Random(12)
+    plain = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    made = [" ".join(pick.choices(plain, k=pick.randrange(5, 40)) + pick.choices(["vile", "scum", "ugh"], k=3) * (i % 4 == 0)) for i in range(260)]
+    made += [made[0], made[1], "", None, "vile", "only new ones here"]
+    docs = frame(spark, made).repartition(5)
+    told = [(i, int(i % 4 == 0)) for i in range(200)]
+    model = toxicity.fit(docs, spark.createDataFrame(told, "doc_id long, toxic int"))
+    got = {r.row.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+    train = [(i, y) for i, y in told if zlib.crc32(str(i).encode()) % 4 != 2]
+    counts = [Counter((t or "").lower().split()) for t in made]
+    n = [sum(y == c for _, y in train) for c in (0, 1)]
+    weights = {}
+    for w in {w for i, _ in train for w in counts[i]}:
+        a, b = (sum(w in counts[i] for i, y in train if y == c) for c in (1, 0))
+        apart = max(abs(a * (n[0] - b) - b * (n[1] - a)) - sum(n) / 2, 0)
+        rest = (a + b) * (sum(n) - a - b) * n[0] * n[1]
+        square = sum(n) * apart**2 / rest if rest else 0
+        side = abs(np.log((a + 0.5) / (n[1] + 1) / ((b + 0.5) / (n[0] + 1))))
+        idf = np.log((1 + len(made)) / (1 + sum(w in c for c in counts))) + 1
+        weights[w] = np.sqrt(max(square - toxicity.CHANCE, 0)) * side * idf
+
+    def vector(c):
+        v = {w: (1 + np.log(k)) * weights[w] for w, k in c.items() if weights.get(w)}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    known = [(i, vector(counts[i]), y) for i, y in train if vector(counts[i])]
+    assert {w for w in weights if weights[w]} == {w.decode() for w in model.term} and len(known) == len(model.docs)
+    for i, c in enumerate(counts):
+        q = vector(c)
+        near = sorted((sum(x * v.get(w, 0.0) for w, x in q.items()) for _, v, y in known), reverse=True)[: toxicity.NEAREST]
+        border = near[-1] if near else 0.0
+        near = [(x, y) for (x, y) in ((sum(x * v.get(w, 0.0) for w, x in q.items()), y) for _, v, y in known) if x > max(border, 0.0) + 1e-9]
+        tied = [y for y, s in ((y, sum(x * v.get(w, 0.0) for w, x in q.items())) for _, v, y in known) if abs(s - border) <= 1e-9 and s > 0]
+        left = toxicity.NEAREST - len(near)
+        base = n[1] / sum(n)
+
+        def score(toxic_ties):
+            votes = sum(x * x * y for x, y in near) + toxic_ties * border**2
+            every = sum(x * x for x, _ in near) + min(left, len(tied)) * border**2
+            return (votes + toxicity.BASE_WEIGHT * base) / (every + toxicity.BASE_WEIGHT)
+
+        take = min(left, len(tied))
+        low, high = max(0, take - tied.count(0)), min(take, tied.count(1))
+        assert score(low) - 1e-9 <= got[i].score <= score(high) + 1e-9
+
+
+def test_toxicity_keeps_every_different_example(spark):
+    texts = [f"same longer words {'abcdefghij'[i % 10]}x bad" if i % 2 else f"fine text {'abcdefghij'[i % 10]}y" for i in range(80)]
+    model = toxicity.fit(frame(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int"))
+    assert len(model.docs) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(80))
