@@ -310,10 +310,10 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[:, 0]), pa.array(columns[:, 1])], ["a", "b"])
 
 
-def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by exact intersection."""
     ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
-    members = _members(docs, ids, width)
+    members = _members(docs, sets, ids, width)
     one = members.select(F.col("set_id").alias("a"), F.col("hashes").alias("left"))
     two = members.select(F.col("set_id").alias("b"), F.col("hashes").alias("right"))
 
@@ -346,24 +346,38 @@ def _bits(ids: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _members(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(set_id, hashes) of the asked sets, computed again where the texts lie: no text is shuffled."""
+def _members(docs: DataFrame, sets: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(set_id, hashes) of the asked sets, computed again where the texts lie: no text is shuffled.
+
+    Of the texts with one set that of the least digest is taken. Which digests are asked is sent along in a fixed number of
+    bits, so only those texts, and the few that share a bit with one, are cut into shingles again.
+    """
     need = written(ids.distinct(), "needed")
-    packed = _bits(need)
+    key = sets.join(need, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_key").alias("text_key"))
+    asked = written(key, "asked")
+    packed = _bits(asked.select(F.col("text_key").alias("set_id")))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, seen, held = _Digests(), set(), np.unpackbits(packed).view(bool)
-        for batch in (s for b in batches for s in slices(b)):
-            ids, hashes = [], []
-            for data in raw_bytes(batch.column("text")):
-                found = shingle_set(data, digests, width).tobytes()
-                if found and (key := _set_id(found)) not in seen and held[(key & (1 << 64) - 1) >> (64 - FILTER_BITS)]:
-                    seen.add(key)
-                    ids.append(key)
-                    hashes.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.binary())], ["set_id", "hashes"])
-
-    found = docs.select("text").mapInArrow(full, "set_id long, hashes binary").join(need, "set_id", "left_semi")
+        for batch in batches:
+            key = batch.column("text_key").to_numpy()
+            near = np.flatnonzero(held[key.view(np.uint64) >> np.uint64(64 - FILTER_BITS)])
+            for part in slices(batch.take(pa.array(near))):
+                ids, keys, hashes = [], [], []
+                for text_key, data in zip(part.column("text_key").to_pylist(), raw_bytes(part.column("text"))):
+                    if text_key in seen:
+                        continue
+                    seen.add(text_key)
+                    if found := shingle_set(data, digests, width).tobytes():
+                        ids.append(_set_id(found))
+                        keys.append(text_key)
+                        hashes.append(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(hashes, pa.binary())], ["set_id", "text_key", "hashes"]
+                )
+
+    rows = docs.select("text", F.xxhash64("text").alias("text_key"))
+    found = rows.mapInArrow(full, "set_id long, text_key long, hashes binary").join(asked, ["set_id", "text_key"], "left_semi")
     return written(found.groupBy("set_id").agg(F.first("hashes").alias("hashes")), "members")
 
 
@@ -402,7 +416,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
     first = first.select("last_id", "set_id").unionByName(_shuffled_neighbours(shared, percent))
     first = first.select(F.least("last_id", "set_id").alias("a"), F.greatest("last_id", "set_id").alias("b")).distinct()
     first = written(_possible(first, profiles, percent), "pairs")
-    links = written(_links(docs, first, width, percent), "links")
+    links = written(_links(docs, sets, first, width, percent), "links")
     label = components(links).select(F.col("a").alias("set_id"), F.col("b").alias("label"))
 
     held = shared.select("key", "set_id", "n").join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
@@ -410,7 +424,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
     mixed = held.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("length")).filter("lo < hi")
     second = _across(held.join(mixed.select("key", "length"), "key").join(profiles, "set_id"), percent).distinct()
     second = written(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(_links(docs, second, width, percent)).distinct()
+    links = links.unionByName(_links(docs, sets, second, width, percent)).distinct()
     label = components(written(links, "links")).select(F.col("a").alias("set_id"), F.col("b").alias("label"))
 
     least = sets.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
