@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -20,6 +20,12 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+#: The parts that these searches are made of, so that a long run of one sign is passed over once: what follows
+#: the sign of an address, and an ip from the start of its first number on, where alone one can begin.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_BLANKS = re.compile(r"\s{2,}")
 
 # Letters of other scripts that look like Latin ones, and signs that look like ASCII.
 LOOKALIKES = str.maketrans(
@@ -68,13 +74,28 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of EMAIL: around each sign, back over what may stand before it and is in no earlier match."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        if m := _DOMAIN.match(text, at + 1):
+            start = at
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            if start < at:
+                yield start, m.end()
+                done = m.end()
+        at = text.find("@", at + 1)
+
+
 def plain_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, kind's place, kind) with ends, by start, then kind: what the fixed patterns accept."""
     found = []
     if "@" in text:
-        found += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        found += [(start, 0, end) for start, end in _emails(text)]
     if DIGIT.search(text):
-        for m in IP.finditer(text):
+        for m in _IP_RUNS.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m.group().split(".")):
                 found.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):
@@ -106,6 +127,29 @@ def _disguised(text: str) -> bool:
     return any(cue.search(low) for cue in CUES)
 
 
+def _rewrites(signs: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, result) of each rewrite of words.
+
+    How many blanks stand between words makes no difference to one, and it takes all of them. So each run of
+    them is made one before the search, which would otherwise begin anew at every blank of a run.
+    """
+    runs = [(m.start(), m.end() - m.start() - 1) for m in _BLANKS.finditer(signs)]
+    if not runs:
+        for m in DISGUISES.finditer(signs):
+            yield m.start(), m.end(), _rewrite(m)
+        return
+    starts, removed, pieces, at, total = [], [0], [], 0, 0
+    for start, more in runs:
+        starts.append(start - total)  # in the shorter text
+        pieces.append(signs[at : start + 1])
+        at, total = start + 1 + more, total + more
+        removed.append(total)
+    short = "".join([*pieces, signs[at:]])
+    for m in DISGUISES.finditer(short):
+        start, end = m.span()
+        yield start + removed[bisect_left(starts, start)], end + removed[bisect_left(starts, end)], _rewrite(m)
+
+
 class Normalised:
     """Plain form of a text, and the source span of each of its characters.
 
@@ -119,13 +163,12 @@ class Normalised:
         out, at, length = [], 0, 0
         #: For each rewrite, where its result begins and ends in the plain form, and its span among the signs.
         self.begins, self.rewrites = [], []
-        for m in DISGUISES.finditer(signs) if _disguised(signs) else ():
-            new = _rewrite(m)
-            length += m.start() - at
+        for start, end, new in _rewrites(signs) if _disguised(signs) else ():
+            length += start - at
             self.begins.append(length)
-            self.rewrites.append((length + len(new), m.start(), m.end()))
-            out += [signs[at : m.start()], new]
-            length, at = length + len(new), m.end()
+            self.rewrites.append((length + len(new), start, end))
+            out += [signs[at:start], new]
+            length, at = length + len(new), end
         self.text = "".join([*out, signs[at:]]) if out else signs
 
     def _signs(self, i: int) -> tuple[int, int]:

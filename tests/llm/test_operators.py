@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -397,3 +398,31 @@ def test_toxicity_keeps_every_different_example(spark):
     texts = [f"same longer words {'abcdefghij'[i % 10]}x bad" if i % 2 else f"fine text {'abcdefghij'[i % 10]}y" for i in range(80)]
     model = toxicity.fit(frame(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int"))
     assert len(model.docs) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(80))
+
+
+def test_spans_of_long_runs_take_linear_time():
+    n = 1_000_000
+    cases = ["7" * n, "a" * n + " x@y.zz", "a" * n + "@", "x" + " " * n + "(at) y", "\n" * n + "one", "1." * (n // 2), "a@" * (n // 2), "+1" + " " * n, "4 " * (n // 2), "." * n + "@b.c"]
+    for text in cases:
+        start = time.perf_counter()
+        pii.spans(text)
+        assert time.perf_counter() - start < 4, text[:20]
+    base, every = pii.spans("mail john" + " " * 5000 + "(at)\n\n\nexample" + "\t" * 700 + "dot" + "  " * 90 + "com now")
+    assert base == [] and every == [(5, "email", 9 + 5000 + 4 + 3 + 7 + 700 + 3 + 180 + 3)]
+
+
+def test_rewrites_between_any_blanks_are_those_of_the_pattern():
+    bits = ["one", "dot", "at", "@", "(at)", "[.]", ".", "john", "com", "oh", "plus", "5o5", "[", " )", "-", "  ", "\n\n", "   ", "\t", " ", ",", "seven", "a.com"]
+    pick = random.Random(9)
+    for _ in range(20_000):
+        text = "".join(pick.choices(bits, k=pick.randint(2, 14)))
+        assert list(pii._rewrites(text)) == [(*m.span(), pii._rewrite(m)) for m in pii.DISGUISES.finditer(text)]
+
+
+def test_emails_and_ips_are_those_of_the_patterns():
+    pick = random.Random(10)
+    for _ in range(20_000):
+        text = "".join(pick.choices("a.@-1 +b", k=pick.randint(1, 24)))
+        assert list(pii._emails(text)) == [m.span() for m in pii.EMAIL.finditer(text)]
+        text = "".join(pick.choices("12. a", k=pick.randint(1, 24)))
+        assert [m.span() for m in pii._IP_RUNS.finditer(text)] == [m.span() for m in pii.IP.finditer(text)]
