@@ -75,7 +75,8 @@ def op6_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     (docs,) = tables(spark, sf_dir, "documents")
     return repeats.remove_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("has_repeat"),
     )
 
 
