@@ -66,7 +66,7 @@ def op5_shingle_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = tables(spark, sf_dir, "documents", "labels")
-    scores = toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
+    scores = toxicity.score_toxicity(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
     scores = scores.select("row.doc_id", "score", "evidence")
     return scores.select(*judged(scores, "doc_id", toxicity.THRESHOLD), "evidence")
 

@@ -214,19 +214,21 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     whole text, repeated ones alike. No rows give no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(F.struct("*").alias("row"), F.col("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     row = rows.schema["row"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b)):
-            found = [model.score(text) for text in strings(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"), pa.array([s for s, _ in found], pa.float64()),
-                    pa.array([e for _, e in found], pa.list_(batch.schema.field("row").type.field("doc_id").type)),
-                ],
-                ["row", "score", "evidence"],
-            )
+        for batch in batches:
+            texts = batch.column("row").field("text")  # the row's own text: it is not sent twice
+            for part in slices(pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])):
+                found = [model.score(text) for text in strings(part.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row"), pa.array([s for s, _ in found], pa.float64()),
+                        pa.array([e for _, e in found], pa.list_(part.schema.field("row").type.field("doc_id").type)),
+                    ],
+                    ["row", "score", "evidence"],
+                )
 
     return rows.mapInArrow(score, f"row {row}, score double, evidence array<{kind}>")
 
