@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from stratalake.operators import dedup
 from stratalake.operators.history import next_history
 from stratalake.operators.merge import merge_rows
+from stratalake.plans import raw as raw_plan
 from stratalake.plans.cleaned import refresh_cleaned
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured, overall_status, run_summary
 from stratalake.plans.raw import load_raw, load_raw_batch
 from stratalake.plans.run import run_layers
 from stratalake.plans.star import refresh_fact, refresh_star
-from stratalake.sinks import dimension, runs, upsert, writer
+from stratalake.settings import session_settings
+from stratalake.sinks import dimension, key_state, runs, upsert, writer
 from stratalake.sources import workspace
 from stratalake.sources.tables import look_back
 from stratalake.specs import CLIENTS, DIMENSIONS, FACTS, RESOURCES
@@ -397,3 +399,115 @@ def test_look_back_ends_where_told(spark):
     assert look_back(rows, as_of, 2).count() == 3
     assert look_back(rows, as_of, 2, until=as_of).count() == 2
     assert look_back(rows, as_of, 2, until=datetime(2024, 1, 6, 11)).count() == 1
+
+
+def test_load_cut_off_after_its_append_is_caught_up_with(spark, scratch, monkeypatch):
+    layout = Layout(scratch, buckets=2, key_digits=1)
+    first = json_rows(spark, *({"id": i} for i in range(20)))
+    load_raw(json_rows(spark, {"id": 0}), "x", layout)
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(raw_plan, "record", dies)
+        assert "driver lost" in load_raw(first, "x", layout).errors[0]
+    assert writer.read_raw(spark, layout.raw("x")).count() == 20  # appended, keys not recorded
+    again = load_raw(json_rows(spark, *({"id": i} for i in range(25))), "x", layout)
+    assert (again.errors, again.rows_output) == ([], 5)
+    assert writer.read_raw(spark, layout.raw("x")).count() == 25
+
+
+@pytest.mark.parametrize("step", ["append_raw", "record", "fresh_rows"])
+def test_first_load_cut_off_anywhere_can_be_run_again(spark, scratch, monkeypatch, step):
+    layout = Layout(scratch, key_digits=1)
+    rows = json_rows(spark, {"id": 1}, {"id": 2}, {"id": 2})
+    with monkeypatch.context() as broken:
+        broken.setattr(raw_plan, step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        assert load_raw(rows, "x", layout).errors
+    assert load_raw(rows, "x", layout).errors == []
+    assert sorted(r.id for r in writer.read_raw(spark, layout.raw("x")).collect()) == ["1", "2"]
+
+
+def test_tables_loaded_without_keys_are_taken_up(spark, scratch):
+    layout = Layout(scratch, key_digits=1)
+    writer.append_raw(json_rows(spark, {"id": 1}), layout.raw("x"))
+    assert load_raw(json_rows(spark, {"id": 1}, {"id": 2}), "x", layout).rows_output == 1
+
+
+def test_a_load_reads_the_folders_of_its_own_keys(spark, scratch):
+    many = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("record_hash"))
+    key_state.record(workspace.written(key_state.key_counts(many, ["record_hash"]), "k"), f"{scratch}/k")
+    some = workspace.written(key_state.with_buckets(many.limit(3), ["record_hash"]), "b")
+    found = key_state.held(some, f"{scratch}/k")
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    folders = {r[0] for r in some.select("key_bucket").collect()}
+    assert "PartitionFilters: [key_bucket" in plan and len(folders) <= 3
+
+
+def test_texts_of_loaded_records_are_not_shuffled(spark, scratch):
+    spark.range(20_000).selectExpr("string(id) AS id", "repeat('x', 500) || id AS data", "sha2(string(id), 256) AS record_hash",
+        "timestamp_ntz'2024-05-01' AS loaded_at", "id AS row_number").write.parquet(f"{scratch}/batch")
+    staged = spark.read.parquet(f"{scratch}/batch")
+    spark.range(19_000, 20_000).selectExpr("id AS row_number").write.parquet(f"{scratch}/fresh")
+    rows = dedup.rows_numbered(staged, spark.read.parquet(f"{scratch}/fresh"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange") == 1  # the broadcast of the numbers
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", **session_settings(0),
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = dedup.rows_numbered(staged, spark.read.parquet(f"{scratch}/fresh"))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "bloom_filter_agg" in plan and "might_contain" in plan
+        assert rows.count() == 1000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_that_break_a_rule_are_counted_and_set_aside(spark, scratch):
+    layout = Layout(scratch, buckets=2, key_digits=1)
+    long_name = {"id": 1, "client_name": "x" * 201, "client_code": "c" * 51}
+    load_raw(json_rows(spark, long_name, {"id": 2, "client_name": "B"}), "clients", layout)
+    done = refresh_cleaned(spark, CLIENTS, layout, NOW)
+    assert (done.rows_output, done.violations) == (1, {"max_length:client_code": 1, "max_length:client_name": 1})
+    rejects = spark.read.parquet(layout.rejects("clients")).collect()
+    assert [r.reason for r in rejects] == ["max_length:client_code, max_length:client_name"]
+    assert pyjson.loads(rejects[0].data)["client_name"] == "x" * 201 and str(rejects[0].run_date) == "2024-05-01"
+    load_raw(json_rows(spark, {"id": 1, "client_name": "A"}, at=datetime(2024, 5, 1, 13)), "clients", layout)
+    done = refresh_cleaned(spark, CLIENTS, layout, NOW)
+    assert (done.rows_output, done.violations) == (2, {})
+    assert spark.read.parquet(layout.rejects("clients")).count() == 0
+    assert upsert.read_keyed(spark, layout.cleaned("clients")).dtypes[-1] == ("silver_is_current", "boolean")
+
+
+def test_appended_facts_report_keys_held_twice(spark, folder, scratch):
+    layout = Layout(scratch, buckets=2, key_digits=1)
+    run_layers(spark, layout, datetime(2002, 1, 2), {"expenses": raw_feed(spark, folder, "expenses")}, "expenses", full_rebuild=True, skip=("star",))
+    events = spark.read.parquet(f"{folder}/events.parquet").count()
+    modes = (writer.Mode.OVERWRITE, writer.Mode.APPEND, writer.Mode.MERGE, writer.Mode.OVERWRITE)
+    found = [refresh_fact(spark, FACTS["fact_expenses"], layout, mode) for mode in modes]
+    assert [m.errors for m in found] == [[]] * 4
+    assert [m.violations.get("unique:expense_id", 0) for m in found] == [0, events, 0, 0]
+    assert found[0].violations["orphan:employee_id"] == events
+    assert upsert.read_keyed(spark, layout.star("fact_expenses")).count() == events
+
+
+def test_key_state_is_that_of_counts(spark, scratch):
+    pick, path, rows = random.Random(4), f"{scratch}/k", []
+    for step, kind in enumerate([runs.Kind.APPEND, runs.Kind.APPEND, runs.Kind.MERGE, runs.Kind.APPEND, runs.Kind.APPEND]):
+        part = [pick.choice([None, *range(9)]) for _ in range(8)]
+        part = list(set(part)) if kind is runs.Kind.MERGE else part
+        counts = workspace.written(key_state.key_counts(spark.createDataFrame([(k,) for k in part], "k int"), ["k"], 1), "c")
+        rows = [r for r in rows if kind is runs.Kind.APPEND or r not in part] + part
+        repeated = key_state.repeated_keys(counts, path) if kind is runs.Kind.APPEND else None
+        if repeated is not None:
+            want = sorted(rows.count(k) for k in set(part) - {None} if rows.count(k) > 1)
+            assert sorted(r.copies for r in repeated.collect()) == want
+        key_state.record(counts, path, kind, fold_after=2)

@@ -1,8 +1,10 @@
 """Edge rows and invariants of the table operators."""
 
 import json as pyjson
+import random
+import time
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
@@ -397,3 +399,52 @@ def test_filters_reach_the_scan(spark, folder):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
+
+
+def as_of_by_hand(facts, versions):
+    out = []
+    for n, key, at in facts:
+        valid = [v for v in versions if v[1] == key and key is not None and at is not None and v[2] <= at and (v[3] is None or at < v[3])]
+        out.append((n, max(valid, key=lambda v: v[2])[0] if valid else None))
+    return sorted(out, key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("slice_days", [None, 7, 400])
+def test_key_as_of_by_brute_force(spark, slice_days):
+    pick = random.Random(slice_days)
+    day = lambda n: datetime(2020, 1, 1) + timedelta(days=n)
+    versions = []
+    for key in ["a", "b", "c", "hot"]:
+        starts = sorted(pick.sample(range(400), 6))
+        ends = [*starts[1:], None]
+        for i, (s, e) in enumerate(zip(starts, ends)):
+            e = e - pick.choice([0, 0, 5]) if e is not None else e  # gaps between some versions
+            versions.append((f"{key}{i}", key, day(s), day(e) if e is not None and e > s else (day(s) if e is not None else None)))
+    facts = [(n, pick.choice([None, "a", "b", "c", "hot", "hot", "hot", "unknown"]), pick.choice([None, *map(day, range(-20, 450))])) for n in range(600)]
+    dim = spark.createDataFrame(versions, "sk string, k string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    df = spark.createDataFrame(facts, "n int, key string, at timestamp_ntz")
+    got = add_dimension_key(df, dim, "sk", "k", "key", valid_at=F.col("at"), slice_days=slice_days)
+    assert got.columns == ["n", "key", "at", "sk"]
+    assert sorted((r.n, r.sk) for r in got.collect()) == as_of_by_hand(facts, versions)
+
+
+def test_key_as_of_of_many_versions(spark):
+    starts = spark.range(10_000).select(F.lit("hot").alias("k"), F.expr("timestamp_ntz'2000-01-01' + id * interval 1 hour").alias("valid_from"))
+    dim = starts.select("k", "valid_from", F.expr("valid_from + interval 1 hour").alias("valid_to"), F.col("valid_from").cast("string").alias("sk"))
+    facts = spark.range(100_000).select("id", F.lit("hot").alias("k"), F.expr("timestamp_ntz'2000-01-01' + id * interval 6 minute").alias("at"))
+    start = time.perf_counter()
+    got = add_dimension_key(facts, dim, "sk", "k", valid_at=F.col("at"), slice_days=30)
+    right = got.select(F.count_if(F.col("sk") == F.date_trunc("hour", "at").cast("timestamp_ntz").cast("string")).alias("right"), F.count(F.lit(1)).alias("n")).first()
+    assert tuple(right) == (100_000, 100_000) and time.perf_counter() - start < 60
+
+
+def test_a_long_listing_is_spread_over_bins(spark):
+    body = '{{"count":1,"next":{n},"results":[{{"id":{i}}}]}}'
+    pages = [("long", i, body.format(n="null" if i == 700 else '"/p"', i=i)) for i in range(1, 1500)]
+    pages += [("other", 1, body.format(n='"/p"', i=1)), ("other", 2, '{"count":0,"next":"/p","results":[]}'), ("other", 3, body.format(n='"/p"', i=3))]
+    pages += [("broken", 1, "no json"), ("open", 5, body.format(n='"/p"', i=5)), ("null", 1, '{"next":"/p","results":[null]}')]
+    df = spark.createDataFrame(pages, "l string, page_no int, body string")
+    got = landing.flatten_pages(df, ["l"], bin_pages=64).groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.max("page_no").alias("last"))
+    assert {(r.l, r.n, r["last"]) for r in got.collect()} == {("long", 700, 700), ("other", 1, 1), ("open", 1, 5), ("null", 1, 1)}
+    plan = landing.flatten_pages(df, ["l"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("from_json") < plan.index("Join")  # a tree is printed from its end: the join comes first, the parse after it
