@@ -20,6 +20,9 @@ LITERALS = 4
 #: Share of an item's windows that a document must hold, or so many of them in a row.
 SHARE = 0.3
 RUN = 23
+#: Slots of an alignment that may break with the rest, and fewest words of an item for whose sake a document goes.
+STRAY = 1
+LEAST_WORDS = 4
 #: Benchmarks of up to so many windows travel to the tasks as a filter of 8 bytes a window.
 FILTER_WINDOWS = 2_000_000
 
@@ -196,24 +199,29 @@ def windows(
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, share: float = SHARE, run: int = RUN) -> DataFrame:
     """Documents that hold a benchmark item, as it is or with other values in its slots.
 
-    Columns: doc_id, text_key (MD5 of the text), item_id, n_windows (of the item), n_found, same_values. Texts become
+    Columns: doc_id, text_key (MD5 of the text), item_id, n_words, n_windows (of the item), n_found, same_values. Texts become
     templates in which numbers, names and units are typed placeholders; windows of templates are
     joined on their digest and compared as text; windows of fewer than `literals` own words have no
     template. Beside them windows of plain words are joined, in lower case and of any words, and an item shorter than a
     window is one window of its whole length. A row needs `share` of the item's windows of templates, or of its windows
-    of either kind, or `run` of these in a row, whatever the values in their slots. Values are judged per slot: within an alignment of a document with an item, a slot agrees if it
-    holds the item's own value or the one that stands most often for that value of the item (at equal
-    numbers the item's own, then the first), or if that value was replaced throughout. n_found counts the windows whose
-    slots all agree, so it may be less than the share; same_values tells whether each window is there with the item's own values.
+    of either kind, or `run` of these in a row.
 
-    An item of one word is in every document with that word. Texts without words match nothing. Items that repeat are items
+    A window of a template counts where the slots are consistent. Values are judged per slot: within an alignment of a
+    document with an item, a slot agrees if it holds the value that stands most often for that value of the item (at equal
+    numbers the item's own, then the last). So a value that the item has once may become any other, also one that stands for
+    something else, but a repeated one must become the same throughout. Windows with a slot that does not agree count only where
+    no more than STRAY slots of the alignment do not, or where they are there word by word. n_found
+    counts the windows whose slots all agree; same_values tells whether each window is there with the item's own values.
+
+    An item of one word is in every document with that word; n_words tells such items from those that mean something. Texts without words match nothing. Items that repeat are items
     of their own, as are rows that share an item_id with another text; repeated documents of one doc_id and text
     give one row an item. An empty table on either side gives no rows; other columns are not read.
     """
     items = written(windows(benchmark, "item_id", width, literals), "benchmark-windows")
     typed = ~F.col("template").startswith(PLAIN)
     sizes = items.groupBy("item_id", "text_key").agg(
-        F.countDistinct("pos").alias("n_windows"), F.countDistinct(F.when(typed, F.col("pos"))).alias("n_typed")
+        F.countDistinct("pos").alias("n_windows"), F.countDistinct(F.when(typed, F.col("pos"))).alias("n_typed"),
+        F.max(F.when(~typed, F.col("pos") + F.size(F.split("template", " ")) - 1)).alias("n_words"),
     )
     plain = F.when(~typed, F.size(F.split("template", " ")) - 1).alias("width")
     short = sorted(r.width for r in items.select(plain).filter(F.col("width") < width).distinct().collect())
@@ -235,16 +243,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
         alignment.alias("alignment"), "item_pos", pairs.alias("pairs"), typed.alias("typed")
     )
     hits = written(hits, "template-hits")
+    slots = hits.select("alignment", F.explode("pairs").alias("pair")).select("alignment", "pair.*").distinct()
     usual = (
-        hits.select("alignment", F.explode("pairs").alias("pair")).select("alignment", "pair.*").distinct()
-        .groupBy("alignment", "a", "b").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+        slots.groupBy("alignment", "a", "b").agg(F.count("*").alias("n"), F.max("place").alias("last"))
         .groupBy("alignment", "a")
-        .agg(F.max_by("b", F.struct("n", F.col("a") == F.col("b"), -F.col("first"))).alias("b"), F.bool_or(F.col("a") == F.col("b")).alias("stays"))
-        .filter("stays")
-        .groupBy("alignment").agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("usual"))
+        .agg(F.max_by("b", F.struct("n", F.col("a") == F.col("b"), "last")).alias("b"), (F.sum("n") - F.max("n")).alias("stray"))
+        .groupBy("alignment")
+        .agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("usual"), F.sum("stray").alias("stray"))
     )
-    agrees = F.forall("pairs", lambda p: (p["a"] == p["b"]) | (p["b"] == F.coalesce(F.col("usual")[p["a"]], p["b"])))
+    agrees = F.forall("pairs", lambda p: p["b"] == F.coalesce(F.col("usual")[p["a"]], p["b"]))
     same = F.forall("pairs", lambda p: p["a"] == p["b"])
+    typed_hit = F.col("typed")
     places = F.sort_array("places")
     in_row = F.exists(
         F.transform(places, lambda p, i: F.get(places, i + run - 1) - p), lambda d: F.coalesce(d == run - 1, F.lit(False))
@@ -252,6 +261,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
     whole = ["doc_id", "text_key", "item_id", "item_key"]
     return (
         hits.join(usual, "alignment", "left")
+        .filter(~typed_hit | agrees | same | (F.col("stray") <= STRAY))
         .groupBy("alignment", "item_pos")
         .agg(F.max(agrees).alias("agrees"), F.max(same).alias("same"), F.max("typed").alias("typed"))
         .groupBy("alignment").agg(F.collect_list("item_pos").alias("places"), F.collect_list(F.struct("item_pos", "agrees", "same", "typed")).alias("held"))
@@ -268,12 +278,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals:
             (F.col("n_held") >= share * F.col("n_windows")) | F.col("in_row")
             | ((F.col("n_held_typed") > 0) & (F.col("n_held_typed") >= share * F.col("n_typed")))
         )
-        .select("doc_id", "text_key", "item_id", "n_windows", "n_found", "same_values")
+        .select("doc_id", "text_key", "item_id", "n_words", "n_windows", "n_found", "same_values")
     )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose text holds no item. The verdict is on the text, so copies share it whatever their doc_id."""
-    bad = written(leaks(docs, benchmark).select("text_key").distinct(), "leaks")
+    """The rows whose text holds no item. The verdict is on the text, so copies share it whatever their doc_id.
+
+    Items of fewer than LEAST_WORDS words are in too many texts to speak for a leak, and remove none.
+    """
+    bad = written(leaks(docs, benchmark).filter(F.col("n_words") >= LEAST_WORDS).select("text_key").distinct(), "leaks")
     rows = docs.select(F.struct("*").alias("row"), F.unhex(F.md5("text")).alias("text_key"))
     return rows.join(bad, "text_key", "left_anti").select("row.*")

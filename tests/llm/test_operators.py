@@ -426,3 +426,22 @@ def test_emails_and_ips_are_those_of_the_patterns():
         assert list(pii._emails(text)) == [m.span() for m in pii.EMAIL.finditer(text)]
         text = "".join(pick.choices("12. a", k=pick.randint(1, 24)))
         assert [m.span() for m in pii._IP_RUNS.finditer(text)] == [m.span() for m in pii.IP.finditer(text)]
+
+
+def test_leaks_need_consistent_slots(spark):
+    item = "then Tom gave the old box to Tom while young Ann took 3 red balls and 3 blue balls and 3 more from the shelf"
+    values = [("Tom", "Tom", "Ann", "3", "3", "3"), ("Max", "Max", "Eva", "8", "8", "8"), ("Tom", "Bob", "Eve", "4", "9", "1"), ("Max", "Max", "Eva", "8", "8", "9")]
+    texts = ["then {} gave the old box to {} while young {} took {} red balls and {} blue balls and {} more from the shelf".format(*v) for v in values]
+    assert texts[0] == item
+    rows = {r.doc_id: r for r in decontamination.leaks(frame(spark, texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    n = rows[0].n_windows
+    assert rows[0].n_found == rows[1].n_found == n and rows[0].same_values and not rows[1].same_values
+    assert 2 not in rows and 0 < rows[3].n_found < n
+
+
+def test_short_items_are_reported_but_remove_nothing(spark):
+    benchmark = spark.createDataFrame([(1, "yes"), (2, "Paris"), (3, "What is 17 plus 25")], "item_id long, text string")
+    docs = frame(spark, ["yes we were in Paris", "what is 17 plus 25", "no"])
+    found = {(r.doc_id, r.item_id, r.n_words) for r in decontamination.leaks(docs, benchmark).collect()}
+    assert found == {(0, 1, 1), (0, 2, 1), (1, 3, 5)}
+    assert {r.doc_id for r in decontamination.drop_leaks(docs, benchmark).collect()} == {0, 2}
