@@ -435,3 +435,19 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE_WORDS, percent: int = P
         "doc_id", "text_key", "set_id", "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of similar ones: that of the least doc_id, then of the least text_key; null ids come last.
+
+    Rows without words all stay. Rows are told apart by a number written with them, so of rows that are equal in
+    everything one stays.
+    """
+    number = F.monotonically_increasing_id().alias("number")
+    numbered = written(docs.select(F.struct("*").alias("row"), number), "numbered")
+    rank = F.struct(
+        F.col("row.doc_id").isNull().alias("absent"), "row.doc_id", F.xxhash64("row.text").alias("text_key"), "number"
+    )
+    groups = similar_groups(numbered.select(rank.alias("doc_id"), "row.text"), width, percent)
+    dropped = written(groups.filter("doc_id.number <> component_id.number").select("doc_id.number"), "copies")
+    return numbered.join(dropped, "number", "left_anti").select("row.*")
