@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratalake.llm import decontamination, packing, shingle_join, site_lines, toxicity
 from stratalake.llm.common import tables, written
@@ -22,19 +21,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of similar ones: that of the least doc_id, then of the least text_key; null ids come last.
-
-    Five-word shingles and a similarity of 0.8. Rows without words all stay. Rows are told apart by a number
-    written with them, so of rows that are equal in everything one stays.
-    """
-    number = F.monotonically_increasing_id().alias("number")
-    numbered = written(docs.select(F.struct("*").alias("row"), number), "numbered")
-    rank = F.struct(
-        F.col("row.doc_id").isNull().alias("absent"), "row.doc_id", F.xxhash64("row.text").alias("text_key"), "number"
-    )
-    groups = shingle_join.similar_groups(numbered.select(rank.alias("doc_id"), "row.text"), width=5, percent=80)
-    dropped = written(groups.filter("doc_id.number <> component_id.number").select("doc_id.number"), "copies")
-    return numbered.join(dropped, "number", "left_anti").select("row.*")
+    """One row of each group of similar documents, by five-word shingles and a similarity of 0.8."""
+    return shingle_join.drop_near_copies(docs)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
