@@ -23,19 +23,21 @@ _NUMBER = (
     r'(?s)(\G(?:[^"0-9\-]++|"(?:[^"\\]++|\\.)*+")*+)'
     r"(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+\-]?[0-9]++)?+)(?=\s*+(?:[,}\]]|\z))"
 )
-_MARKED_NUMBER = rf'(?<!\\)"{NUMBER_MARK}([0-9.eE+\-]++)"'
+_MARKED_NUMBER = rf'"{NUMBER_MARK}(?<!\\"{NUMBER_MARK})([0-9.eE+\-]++)"'
 
 
 def marked_json(data: Column | str) -> Column:
     """JSON text whose numbers are strings that begin with a mark, so that a parser leaves them as they are."""
-    escaped = F.regexp_replace(as_column(data), _OPENS_WITH_MARK, f'"{ESCAPE_MARK}')
+    data = as_column(data)
+    has_marks = F.contains(data, F.lit(NUMBER_MARK)) | F.contains(data, F.lit(ESCAPE_MARK)) | F.contains(data, F.lit("\\u"))
+    escaped = F.when(has_marks, F.regexp_replace(data, _OPENS_WITH_MARK, f'"{ESCAPE_MARK}')).otherwise(data)
     return F.regexp_replace(escaped, _NUMBER, f'$1"{NUMBER_MARK}$2"')
 
 
 def unmarked_json(text: Column) -> Column:
     """JSON text with the numbers that ``marked_json`` made strings."""
     numbers = F.regexp_replace(text, _MARKED_NUMBER, "$1")
-    return F.regexp_replace(numbers, rf'(?<!\\)"{ESCAPE_MARK}', '"')
+    return F.regexp_replace(numbers, rf'"{ESCAPE_MARK}(?<!\\"{ESCAPE_MARK})', '"')
 
 
 def _members(data: Column | str) -> Column:
@@ -78,8 +80,8 @@ def merge_json(base: Column | str, update: Column | str, overwrite: bool = True)
         texts = F.transform(first, lambda m: F.substr(m["text"], F.lit(2), F.length(m["text"]) - 2))
         return F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}"))
 
-    both = F.array_sort(F.concat(listed(base, int(overwrite)), listed(update, int(not overwrite))))
-    merged = F.when(both.isNotNull(), unmarked_json(_bound(both, joined)))
+    both = F.sort_array(F.concat(listed(base, int(overwrite)), listed(update, int(not overwrite))))
+    merged = unmarked_json(_bound(both, joined))  # NULL where a side is
     return F.coalesce(merged, as_column(base), as_column(update))
 
 

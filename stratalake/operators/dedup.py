@@ -91,7 +91,7 @@ def new_records(raw: DataFrame, loaded: DataFrame | None, skip_dedup: bool = Fal
 
 
 def fresh_rows(staged: DataFrame, held: DataFrame | None) -> DataFrame:
-    """key columns and number of the row that is kept of each new content in a staged batch.
+    """Key columns, number and load date of the row that is kept of each new content in a staged batch.
 
     ``staged`` is a written batch with ``row_key``, ``key_bucket`` and a ``row_number`` of its own; ``held`` has the keys that
     are loaded. Of copies the earliest load is kept, then the lowest id and digest of the text. Only digests and
@@ -100,7 +100,7 @@ def fresh_rows(staged: DataFrame, held: DataFrame | None) -> DataFrame:
     order = F.struct("loaded_at", "id", F.md5("data").alias("text"), "row_number")
     first = staged.groupBy("row_key", "key_bucket").agg(F.min(order).alias("first"))
     new = first if held is None else first.join(held, "row_key", "left_anti")
-    return new.select("row_key", "key_bucket", F.col("first.row_number").alias("row_number"))
+    return new.select("row_key", "key_bucket", F.col("first.row_number").alias("row_number"), F.to_date("first.loaded_at").alias("load_date"))
 
 
 def rows_numbered(staged: DataFrame, chosen: DataFrame) -> DataFrame:

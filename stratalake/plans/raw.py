@@ -11,9 +11,9 @@ from stratalake.operators.dedup import RAW_COLUMNS, fresh_rows, rows_numbered
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.key_state import BUCKET, held, key_counts, record, with_buckets
-from stratalake.sinks.runs import ROW_KEY, Kind, live_runs
+from stratalake.sinks.runs import ROW_KEY, Kind, drop_folder, is_finished, live_runs
 from stratalake.sinks.writer import append_raw, read_raw
-from stratalake.sources.workspace import read_if_written, written
+from stratalake.sources.workspace import written
 
 STEP = "raw"
 
@@ -21,36 +21,33 @@ STEP = "raw"
 def _finish_interrupted(spark: SparkSession, name: str, layout: Layout) -> None:
     """Bring the keys up to date with the raw table.
 
-    They lag behind where a load was cut off between its append and the record of its keys; the days it was about to
-    append to are then on record, and only their hashes are read. Without any keys those of the whole table are taken.
+    They lag behind where a load was cut off between its append and the record of its keys. Its choice of rows is then still
+    staged; of the days it was about to append to, and only of those, the hashes are read. Without any keys those of the
+    whole table are taken.
     """
+    choice, keys = f"{layout.staging(name)}/fresh", layout.keys(name)
+    started = bool(live_runs(spark, keys))
+    if started and not is_finished(spark, choice):
+        return
     table = read_raw(spark, layout.raw(name))
     if table is None:
         return
-    keys, marks = layout.keys(name), f"{layout.staging(name)}/appending"
-    started = bool(live_runs(spark, keys))
-    days = read_if_written(spark, marks, "load_date date") if started else None
     if started:
-        dates = [] if days is None else [r[0] for r in days.collect()]  # the days of one load
-        if not dates:
-            return
-        table = table.where(F.col("load_date").isin(dates))
+        days = [r[0] for r in spark.read.parquet(choice).select("load_date").distinct().collect()]  # the days of one load
+        table = table.where(F.col("load_date").isin(days))
     counts = written(key_counts(table, ["record_hash"], layout.key_digits), "raw-keys")
     known = held(counts, keys)
     record(counts if known is None else counts.join(known, ROW_KEY, "left_anti"), keys, Kind.APPEND if started else Kind.BASE)
-    _mark(spark, marks, [])
-
-
-def _mark(spark: SparkSession, path: str, days: list) -> None:
-    spark.createDataFrame([(d,) for d in days], "load_date date").coalesce(1).write.mode("overwrite").parquet(path)
+    drop_folder(spark, choice)
 
 
 def append_new(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = False) -> tuple[int, int]:
     """Append the records of a batch that the raw table does not hold; returns rows read and rows appended.
 
     The batch is staged once. Its digests are compared with the keys on record in the folders they fall into; of
-    the texts only those of new records are moved. The keys are recorded after the append, and a load that was cut
-    off in between is caught up with by the next one, so any load may simply be run again.
+    the texts only those of new records are moved. The choice of rows is staged ahead of the append and dropped once their
+    keys are recorded, so a load that was cut off in between is caught up with by the next one, and any load may
+    simply be run again.
     """
     spark = raw.sparkSession
     staging, keys = layout.staging(name), layout.keys(name)
@@ -58,18 +55,19 @@ def append_new(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = Fal
     read = Observation()
     numbered = with_buckets(raw, ["record_hash"], layout.key_digits).withColumn("row_number", F.monotonically_increasing_id())
     numbered.observe(read, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{staging}/batch")
-    staged = spark.read.parquet(f"{staging}/batch")
+    if not read.get["rows"]:
+        return 0, 0
+    staged = spark.read.schema(numbered.schema).parquet(f"{staging}/batch")
     if skip_dedup:
-        chosen = staged.groupBy(ROW_KEY, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+        chosen = staged.groupBy(ROW_KEY, BUCKET, F.to_date("loaded_at").alias("load_date")).agg(F.count(F.lit(1)).alias("n"))
     else:
         chosen = fresh_rows(staged, held(staged, keys)).withColumn("n", F.lit(1).cast("bigint"))
     chosen.write.mode("overwrite").parquet(f"{staging}/fresh")
     chosen = spark.read.schema(chosen.schema).parquet(f"{staging}/fresh")
     rows = staged.select(*RAW_COLUMNS) if skip_dedup else rows_numbered(staged, chosen)
-    _mark(spark, f"{staging}/appending", [r[0] for r in staged.select(F.to_date("loaded_at")).distinct().collect()])
     added = append_raw(rows, layout.raw(name))
     record(chosen, keys)
-    _mark(spark, f"{staging}/appending", [])
+    drop_folder(spark, f"{staging}/fresh")
     return read.get["rows"], added
 
 
@@ -77,10 +75,8 @@ def load_raw(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = False
     """Append the records of a batch that the raw table does not hold yet (see ``append_new``)."""
 
     def job(metrics: JobMetrics) -> Status:
-        if raw.isEmpty():
-            return Status.NO_DATA
         metrics.rows_input, metrics.rows_output = append_new(raw, name, layout, skip_dedup)
-        return Status.SUCCESS
+        return Status.SUCCESS if metrics.rows_input else Status.NO_DATA
 
     return measured(STEP, name, job)
 

@@ -47,7 +47,7 @@ def _counts(spark: SparkSession, path: str, runs: list[Run], buckets: list[str]
 
 
 def held(batch: DataFrame, path: str) -> DataFrame | None:
-    """row_key and n of the keys of ``batch`` that the state holds; None before the first run.
+    """row_key of the keys of ``batch`` that the state holds, once or more; None before the first run.
 
     ``batch`` is a written table with row_key and key_bucket. The names of its folders, 16 ** digits at most, are brought
     to the driver, so the scan lists and reads nothing else.
@@ -57,10 +57,8 @@ def held(batch: DataFrame, path: str) -> DataFrame | None:
     if not runs:
         return None
     touched = [r[0] for r in batch.select(BUCKET).where(F.col(BUCKET).isNotNull()).distinct().collect()]
-    state = read_runs(spark, path, runs).where(F.col(BUCKET).isin(touched)).select(ROW_KEY).distinct() if all(
-        r.kind is not Kind.MERGE for r in runs
-    ) else _counts(spark, path, runs, touched)
-    return state.join(batch.select(ROW_KEY), ROW_KEY, "left_semi")
+    state = read_runs(spark, path, runs).where(F.col(BUCKET).isin(touched))  # a key is there once at least, whatever its count
+    return state.select(ROW_KEY).join(batch.select(ROW_KEY), ROW_KEY, "left_semi")
 
 
 def record(counts: DataFrame, path: str, kind: Kind = Kind.APPEND, fold_after: int = FOLD_AFTER) -> None:

@@ -44,6 +44,17 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to the folder has ended well."""
+    files, mark = _folder(spark, f"{path}/{_MARK}")
+    return files.exists(mark)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def all_runs(spark: SparkSession, path: str) -> list[Run]:
     """Every run of a table, finished or not, in order. Only folder names are listed."""
     files, folder = _folder(spark, path)
@@ -86,10 +97,9 @@ def drop_superseded(spark: SparkSession, path: str) -> int:
     Call it when no job reads an older state any more. Returns how many were deleted.
     """
     live = live_runs(spark, path)
-    files, _ = _folder(spark, path)
     old = [r for r in all_runs(spark, path) if r not in live and live]
     for run in old:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{RUN}={run.name}"), True)
+        drop_folder(spark, f"{path}/{RUN}={run.name}")
     return len(old)
 
 
