@@ -13,6 +13,7 @@ from stratalake.plans.cleaned import latest_versions
 from stratalake.specs import RESOURCES
 
 AS_OF = datetime(1998, 6, 30)
+# The e-mail pattern, and below the columns and accepted states of each table.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 

@@ -12,6 +12,7 @@ from stratalake.operators import cleaning, dedup, display
 from stratalake.operators.dedup import as_timestamp
 
 AS_OF = datetime(1998, 6, 30)
+# The e-mail pattern.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 

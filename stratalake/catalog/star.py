@@ -40,6 +40,7 @@ def dimension_sql(name: str, attributes: str) -> str:
     """
 
 
+# The attributes of each dimension, and below the columns of each fact.
 DIMENSION_SQL = {
     "dim_employees": dimension_sql(
         "dim_employees",

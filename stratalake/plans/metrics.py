@@ -17,6 +17,7 @@ METRICS_SCHEMA = (
 
 
 class Status(StrEnum):
+    # The states that a job is recorded with.
     PENDING = "PENDING"
     RUNNING = "RUNNING"
     SUCCESS = "SUCCESS"
