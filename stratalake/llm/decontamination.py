@@ -64,7 +64,7 @@ class _Places(dict):
 class Canon:
     """Types and digests of the words of a text; what it learns of a word it remembers."""
 
-    def __init__(self, kept: int = 300_000):
+    def __init__(self, kept: int = 100_000):
         self.kept = kept
         self.forget()
 

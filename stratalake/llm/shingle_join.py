@@ -21,7 +21,7 @@ PERCENT = 85
 COUNTERS, PARTS = 1 << 20, 256
 #: Sets above this size are never worth their subsets.
 LARGEST_SMALL = 256
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000
 #: Entries that make a list long.
 LONG_LIST = 8
 #: Shuffled orders of a long list.

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -206,12 +207,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EX
     return Model(found, sizes, terms, idf * np.array([weights[w] for w in terms]))
 
 
-def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model, below: float | None = None) -> DataFrame:
     """Adds score and evidence (doc_ids of the nearest examples) beside a struct `row` of the given columns.
 
     A text without any word that tells of the label, so also an empty or null one, has no neighbour and
     scores the base rate of the labels; without labelled rows that is 0. Each row is scored by its own
-    whole text, repeated ones alike. No rows give no rows.
+    whole text, repeated ones alike. No rows give no rows. With `below`, rows that score so much or more are left out.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.struct("*").alias("row"))
@@ -222,17 +223,14 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column("row").field("text")  # the row's own text: it is not sent twice
             for part in slices(pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])):
                 found = [model.score(text) for text in strings(part.column("text"))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row"), pa.array([s for s, _ in found], pa.float64()),
-                        pa.array([e for _, e in found], pa.list_(part.schema.field("row").type.field("doc_id").type)),
-                    ],
-                    ["row", "score", "evidence"],
-                )
+                scores, kept = pa.array([s for s, _ in found], pa.float64()), part.column("row")
+                evidence = pa.array([e for _, e in found], pa.list_(part.schema.field("row").type.field("doc_id").type))
+                out = pa.RecordBatch.from_arrays([kept, scores, evidence], ["row", "score", "evidence"])
+                yield out if below is None else out.filter(pc.less(scores, below))
 
     return rows.mapInArrow(score, f"row {row}, score double, evidence array<{kind}>")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score is below the threshold."""
-    return score_toxicity(docs, model).filter(F.col("score") < threshold).select("row.*")
+    return score_toxicity(docs, model, below=threshold).select("row.*")
