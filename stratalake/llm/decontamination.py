@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import slices, strings, written
+from stratalake.llm.common import strings, tidied, written
 
 #: Words in a window, and how many of them must be words of the text and not placeholders.
 WINDOW = 8
@@ -180,7 +180,7 @@ def windows(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon = Canon()
-        for batch in (s for b in batches for s in slices(b)):
+        for batch in tidied(batches):
             out = [(i, t, r) for i, t in enumerate(strings(batch.column("text"))) for r in _rows(canon, t, width, literals, short, wanted)]
             digests = {i: hashlib.md5(t.encode()).digest() for i, t, _ in out}
             yield pa.RecordBatch.from_arrays(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import lists, raw_bytes, slices, task, written
+from stratalake.llm.common import lists, raw_bytes, slices, task, tidied, tidy, written
 from stratalake.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -80,7 +80,7 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, sums = _Digests(), np.zeros(COUNTERS, np.int64)
-        for batch in (s for b in batches for s in slices(b)):
+        for batch in tidied(batches):
             sets = [shingle_set(x, words, width) for x in raw_bytes(batch.column("text"))]
             sums += np.bincount((np.concatenate(sets) >> _HIGH).astype(np.int64), minlength=COUNTERS)
         parts = [sums[i : i + step].astype("<i8").tobytes() for i in range(0, COUNTERS, step)]
@@ -162,7 +162,7 @@ def _sets(docs: DataFrame, counts: np.ndarray, small: int, width: int, percent:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Digests(), set()
-        for batch in (s for b in batches for s in slices(b)):
+        for batch in tidied(batches):
             ids, sizes, keys, profiles = [], [], [], []
             for data in raw_bytes(batch.column("text")):
                 hashes = shingle_set(data, words, width)
@@ -375,6 +375,7 @@ def _members(docs: DataFrame, sets: DataFrame, ids: DataFrame, width: int) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(hashes, pa.binary())], ["set_id", "text_key", "hashes"]
                 )
+            tidy()
 
     rows = docs.select("text", F.xxhash64("text").alias("text_key"))
     found = rows.mapInArrow(full, "set_id long, text_key long, hashes binary").join(asked, ["set_id", "text_key"], "left_semi")

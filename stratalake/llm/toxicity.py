@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import slices, strings, written
+from stratalake.llm.common import slices, strings, tidied, tidy, written
 from stratalake.llm.sample import labelled_texts
 from stratalake.llm.words import letter_words
 
@@ -139,7 +139,7 @@ def _example_words(sample: DataFrame) -> DataFrame:
     kind = sample.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b)):
+        for batch in tidied(batches):
             counted = [Counter(letter_words(text)) for text in strings(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -158,7 +158,7 @@ def _documents_holding(docs: DataFrame, terms: list[bytes]) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holding, n = np.zeros(len(terms) + 1, np.int64), 0
-        for batch in (s for b in batches for s in slices(b)):
+        for batch in tidied(batches):
             for text in strings(batch.column("text")):
                 holding[[place[w] for w in place.keys() & letter_words(text)]] += 1
                 n += 1
@@ -227,6 +227,7 @@ def score_toxicity(docs: DataFrame, model: Model, below: float | None = None) ->
                 evidence = pa.array([e for _, e in found], pa.list_(part.schema.field("row").type.field("doc_id").type))
                 out = pa.RecordBatch.from_arrays([kept, scores, evidence], ["row", "score", "evidence"])
                 yield out if below is None else out.filter(pc.less(scores, below))
+            tidy()
 
     return rows.mapInArrow(score, f"row {row}, score double, evidence array<{kind}>")
 
