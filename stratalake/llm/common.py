@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -18,7 +17,6 @@ from stratalake.sources.workspace import new_folder, written  # noqa: F401
 
 #: Bytes of text that a Python task works on at a time.
 SLICE_BYTES = 8 << 20
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
 
 
 def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
@@ -47,20 +45,6 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
             yield batch.slice(a, b - a)
 
 
-def tidy() -> None:
-    """Gives back memory that Arrow and the C library keep for later use; workers live on from stage to stage."""
-    pa.default_memory_pool().release_unused()
-    if _TRIM is not None:
-        _TRIM(0)
-
-
-def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in `slices`, with unused memory given back after each batch."""
-    for batch in batches:
-        yield from slices(batch)
-        tidy()
-
-
 def raw_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; nothing for a null."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
