@@ -1,10 +1,11 @@
-"""Toxicity by the nearest labelled examples under exact cosine of TF-IDF, words weighted by what they tell of the label."""
+"""Toxicity by the nearest labelled examples under exact cosine of TF-IDF, over the words that tell of the label."""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ EXAMPLES = 3000
 NEAREST = 25
 #: Examples in a block of the index.
 BLOCK = 32
-#: Weight of the base rate against the votes: that of half an example with the same direction.
-BASE_WEIGHT = 0.5
+#: Weight of the base rate against the votes in either tier, in examples with the same direction; words of the second may be there by chance.
+BASE_WEIGHTS = (0.5, 4.0)
 THRESHOLD = 0.3
 
 
@@ -30,19 +31,17 @@ THRESHOLD = 0.3
 CHANCE = 3.84
 
 
-def strength(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
-    """How clearly, and by how much, a word's rates in the two classes differ, given how many examples of each hold it.
+def least_chi_square(n_words: int) -> float:
+    """What chi-square chance alone gives to one of so many words (one degree of freedom)."""
+    return NormalDist().inv_cdf(1 - 0.5 / max(n_words, 2)) ** 2
 
-    The root of what chi-square, corrected for small counts, has beyond chance, times the log of the ratio of rates. A word
-    that says no more of the label than chance would has the weight 0, and one in a single example says nothing; there
-    is no bound on the number of words.
-    """
+
+def chi_square(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """How clearly a word's rates in the two classes differ, given how many examples of each hold it; corrected for small counts."""
     n = n_toxic + n_clean
     rest = (toxic + clean) * (n - toxic - clean) * F.lit(float(n_toxic) * n_clean)
     apart = F.greatest(F.abs(toxic * (n_clean - clean) - clean * (n_toxic - toxic)) - n / 2, F.lit(0.0))
-    square = F.when(rest > 0, n * apart * apart / rest).otherwise(F.lit(0.0))
-    ratio = F.ln((toxic + 0.5) / (n_toxic + 1) / ((clean + 0.5) / (n_clean + 1)))
-    return F.sqrt(F.greatest(square - CHANCE, F.lit(0.0))) * F.abs(ratio)
+    return F.when(rest > 0, n * apart * apart / rest).otherwise(F.lit(0.0))
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -104,34 +103,57 @@ class BlockMaxIndex:
         return list(zip(sums.tolist(), ids.tolist()))
 
 
-class Model:
-    """Examples, their index and the base rate; small enough to go with each task."""
+def class_weights(sizes: dict[int, int], held: dict[int, int]) -> list[float]:
+    """How many labelled rows an example of either class stands for."""
+    return [sizes.get(c, 0) / held[c] if held.get(c) else 0.0 for c in (0, 1)]
+
 
-    def __init__(self, examples: list[tuple[int, dict[bytes, int], int]], sizes: dict[int, int], terms: list[bytes], weights: np.ndarray):
+class Tier:
+    """A vocabulary with its weights, and the index of the examples that hold any of it."""
+
+    def __init__(self, examples: list[tuple[int, dict[bytes, int], int]], terms: list[bytes], weights: np.ndarray):
         self.term = {w: i for i, w in enumerate(terms)}
         self.weights = weights.tolist()
         placed = [(v, doc, y) for doc, words, y in examples if (v := self.vector(words))]
         placed.sort(key=lambda r: (max(r[0], key=lambda t: (r[0][t], -t)), len(r[0]), r[1]))  # alike examples share a block
-        held = Counter(y for _, _, y in examples)
-        self.weight = [sizes.get(c, 0) / held[c] if held[c] else 0.0 for c in (0, 1)]
-        total = sum(sizes.values())
-        self.base = sizes.get(1, 0) / total if total else 0.0
         self.docs, self.labels = [doc for _, doc, _ in placed], [y for _, _, y in placed]
         self.index = BlockMaxIndex((v for v, _, _ in placed), len(terms))
 
     def vector(self, words: dict[bytes, int]) -> dict[int, float]:
-        raw = {i: (1 + math.log(words[w])) * x for w in words if (i := self.term.get(w)) is not None and (x := self.weights[i])}
+        raw = {i: (1 + math.log(words[w])) * self.weights[i] for w in words if (i := self.term.get(w)) is not None}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         return {i: x / norm for i, x in sorted(raw.items())} if norm else {}
 
+
+class Model:
+    """Examples in tiers of vocabulary, and the base rate; small enough to go with each task.
+
+    A text is compared over the first tier that holds any of its words.
+    """
+
+    def __init__(self, examples: list[tuple[int, dict[bytes, int], int]], sizes: dict[int, int], tiers: list[tuple[list[bytes], np.ndarray]]):
+        self.weight = class_weights(sizes, Counter(y for _, _, y in examples))
+        total = sum(sizes.values())
+        self.base = sizes.get(1, 0) / total if total else 0.0
+        self.tiers = [Tier(examples, terms, weights) for terms, weights in tiers]
+
+    @property
+    def docs(self) -> set[int]:
+        """The examples that any tier holds."""
+        return {doc for tier in self.tiers for doc in tier.docs}
+
     def score(self, text: str) -> tuple[float, list[int]]:
-        near = self.index.nearest(self.vector(Counter(letter_words(text))), NEAREST)
+        words, near = Counter(letter_words(text)), []
+        for tier, base_weight in zip(self.tiers, BASE_WEIGHTS):
+            if vector := tier.vector(words):
+                near = tier.index.nearest(vector, NEAREST)
+                break
         votes = [0.0, 0.0]
         for cosine, i in near:
-            votes[self.labels[i]] += cosine * cosine * self.weight[self.labels[i]]
-        scale = BASE_WEIGHT * (self.weight[1] if self.weight[1] else 1.0)
+            votes[tier.labels[i]] += cosine * cosine * self.weight[tier.labels[i]]
+        scale = base_weight * (self.weight[1] if self.weight[1] else 1.0)
         score = (votes[1] + scale * self.base) / (votes[0] + votes[1] + scale)
-        return min(1.0, max(0.0, score)), [self.docs[i] for _, i in near[:5]]
+        return min(1.0, max(0.0, score)), [tier.docs[i] for _, i in near[:5]]
 
 
 def _example_words(sample: DataFrame) -> DataFrame:
@@ -173,26 +195,34 @@ def _documents_holding(docs: DataFrame, terms: list[bytes]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EXAMPLES) -> Model:
-    """Takes up to `each` labelled examples a class, weighs all their words, and counts the weighty ones over all documents.
+    """Takes up to `each` labelled examples a class; the words that tell of the label are the vocabulary.
 
-    Words are counted on Spark. The driver gets the words that have a weight, and of each example which of them
+    Words weigh by TF-IDF, counted over all documents. Labels choose words and weigh votes, and have no part in a
+    vector. The first tier holds the words whose rates in the classes differ by more than chance brings about for any of
+    the examples' words; the second, for rare words, those that differ by more than chance allows a single word and have most of
+    their documents in the labelled class. There is no bound on their number. Words are counted on Spark. The driver gets the vocabulary, and of each example which of its words
     it holds: numbers bounded by `each`, no texts.
     """
     sample, sizes = labelled_texts(docs, labels, label, each)
     examples = written(_example_words(sample), "toxicity-examples")
     held = {r.label: r.n for r in examples.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    weight = class_weights(sizes, held)
     each_word = examples.select("label", F.explode("words").alias("word")).groupBy("word")
     rates = each_word.agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
-    weighed = rates.select("word", strength(F.col("toxic"), F.col("clean"), held.get(1, 0), held.get(0, 0)).alias("weight"))
-    weights = {bytes(r.word): r.weight for r in weighed.filter("weight > 0").collect()}
-    terms = sorted(weights)
+    square = chi_square(F.col("toxic"), F.col("clean"), held.get(1, 0), held.get(0, 0)).alias("square")
+    tested = written(rates.select("word", square, (F.col("toxic") * weight[1] > F.col("clean") * weight[0]).alias("leans")), "toxicity-words")
+    least = least_chi_square(tested.count())
+    told = {bytes(r.word): r.square > least for r in tested.filter((F.col("square") > least) | (F.col("square") > CHANCE) & F.col("leans")).collect()}
+    terms = sorted(told)
     holding = _documents_holding(docs, terms)
     idf = np.log((1 + holding[-1]) / (1 + holding[:-1])) + 1
+    first = np.array([told[w] for w in terms], bool)
+    tiers = [([terms[i] for i in np.flatnonzero(part)], idf[part]) for part in (first, ~first)]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [
-                [(w, n) for w, n in zip(words, counts) if w in weights]
+                [(w, n) for w, n in zip(words, counts) if w in told]
                 for words, counts in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
@@ -204,13 +234,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EX
             )
 
     found = [(r.doc_id, dict(zip(map(bytes, r.words), r.counts)), r.label) for r in examples.mapInArrow(keep, examples.schema).collect()]
-    return Model(found, sizes, terms, idf * np.array([weights[w] for w in terms]))
+    return Model(found, sizes, tiers)
 
 
 def score_toxicity(docs: DataFrame, model: Model, below: float | None = None) -> DataFrame:
     """Adds score and evidence (doc_ids of the nearest examples) beside a struct `row` of the given columns.
 
-    A text without any word that tells of the label, so also an empty or null one, has no neighbour and
+    A text without any word of the vocabulary, so also an empty or null one, has no neighbour and
     scores the base rate of the labels; without labelled rows that is 0. Each row is scored by its own
     whole text, repeated ones alike. No rows give no rows. With `below`, rows that score so much or more are left out.
     """

@@ -6,6 +6,7 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from statistics import NormalDist
 
 import numpy as np
 import public_tokenizers
@@ -350,6 +351,9 @@ def test_toxicity_scores_by_brute_force(spark):
     pick = random.Random(12)
     plain = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
     made = [" ".join(pick.choices(plain, k=pick.randrange(5, 40)) + pick.choices(["vile", "scum", "ugh"], k=3) * (i % 4 == 0)) for i in range(260)]
+    rare = [i for i in range(0, 200, 4) if zlib.crc32(str(i).encode()) % 4 != 2][:3] + [204]
+    for i in rare:
+        made[i] = " ".join([*pick.choices(plain, k=6), "grub"])
     made += [made[0], made[1], "", None, "vile", "only new ones here"]
     docs = frame(spark, made).repartition(5)
     told = [(i, int(i % 4 == 0)) for i in range(200)]
@@ -358,25 +362,29 @@ def test_toxicity_scores_by_brute_force(spark):
     train = [(i, y) for i, y in told if zlib.crc32(str(i).encode()) % 4 != 2]
     counts = [Counter((t or "").lower().split()) for t in made]
     n = [sum(y == c for _, y in train) for c in (0, 1)]
-    weights = {}
-    for w in {w for i, _ in train for w in counts[i]}:
+    words = {w for i, _ in train for w in counts[i]}
+    least = NormalDist().inv_cdf(1 - 1 / len(words) / 2) ** 2
+    weights = [{}, {}]
+    for w in words:
         a, b = (sum(w in counts[i] for i, y in train if y == c) for c in (1, 0))
         apart = max(abs(a * (n[0] - b) - b * (n[1] - a)) - sum(n) / 2, 0)
         rest = (a + b) * (sum(n) - a - b) * n[0] * n[1]
         square = sum(n) * apart**2 / rest if rest else 0
-        side = abs(np.log((a + 0.5) / (n[1] + 1) / ((b + 0.5) / (n[0] + 1))))
-        idf = np.log((1 + len(made)) / (1 + sum(w in c for c in counts))) + 1
-        weights[w] = np.sqrt(max(square - toxicity.CHANCE, 0)) * side * idf
+        if square > least or square > toxicity.CHANCE and a > b:
+            weights[square <= least][w] = np.log((1 + len(made)) / (1 + sum(w in c for c in counts))) + 1
 
-    def vector(c):
-        v = {w: (1 + np.log(k)) * weights[w] for w, k in c.items() if weights.get(w)}
+    def vector(c, tier):
+        v = {w: (1 + np.log(k)) * weights[tier][w] for w, k in c.items() if w in weights[tier]}
         norm = np.sqrt(sum(x * x for x in v.values()))
         return {w: x / norm for w, x in v.items()}
 
-    known = [(i, vector(counts[i]), y) for i, y in train if vector(counts[i])]
-    assert {w for w in weights if weights[w]} == {w.decode() for w in model.term} and len(known) == len(model.docs)
+    held = [[(i, vector(counts[i], t), y) for i, y in train if vector(counts[i], t)] for t in (0, 1)]
+    for t in (0, 1):
+        assert weights[t] and set(weights[t]) == {w.decode() for w in model.tiers[t].term} and len(held[t]) == len(model.tiers[t].docs)
+    assert any(vector(c, 1) and not vector(c, 0) for c in counts)
     for i, c in enumerate(counts):
-        q = vector(c)
+        tier = next((t for t in (0, 1) if vector(c, t)), 0)
+        q, known = vector(c, tier), held[tier]
         near = sorted((sum(x * v.get(w, 0.0) for w, x in q.items()) for _, v, y in known), reverse=True)[: toxicity.NEAREST]
         border = near[-1] if near else 0.0
         near = [(x, y) for (x, y) in ((sum(x * v.get(w, 0.0) for w, x in q.items()), y) for _, v, y in known) if x > max(border, 0.0) + 1e-9]
@@ -387,7 +395,7 @@ def test_toxicity_scores_by_brute_force(spark):
         def score(toxic_ties):
             votes = sum(x * x * y for x, y in near) + toxic_ties * border**2
             every = sum(x * x for x, _ in near) + min(left, len(tied)) * border**2
-            return (votes + toxicity.BASE_WEIGHT * base) / (every + toxicity.BASE_WEIGHT)
+            return (votes + toxicity.BASE_WEIGHTS[tier] * base) / (every + toxicity.BASE_WEIGHTS[tier])
 
         take = min(left, len(tied))
         low, high = max(0, take - tied.count(0)), min(take, tied.count(1))
