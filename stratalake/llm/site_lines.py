@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.common import written
+
 RATIO = 0.1
 LEAST_PAGES = 3
 
@@ -37,9 +39,13 @@ def drop_site_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO,
     clash; n_chars, where there is one, follows the text. A null host counts as the host
     without a name, a null text has no lines and stays null, and a text that loses every
     line becomes empty. Rows that repeat are pages of their own. No rows give no rows.
+
+    The lines found are written first, so their measured size decides how they meet the texts: Spark sends a small table to the
+    texts, which then stay where they are; beyond its broadcast threshold the texts are dealt by host and adaptive
+    execution splits a large one.
     """
     marked = docs.select(F.struct("*").alias("row")).withColumn("host", F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("")))
-    joined = marked.join(site_lines(docs, host, ratio, least), "host", "left")
+    joined = marked.join(written(site_lines(docs, host, ratio, least), "site-lines"), "host", "left")
     lines = F.split("row.text", "\n")
     kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains("boilerplate", _key(x)))
     kept = F.when(F.col("boilerplate").isNull(), lines).otherwise(kept)
