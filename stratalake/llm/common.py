@@ -19,6 +19,14 @@ from stratalake.sources.workspace import new_folder, written  # noqa: F401
 SLICE_BYTES = 8 << 20
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings of a session that runs these operators: batches to and from Python of about SLICE_BYTES.
+
+    Spark's own limit lets a task hold several times 64 MB of texts outside its heap and as much again in its worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", SLICE_BYTES)
+
+
 def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     """Tables of a folder. Python workers of a local session also learn where this package lies."""
     root = str(Path(__file__).resolve().parents[2])

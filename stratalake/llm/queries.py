@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,15 +13,20 @@ from stratalake.llm import (
     decontamination, forest, merkle, outliers, packing, periodic_runs, pii, quality, repeats, shingle_join, site_lines,
     token_files, toxicity,
 )
-from stratalake.llm.common import held_out, new_folder, tables
+from stratalake.llm.common import held_out, new_folder, prepare, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = prepared
+    return prepared
 
 
 def judged(scores: DataFrame, doc_id: str, threshold: float) -> list:
