@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.cleaning import CORRUPT, LINEAGE, clean_records, table_schema
-from stratalake.operators.keys import any_null, latest_per_key
+from stratalake.operators.cleaning import CORRUPT, LINEAGE, clean_opened, finish_records, latest_records, open_records, table_schema
+from stratalake.operators.keys import any_null
 from stratalake.operators.quality import broken_rules, conform, contract_tests, rule_counters, violations
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
@@ -24,14 +23,6 @@ STEP = "cleaned"
 BROKEN = "_broken_rules"
 
 
-def latest_versions(raw: DataFrame, tie_breakers: Sequence[str] = ("record_hash",)) -> DataFrame:
-    """The last loaded version of each record. Records without an id are not versions of one
-    another: each is told apart by its content and kept."""
-    version_of = F.when(F.col("id") == "", F.concat(F.lit("="), "record_hash"))
-    marked = raw.withColumn("_version_of", version_of.otherwise(F.concat(F.lit("#"), "id")))
-    return latest_per_key(marked, ["_version_of"], "loaded_at", tie_breakers).drop("_version_of")
-
-
 def refresh_cleaned(
     spark: SparkSession,
     spec: TableSpec,
@@ -65,7 +56,8 @@ def refresh_cleaned(
         counted = raw.drop("load_date").observe(read, F.count(F.lit(1)).alias("rows"))
         written = Observation()
         no_key = reduce(or_, [F.col(k).cast("string") == "" for k in spec.keys], any_null(spec.keys))
-        cleaned = clean_records(latest_versions(counted), spec, as_of)
+        latest = latest_records(open_records(counted, spec))
+        cleaned = finish_records(clean_opened(latest, spec), spec, as_of)
         tests = contract_tests(cleaned.columns, spec.not_null, spec.max_lengths)
         cleaned = cleaned.withColumn(BROKEN, broken_rules(tests))
         good = ~no_key & (F.size(BROKEN) == 0)

@@ -116,8 +116,10 @@ def build_fact(
         known = read_dimension(spark, layout.star(name))
         dimensions[name] = empty_dimension(spark, name) if known is None else known
         surrogates[name] = (DIMENSIONS[name].surrogate, DIMENSIONS[name].key)
-    day = spec.days[0] if keys_at_event else None
-    return fact_with_keys(fact_rows(cleaned, spec), spec, dimensions, surrogates, day, salts, slice_days)
+    day = F.to_date(spec.days[0]) if keys_at_event else None
+    used = cleaned.select(*dict.fromkeys(("id", *spec.columns, *spec.lookups, *spec.days, "created_at")))
+    rows = fact_with_keys(used, spec, dimensions, surrogates, day, salts, slice_days)
+    return fact_rows(rows, spec, found=[surrogate for surrogate, _ in surrogates.values()])
 
 
 def refresh_fact(

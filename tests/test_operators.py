@@ -10,15 +10,16 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stratalake.functions.digest import surrogate_key
 from stratalake.operators import dedup, history, quality
-from stratalake.operators.cleaning import CORRUPT, clean_records, parse_records
+from stratalake.operators.cleaning import CORRUPT, clean_opened, clean_records, latest_records, open_records, parse_records
 from stratalake.operators.keys import first_per_key, latest_per_key, unique_keyed_rows
 from stratalake.operators.lookup import add_dimension_key
 from stratalake.operators.merge import merge_rows
-from stratalake.operators.modeling import date_rows
+from stratalake.operators.modeling import date_rows, fact_with_keys
 from stratalake.settings import session_settings
 from stratalake.sources import landing, tables
-from stratalake.specs import EMPLOYEES, INACTIVE_ONCE_TERMINATED, RESOURCES, TableSpec, select_resources
+from stratalake.specs import CLIENTS, EMPLOYEES, FACTS, INACTIVE_ONCE_TERMINATED, RESOURCES, TableSpec, select_resources
 
 DAY = [datetime(2024, 1, d) for d in range(1, 10)]
 
@@ -448,3 +449,40 @@ def test_a_long_listing_is_spread_over_bins(spark):
     assert {(r.l, r.n, r["last"]) for r in got.collect()} == {("long", 700, 700), ("other", 1, 1), ("open", 1, 5), ("null", 1, 1)}
     plan = landing.flatten_pages(df, ["l"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("from_json") < plan.index("Join")  # a tree is printed from its end: the join comes first, the parse after it
+
+
+def test_texts_of_records_are_not_moved_for_their_last_version(spark):
+    texts = [pyjson.dumps({"id": str(i % 500), "client_name": "x" * 50, "address": "y" * 2000}) for i in range(1000)]
+    opened = open_records(raw(spark, *texts), CLIENTS)
+    last = clean_opened(latest_records(opened), CLIENTS).select("id", "status")
+    plan = last._jdf.queryExecution().optimizedPlan().toString()
+    moved = next(line for line in plan[plan.index("RepartitionByExpression"):].splitlines()[1:] if "Project" in line)
+    assert "data#" not in moved and "address#" not in moved
+    below = plan[plan.index("Window") : plan.index("RepartitionByExpression")]
+    assert "data#" not in below and "address#" not in below
+
+
+def test_the_last_version_is_taken_and_records_without_id_are_kept(spark):
+    at = [datetime(2024, 1, day) for day in (1, 2, 2, 1, 1, 1)]
+    data = [("a", "00aa", at[0]), ("a", "00ff", at[1]), ("a", "0aff", at[2]), ("", "01", at[3]), ("", "02", at[4]), ("", "02", at[5])]
+    schema = "id string, record_hash string, loaded_at timestamp_ntz"
+    raw_rows = spark.createDataFrame(data, schema).withColumn("data", F.lit("{}"))
+    got = latest_records(open_records(raw_rows, CLIENTS)).select("bronze_id", "record_hash")
+    assert rows(got) == [("", "01"), ("", "02"), ("a", "0aff")]
+
+
+def test_surrogates_are_digests_of_the_start_that_was_looked_up(spark):
+    spec = FACTS["fact_invoices"]
+    facts = spark.createDataFrame([("1", "c1", "p1"), ("2", "c9", None)], "id string, client_id string, project_id string")
+    start, version = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"), "{k} string, valid_from timestamp_ntz, is_current boolean"
+    dims, surrogates = {}, {}
+    for name, key in (("dim_clients", "client_id"), ("dim_projects", "project_id")):
+        dim = spark.createDataFrame([(key[0] + "1", True)], f"{key} string, is_current boolean").withColumn("valid_from", start)
+        surrogates[name] = (name + "_sk", key)
+        dims[name] = dim.withColumn(name + "_sk", surrogate_key([key, "valid_from"]))
+    found = fact_with_keys(facts, spec, dims, surrogates, salts=3)
+    expected = {n: dims[n].first()[n + "_sk"] for n in dims}
+    assert rows(found.select("id", "dim_clients_sk", "dim_projects_sk")) == [
+        ("1", expected["dim_clients"], expected["dim_projects"]), ("2", None, None)]
+    joins = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in joins[joins.index("Join"):]  # nothing but starts is moved
