@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from stratalake.catalog.registry import query, table
+from stratalake.catalog.registry import dealt, query, table
 from stratalake.functions import calendar, derive, digest, json, text
 from stratalake.operators import cleaning, dedup, display
 from stratalake.operators.dedup import as_timestamp
@@ -214,7 +214,7 @@ def record_text(event_type: str, k: str) -> str:
     FROM told""")
 def record_hash_json(spark, folder):
     """Digests of JSON records: members in key order, numbers by their text, bookkeeping fields left out."""
-    events = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    events = dealt(table(spark, folder, "events"), "event_id").withColumn("k", F.get_json_object("props", "$.k"))
 
     def member(name: str, value) -> F.Column:
         return F.concat(F.lit(f'"{name}":'), value)
@@ -326,7 +326,8 @@ def list_detail_merge_wide(spark, folder):
 
     listed = record(0, lambda i: F.concat(key, F.lit("."), i.cast("string"), F.lit("0")))
     detail = record(WIDE // 2, lambda i: F.when(i % 3 == 0, "null").otherwise(F.concat(F.lit('"'), name, F.lit(' 1.10"'))))
-    customers = table(spark, folder, "customer").select("c_custkey", listed.alias("listed"), detail.alias("detail"))
+    customers = dealt(table(spark, folder, "customer").select("c_custkey", "c_name"), "c_custkey")
+    customers = customers.select("c_custkey", listed.alias("listed"), detail.alias("detail"))
     return customers.select("c_custkey", json.merge_json("listed", "detail").alias("merged"))
 
 

@@ -26,3 +26,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt out over all shuffle partitions, for work on a row that takes far longer than reading it: a file
+    of narrow rows is few splits, and adaptive execution would merge partitions that are small."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -65,23 +65,26 @@ def merge_json(base: Column | str, update: Column | str, overwrite: bool = True)
     ``overwrite`` is off. A member that is present with the value null counts as present, and numbers keep
     their text. A missing or unreadable side leaves the other one unchanged.
 
-    Members of both sides are sorted together and the first of each key is kept, so time is in
-    proportion to their number, but for the sort.
+    The places of the members of both sides are sorted together by key and the first of each key is kept, so time is in
+    proportion to their number, but for the sort. The values are looked up by place and written once, as one record.
     """
 
-    def listed(data: Column | str, rank: int) -> Column:
-        def member(entry: Column) -> Column:
-            return F.struct(entry["key"].alias("key"), F.lit(rank).alias("rank"), F.to_json(F.create_map(entry["key"], entry["value"])).alias("text"))
+    def places(entries: Column, rank: int) -> Column:
+        return F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), F.lit(rank).alias("rank"), i.alias("place")))
 
-        return F.transform(F.map_entries(_members(data)), member)
+    def joined(sides: Column) -> Column:
+        def chosen(sorted_places: Column) -> Column:
+            first = F.filter(sorted_places, lambda m, i: (i == 0) | (F.get(sorted_places, i - 1)["key"] != m["key"]))
+            of_base = lambda m: m["rank"] == int(overwrite)
+            value = lambda m: F.when(of_base(m), F.get(sides["base"], m["place"])["value"]).otherwise(
+                F.get(sides["update"], m["place"])["value"])
+            return F.to_json(F.map_from_entries(F.transform(first, lambda m: F.struct(m["key"], value(m)))))
 
-    def joined(members: Column) -> Column:
-        first = F.filter(members, lambda m, i: (i == 0) | (F.get(members, i - 1)["key"] != m["key"]))
-        texts = F.transform(first, lambda m: F.substr(m["text"], F.lit(2), F.length(m["text"]) - 2))
-        return F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}"))
+        both = F.concat(places(sides["base"], int(overwrite)), places(sides["update"], int(not overwrite)))
+        return _bound(F.sort_array(both), chosen)
 
-    both = F.sort_array(F.concat(listed(base, int(overwrite)), listed(update, int(not overwrite))))
-    merged = unmarked_json(_bound(both, joined))  # NULL where a side is
+    sides = F.struct(F.map_entries(_members(base)).alias("base"), F.map_entries(_members(update)).alias("update"))
+    merged = unmarked_json(_bound(sides, joined))  # NULL where a side is
     return F.coalesce(merged, as_column(base), as_column(update))
 
 

@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake import catalog
 from stratalake.functions import calendar, derive, digest, json, text
 from stratalake.operators import display
 from stratalake.operators.dedup import add_source_fields, as_timestamp
@@ -257,3 +258,10 @@ def test_merge_json_grows_with_the_members(spark):
         return min(times)
 
     assert seconds(1600) < 4 * seconds(80) + 1  # the same number of members in all
+
+
+def test_costly_rows_of_a_small_file_are_dealt_over_all_tasks(spark, folder):
+    for name in ("list_detail_merge_wide", "record_hash_json"):
+        rows = catalog.QUERIES[name](spark, folder)
+        used = rows.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert used == int(spark.conf.get("spark.sql.shuffle.partitions"))
