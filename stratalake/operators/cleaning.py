@@ -110,8 +110,19 @@ def latest_records(opened: DataFrame) -> DataFrame:
     before they are sorted, as most records have few versions and a sort ahead of that would drop next to nothing.
     """
     apart = F.when(F.col("bronze_id") == "", F.col("record_hash"))
-    dealt = opened.withColumn("_apart", apart).repartition("bronze_id", "_apart")
-    return latest_per_key(dealt, ["bronze_id", "_apart"], "bronze_loaded_at", ["record_hash"]).drop("_apart")
+    dealt = opened.withColumn("_apart", apart)
+    if not (packs := isinstance(opened.schema["record_hash"].dataType, StringType)):
+        digests = ["record_hash"]
+    else:  # hexadecimal digests are moved as bytes, which are ordered as their digits are
+        digests = ["_digest", "record_hash"]
+        as_bytes = F.unhex("record_hash")
+        dealt = dealt.withColumn("_digest", F.when(F.lower(F.hex(as_bytes)) == F.col("record_hash"), as_bytes))
+        dealt = dealt.withColumn("record_hash", F.when(F.col("_digest").isNull(), F.col("record_hash")))
+    dealt = dealt.repartition("bronze_id", "_apart")
+    latest = latest_per_key(dealt, ["bronze_id", "_apart"], "bronze_loaded_at", digests)
+    if packs:
+        latest = latest.withColumn("record_hash", F.coalesce("record_hash", F.lower(F.hex("_digest"))))
+    return latest.select(*opened.columns)
 
 
 def clean_opened(opened: DataFrame, spec: TableSpec) -> DataFrame:

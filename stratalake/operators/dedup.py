@@ -97,7 +97,7 @@ def fresh_rows(staged: DataFrame, held: DataFrame | None) -> DataFrame:
     are loaded. Of copies the earliest load is kept, then the lowest id and digest of the text. Only digests and
     numbers are shuffled.
     """
-    order = F.struct("loaded_at", "id", F.md5("data").alias("text"), "row_number")
+    order = F.struct("loaded_at", "id", F.unhex(F.md5("data")).alias("text"), "row_number")
     first = staged.groupBy("row_key", "key_bucket").agg(F.min(order).alias("first"))
     new = first if held is None else first.join(held, "row_key", "left_anti")
     return new.select("row_key", "key_bucket", F.col("first.row_number").alias("row_number"), F.to_date("first.loaded_at").alias("load_date"))
@@ -113,6 +113,12 @@ def rows_numbered(staged: DataFrame, chosen: DataFrame) -> DataFrame:
     return staged.join(numbers, "row_number", "left_semi").select(*RAW_COLUMNS)
 
 
+def rows_not_numbered(staged: DataFrame, left_out: DataFrame) -> DataFrame:
+    """The raw rows of a staged batch but those whose numbers are left out: the same choice where most rows are new, so that
+    it is the few other numbers that are broadcast."""
+    return staged.join(left_out.select("row_number"), "row_number", "left_anti").select(*RAW_COLUMNS)
+
+
 def dedup_report(raw: DataFrame, loaded: DataFrame) -> DataFrame:
     """One row: records read, records new, records skipped.
 

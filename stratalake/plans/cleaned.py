@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.cleaning import CORRUPT, LINEAGE, clean_opened, finish_records, latest_records, open_records, table_schema
@@ -17,10 +17,27 @@ from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.upsert import append_keyed, rebuild_table, upsert_table
 from stratalake.sinks.writer import Mode, read_raw
 from stratalake.sources.tables import DEFAULT_LOOKBACK_DAYS, look_back
+from stratalake.sources.workspace import COMPACT, written
 from stratalake.specs import TableSpec
 
 STEP = "cleaned"
 BROKEN = "_broken_rules"
+#: Ids with several versions that are broadcast, some 10 MB of them.
+FEW_IDS = 200_000
+
+
+def last_versions(raw: DataFrame, spec: TableSpec, read: Observation, few: int = FEW_IDS) -> DataFrame:
+    """Raw rows opened, the last version of each record; ``read`` gets the number of raw rows.
+
+    Ids are counted first. Where up to ``few`` have several versions, rows of other ids stay where they are read.
+    """
+    counts = raw.groupBy("id").agg(F.count(F.lit(1)).alias("n")).observe(read, F.sum("n").alias("rows"))
+    several = written(counts.where((F.col("n") > 1) | (F.col("id") == "")).select("id"), "several-versions")
+    if several.limit(few + 1).count() > few:
+        return latest_records(open_records(raw, spec))
+    several = F.broadcast(several)
+    single = open_records(raw.join(several, "id", "left_anti"), spec)
+    return single.unionByName(latest_records(open_records(raw.join(several, "id", "left_semi"), spec)))
 
 
 def refresh_cleaned(
@@ -53,25 +70,24 @@ def refresh_cleaned(
         if raw.isEmpty():
             return Status.NO_DATA
         read = Observation()
-        counted = raw.drop("load_date").observe(read, F.count(F.lit(1)).alias("rows"))
-        written = Observation()
+        done = Observation()
         no_key = reduce(or_, [F.col(k).cast("string") == "" for k in spec.keys], any_null(spec.keys))
-        latest = latest_records(open_records(counted, spec))
+        latest = last_versions(raw.drop("load_date"), spec, read)
         cleaned = finish_records(clean_opened(latest, spec), spec, as_of)
         tests = contract_tests(cleaned.columns, spec.not_null, spec.max_lengths)
         cleaned = cleaned.withColumn(BROKEN, broken_rules(tests))
         good = ~no_key & (F.size(BROKEN) == 0)
-        cleaned = cleaned.observe(written, F.count_if(good).alias("rows"), *rule_counters(tests))
-        cleaned.write.mode("overwrite").parquet(f"{staging}/parsed")
-        metrics.rows_input, metrics.rows_output = read.get["rows"], written.get["rows"]
-        metrics.violations = violations(written.get, tests)
+        cleaned = cleaned.observe(done, F.count_if(good).alias("rows"), *rule_counters(tests))
+        cleaned.write.options(**COMPACT).mode("overwrite").parquet(f"{staging}/parsed")
+        metrics.rows_input, metrics.rows_output = read.get["rows"], done.get["rows"]
+        metrics.violations = violations(done.get, tests)
 
         staged = spark.read.parquet(f"{staging}/parsed")
         rows = conform(staged.where(good), table_schema(spec))
         if mode is Mode.MERGE:
             upsert_table(rows, path, spec.keys, layout.buckets)
         elif mode is Mode.OVERWRITE:
-            rebuild_table(rows, path, spec.keys, layout.buckets)
+            rebuild_table(rows, path, spec.keys, layout.buckets, staged=True)
         else:
             append_keyed(rows, path, spec.keys)
 

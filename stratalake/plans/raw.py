@@ -7,13 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.dedup import RAW_COLUMNS, fresh_rows, rows_numbered
+from stratalake.operators.dedup import RAW_COLUMNS, fresh_rows, rows_not_numbered, rows_numbered
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured
 from stratalake.sinks.key_state import BUCKET, held, key_counts, record, with_buckets
 from stratalake.sinks.runs import ROW_KEY, Kind, drop_folder, is_finished, live_runs
 from stratalake.sinks.writer import append_raw, read_raw
-from stratalake.sources.workspace import written
+from stratalake.sources.workspace import COMPACT, written
 
 STEP = "raw"
 
@@ -44,8 +44,8 @@ def _finish_interrupted(spark: SparkSession, name: str, layout: Layout) -> None:
 def append_new(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = False) -> tuple[int, int]:
     """Append the records of a batch that the raw table does not hold; returns rows read and rows appended.
 
-    The batch is staged once. Its digests are compared with the keys on record in the folders they fall into; of
-    the texts only those of new records are moved. The choice of rows is staged ahead of the append and dropped once their
+    The batch is staged once. Its digests are compared with the keys on record in the folders they fall into. Of
+    the texts those of new records are moved at most, and none while the rows that are left out, or those that are new, are few. The choice of rows is staged ahead of the append and dropped once their
     keys are recorded, so a load that was cut off in between is caught up with by the next one, and any load may
     simply be run again.
     """
@@ -54,7 +54,7 @@ def append_new(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = Fal
     _finish_interrupted(spark, name, layout)
     read = Observation()
     numbered = with_buckets(raw, ["record_hash"], layout.key_digits).withColumn("row_number", F.monotonically_increasing_id())
-    numbered.observe(read, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{staging}/batch")
+    numbered.observe(read, F.count(F.lit(1)).alias("rows")).write.options(**COMPACT).mode("overwrite").parquet(f"{staging}/batch")
     if not read.get["rows"]:
         return 0, 0
     staged = spark.read.schema(numbered.schema).parquet(f"{staging}/batch")
@@ -62,9 +62,16 @@ def append_new(raw: DataFrame, name: str, layout: Layout, skip_dedup: bool = Fal
         chosen = staged.groupBy(ROW_KEY, BUCKET, F.to_date("loaded_at").alias("load_date")).agg(F.count(F.lit(1)).alias("n"))
     else:
         chosen = fresh_rows(staged, held(staged, keys)).withColumn("n", F.lit(1).cast("bigint"))
-    chosen.write.mode("overwrite").parquet(f"{staging}/fresh")
+    new = Observation()
+    chosen.observe(new, F.count(F.lit(1)).alias("rows")).write.options(**COMPACT).mode("overwrite").parquet(f"{staging}/fresh")
+    left_out = 0 if skip_dedup else read.get["rows"] - new.get["rows"]
     chosen = spark.read.schema(chosen.schema).parquet(f"{staging}/fresh")
-    rows = staged.select(*RAW_COLUMNS) if skip_dedup else rows_numbered(staged, chosen)
+    if not left_out:
+        rows = staged.select(*RAW_COLUMNS)
+    elif left_out < new.get["rows"]:
+        rows = rows_not_numbered(staged, written(staged.select("row_number").join(chosen, "row_number", "left_anti"), "left-out"))
+    else:
+        rows = rows_numbered(staged, chosen)
     added = append_raw(rows, layout.raw(name))
     record(chosen, keys)
     drop_folder(spark, f"{staging}/fresh")

@@ -18,7 +18,7 @@ from stratalake.sinks.key_state import key_counts, record, repeated_keys
 from stratalake.sinks.runs import Kind
 from stratalake.sinks.upsert import append_keyed, read_keyed, rebuild_table, upsert_table
 from stratalake.sinks.writer import Mode, write_table
-from stratalake.sources.workspace import written
+from stratalake.sources.workspace import COMPACT, written
 from stratalake.specs import DATE_DIMENSION, DATE_DIMENSION_RANGE, DIMENSIONS, FACTS, DimensionSpec, FactSpec
 
 STEP = "star"
@@ -157,7 +157,7 @@ def refresh_fact(
         counted = judged.observe(
             rows, F.count(F.lit(1)).alias("rows"), F.count_if(good).alias("good"), *rule_counters(tests | orphans)
         )
-        counted.write.mode("overwrite").parquet(f"{staging}/facts")  # the joins run here and only here
+        counted.write.options(**COMPACT).mode("overwrite").parquet(f"{staging}/facts")  # the joins run here and only here
         metrics.rows_input, metrics.rows_output = rows.get["rows"], rows.get["good"]
         metrics.violations = violations(rows.get, tests | orphans)
         staged = spark.read.schema(judged.schema).parquet(f"{staging}/facts")
@@ -169,7 +169,7 @@ def refresh_fact(
         if mode is Mode.MERGE:
             upsert_table(staged, path, [spec.key], layout.buckets)
         elif mode is Mode.OVERWRITE:
-            rebuild_table(staged, path, [spec.key], layout.buckets)
+            rebuild_table(staged, path, [spec.key], layout.buckets, staged=True)
         elif mode is Mode.APPEND:
             append_keyed(staged, path, [spec.key])
         else:

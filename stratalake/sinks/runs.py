@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.digest import surrogate_key
 from stratalake.operators.keys import any_null
+from stratalake.sources.workspace import COMPACT
 
 RUN, ROW_KEY = "run", "row_key"
 _MARK = "_SUCCESS"
@@ -87,7 +88,7 @@ def write_run(df: DataFrame, path: str, kind: Kind, partition_by: tuple[str, ...
     """Write rows as the next run. Numbers of unfinished runs are not used again."""
     spark = df.sparkSession
     run = Run(max((r.number for r in all_runs(spark, path)), default=0) + 1, kind, True)
-    df.write.partitionBy(*partition_by).parquet(f"{path}/{RUN}={run.name}")
+    df.write.options(**COMPACT).partitionBy(*partition_by).parquet(f"{path}/{RUN}={run.name}")
     return run
 
 

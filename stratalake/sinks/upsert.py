@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.keys import any_null, unique_keyed_rows
+from stratalake.operators.keys import any_null
+from stratalake.operators.quality import duplicate_keys
 from stratalake.sinks.runs import ROW_KEY, RUN, Kind, Run, drop_superseded, live_runs, read_runs, with_row_key, write_run
 
 #: Runs on top of a base after which a merge folds them in.
@@ -46,12 +47,16 @@ def _fitted(rows: DataFrame, table: DataFrame | None) -> DataFrame:
     return rows.select(*[F.col(c).cast(table.schema[c].dataType).alias(c) for c in table.columns if c in rows.columns])
 
 
-def rebuild_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """Write a keyed table from scratch, in about ``buckets`` files. An empty frame leaves the old table."""
+def rebuild_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int, staged: bool = False) -> None:
+    """Write a keyed table from scratch, in about ``buckets`` files. An empty frame leaves the old table.
+
+    Set ``staged`` where the rows are those of a table just written: its splits are then put together to at most that
+    many files, and no row is shuffled.
+    """
     if not df.isEmpty():
         keyed = with_row_key(df, list(keys))
         spread = F.coalesce(F.xxhash64(ROW_KEY), F.xxhash64(*df.columns)) if keys else F.xxhash64(*df.columns)
-        write_run(keyed.repartition(buckets, spread), path, Kind.BASE)
+        write_run(keyed.coalesce(buckets) if staged else keyed.repartition(buckets, spread), path, Kind.BASE)
         drop_superseded(df.sparkSession, path)
 
 
@@ -62,13 +67,22 @@ def append_keyed(df: DataFrame, path: str, keys: Sequence[str]) -> None:
         write_run(with_row_key(rows, list(keys)), path, Kind.APPEND)
 
 
+def _refuse_copies(source: DataFrame, keys: list[str]) -> None:
+    """Fail where two rows have one key."""
+    keyed = with_row_key(source.select(*keys), keys).where(F.col(ROW_KEY).isNotNull())
+    if copies := duplicate_keys(keyed.select(ROW_KEY), [ROW_KEY]).take(1):
+        found = keyed.where(F.col(ROW_KEY) == F.lit(bytes(copies[0][ROW_KEY]))).select(F.to_json(F.struct(*keys)).alias("key"))
+        raise ValueError(f"duplicate source key: {found.first()['key']}")
+
+
 def upsert_table(
     source: DataFrame, path: str, keys: Sequence[str], buckets: int = 64, fold_after: int = FOLD_AFTER
 ) -> None:
     """Merge source rows into a keyed table: the rows that ``merge_rows`` would give are read from then on.
 
     The table itself is read only where the source lacks some of its columns, whose values are then
-    carried over. Two source rows with one key fail the job before anything is written.
+    carried over. Two source rows with one key fail the job before anything is written: digests of the keys are counted
+    ahead of the write, so the source is read twice, and its rows are not shuffled.
     """
     spark = source.sparkSession
     if source.isEmpty():
@@ -76,7 +90,8 @@ def upsert_table(
     keys = list(keys)
     table = read_keyed(spark, path)
     source = _fitted(source.select(*[c for c in source.columns if not c.startswith("_")]), table)
-    rows = unique_keyed_rows(source, keys)
+    _refuse_copies(source, keys)
+    rows = source.where(~any_null(keys))
     unkeyed = source.where(any_null(keys))
     if table is not None and (own := [c for c in table.columns if c not in source.columns]):
         kept = table.where(~any_null(keys)).select(*keys, *own).join(source.select(*keys), keys, "left_semi")

@@ -9,7 +9,7 @@ from enum import StrEnum
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.sources.workspace import read_if_written
+from stratalake.sources.workspace import COMPACT, read_if_written
 
 
 RAW_SCHEMA = "id string, data string, record_hash string, loaded_at timestamp_ntz, load_date date"
@@ -44,7 +44,7 @@ def write_table(
     if mode is Mode.OVERWRITE and df.isEmpty():
         return 0
     rows = Observation()
-    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode(mode.value)
+    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.options(**COMPACT).mode(mode.value)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_rows_per_file:

@@ -3,17 +3,19 @@
 import json as pyjson
 import pathlib
 import random
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stratalake.operators import dedup
 from stratalake.operators.history import next_history
 from stratalake.operators.merge import merge_rows
 from stratalake.plans import raw as raw_plan
-from stratalake.plans.cleaned import refresh_cleaned
+from stratalake.plans.cleaned import last_versions, refresh_cleaned
 from stratalake.plans.layout import Layout
 from stratalake.plans.metrics import JobMetrics, Status, measured, overall_status, run_summary
 from stratalake.plans.raw import load_raw, load_raw_batch
@@ -511,3 +513,50 @@ def test_key_state_is_that_of_counts(spark, scratch):
             want = sorted(rows.count(k) for k in set(part) - {None} if rows.count(k) > 1)
             assert sorted(r.copies for r in repeated.collect()) == want
         key_state.record(counts, path, kind, fold_after=2)
+
+
+def bytes_moved(spark, work):
+    """Rows written to shuffles by what ``work`` runs."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    def total():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+    before = total()
+    work()
+    time.sleep(1)
+    return sum(n for stage, n in total().items() if stage not in before)
+
+
+def test_texts_of_a_new_batch_are_moved_nowhere(spark, scratch):
+    layout, spec = Layout(scratch, buckets=2, key_digits=1), RESOURCES["clients"]
+    noise = F.concat(*[F.sha2(F.concat("id", F.lit(str(i))), 512) for i in range(16)])  # 2 KB that no codec shortens by much
+    data = F.to_json(F.struct(F.col("id").cast("string").alias("id"), noise.alias("address")))
+    batch = spark.range(4000).select(F.when(F.col("id") == 3999, 0).otherwise(F.col("id")).alias("id")).select(data.alias("data"))
+    raw = dedup.raw_rows_from_json(batch, NOW)
+    moved = bytes_moved(spark, lambda: load_raw(raw, "clients", layout))
+    assert writer.read_raw(spark, layout.raw("clients")).count() == 3999 and moved < 1_000_000
+    later = json_rows(spark, {"id": "5", "client_name": "new"}, {"id": "6", "client_name": "b"}, at=LATER)
+    load_raw(later, "clients", layout)
+    done = []
+    moved = bytes_moved(spark, lambda: done.append(refresh_cleaned(spark, spec, layout, LATER)))
+    assert (done[0].rows_input, done[0].rows_output, done[0].errors) == (4001, 3999, []) and moved < 1_000_000
+    kept = upsert.read_keyed(spark, layout.cleaned("clients"))
+    assert kept.where("client_name = 'new'").select("id", "address").collect() == [("5", None)]
+
+
+def test_many_versions_are_picked_as_few_are(spark):
+    read, again = Observation(), Observation()
+    raw = json_rows(spark, {"id": "1"}, {"id": "2"}, {"id": ""}, {"id": "", "city": "x"}).unionByName(
+        json_rows(spark, {"id": "1", "city": "y"}, at=LATER))
+    found = [
+        sorted(last_versions(raw, RESOURCES["clients"], seen, few).select("bronze_id", "city").collect(), key=str)
+        for seen, few in ((read, 0), (again, 100))
+    ]
+    assert found[0] == found[1] and len(found[0]) == 4 and ("1", "y") in found[0]
+    assert read.get["rows"] == again.get["rows"] == 5
+
+
+def test_a_merge_does_not_shuffle_its_rows(spark, scratch):
+    rows = spark.range(4000).select("id", F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(16)]).alias("v"))
+    moved = bytes_moved(spark, lambda: upsert.upsert_table(workspace.written(rows, "rows"), f"{scratch}/t", ["id"]))
+    assert moved < 1_000_000 and upsert.read_keyed(spark, f"{scratch}/t").count() == 4000
