@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from statistics import NormalDist
@@ -10,11 +11,12 @@ from statistics import NormalDist
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import slices, strings, written
-from stratalake.llm.sample import labelled_texts
+from stratalake.llm.sample import labelled_texts, usable_labels
 from stratalake.llm.words import letter_words
 
 #: Examples of each class that the index may hold.
@@ -25,6 +27,8 @@ BLOCK = 32
 #: Weight of the base rate against the votes in either tier, in examples with the same direction; words of the second may be there by chance.
 BASE_WEIGHTS = (0.5, 4.0)
 THRESHOLD = 0.3
+#: Words of least digest in which near copies agree.
+SKETCH = 8
 
 
 #: Chi-square that chance alone gives a word in one case of twenty.
@@ -174,24 +178,48 @@ def _example_words(sample: DataFrame) -> DataFrame:
     return sample.mapInArrow(count, f"doc_id {kind}, label int, words array<binary>, counts array<long>")
 
 
-def _documents_holding(docs: DataFrame, terms: list[bytes]) -> np.ndarray:
-    """Of all documents, how many hold each term, and last how many there are."""
+def copy_key(words: Iterable[bytes]) -> int:
+    """A digest of the SKETCH words of least digest: near copies mostly agree in it, different texts hardly ever."""
+    digests = np.fromiter(map(zlib.crc32, words), np.uint32)
+    least = np.sort(np.partition(digests, SKETCH - 1)[:SKETCH] if len(digests) > SKETCH else digests)
+    return xxhash.xxh3_64_intdigest(least.astype("<u4").tobytes()) - (1 << 63)
+
+
+def _terms_held(docs: DataFrame, terms: list[bytes]) -> DataFrame:
+    """doc_id, key of near copies, and which of the terms each document holds."""
     place = {w: i for i, w in enumerate(terms)}
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        holding, n = np.zeros(len(terms) + 1, np.int64), 0
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
+            keys, held = [], []
             for text in strings(batch.column("text")):
-                holding[[place[w] for w in place.keys() & letter_words(text)]] += 1
-                n += 1
-        holding[-1] = n
-        met = np.flatnonzero(holding)
-        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(holding[met])], ["term", "n"])
+                words = set(letter_words(text))
+                keys.append(copy_key(words))
+                held.append(sorted(place[w] for w in place.keys() & words))
+            columns = [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(held, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copies", "terms"])
 
-    out = np.zeros(len(terms) + 1)
-    for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r.term] = r.n
-    return out
+    return docs.select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, copies long, terms array<int>")
+
+
+def _judged_terms(docs: DataFrame, known: DataFrame, terms: list[bytes], least: float) -> dict[bytes, tuple[bool, float]]:
+    """Of the terms, those that all labelled rows confirm: whether they are of the first tier, and their weight.
+
+    Near copies in a class count once, so that the words of a text do not tell of the label because the text is repeated.
+    """
+    held = written(_terms_held(docs, terms), "toxicity-held")
+    kinds = held.join(known, "doc_id").groupBy("label", "copies").agg(F.min(F.struct("doc_id", "terms")).alias("row"))
+    kinds = written(kinds.select("label", "row.terms"), "toxicity-kinds")
+    n = {r.label: r.n for r in kinds.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    of = kinds.select("label", F.explode("terms").alias("term")).groupBy("term")
+    of = of.agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
+    square = chi_square(F.col("toxic"), F.col("clean"), n.get(1, 0), n.get(0, 0))
+    found = of.select("term", square.alias("square"), (F.col("toxic") > F.col("clean")).alias("leans")).collect()
+    found = {r.term: r.square > least for r in found if r.square > least or r.square > CHANCE and r.leans}
+    total = held.count()
+    holding = {r.term: r.n for r in held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
+    return {terms[i]: (first, math.log((1 + total) / (1 + holding[i])) + 1) for i, first in found.items()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EXAMPLES) -> Model:
@@ -200,7 +228,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EX
     Words weigh by TF-IDF, counted over all documents. Labels choose words and weigh votes, and have no part in a
     vector. The first tier holds the words whose rates in the classes differ by more than chance brings about for any of
     the examples' words; the second, for rare words, those that differ by more than chance allows a single word and have most of
-    their documents in the labelled class. There is no bound on their number. Words are counted on Spark. The driver gets the vocabulary, and of each example which of its words
+    their documents in the labelled class. A word that the examples tell of has to pass the same test over all labelled rows, where
+    near copies count once: among so many words chance picks hundreds in a sample, and a clean text that holds one of them has
+    hardly any neighbours but toxic ones. There is no bound on their number. Words are counted on Spark. The driver gets the vocabulary, and of each example which of its words
     it holds: numbers bounded by `each`, no texts.
     """
     sample, sizes = labelled_texts(docs, labels, label, each)
@@ -212,12 +242,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", each: int = EX
     square = chi_square(F.col("toxic"), F.col("clean"), held.get(1, 0), held.get(0, 0)).alias("square")
     tested = written(rates.select("word", square, (F.col("toxic") * weight[1] > F.col("clean") * weight[0]).alias("leans")), "toxicity-words")
     least = least_chi_square(tested.count())
-    told = {bytes(r.word): r.square > least for r in tested.filter((F.col("square") > least) | (F.col("square") > CHANCE) & F.col("leans")).collect()}
-    terms = sorted(told)
-    holding = _documents_holding(docs, terms)
-    idf = np.log((1 + holding[-1]) / (1 + holding[:-1])) + 1
-    first = np.array([told[w] for w in terms], bool)
-    tiers = [([terms[i] for i in np.flatnonzero(part)], idf[part]) for part in (first, ~first)]
+    asked = tested.filter((F.col("square") > least) | (F.col("square") > CHANCE) & F.col("leans")).select("word")
+    told = _judged_terms(docs, usable_labels(labels, label), sorted(bytes(r.word) for r in asked.collect()), least)
+    tiers = []
+    for first in (True, False):
+        terms = sorted(w for w in told if told[w][0] == first)
+        tiers.append((terms, np.array([told[w][1] for w in terms])))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

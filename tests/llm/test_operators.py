@@ -402,6 +402,20 @@ def test_toxicity_scores_by_brute_force(spark):
         assert score(low) - 1e-9 <= got[i].score <= score(high) + 1e-9
 
 
+def test_words_of_a_sample_or_of_copies_alone_do_not_tell(spark):
+    pick = random.Random(3)
+    common = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    rows = [" ".join(pick.choices(common, k=30)) for _ in range(1200)]
+    rows += [" ".join([*pick.choices(common, k=30), "vilest"]) for _ in range(60)]
+    rows += [" ".join([*pick.sample(common, 40), "vilest"])] * 40
+    docs, first = frame(spark, rows), 1200
+    labels = spark.createDataFrame([(i, int(i >= first)) for i in range(len(rows))], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, each=120)
+    assert {w for tier in model.tiers for w in tier.term} == {b"vilest"}
+    rejected = {r.row.doc_id for r in toxicity.score_toxicity(docs, model).collect() if r.score >= toxicity.THRESHOLD}
+    assert rejected == set(range(first, len(rows)))
+
+
 def test_toxicity_keeps_every_different_example(spark):
     texts = [f"same longer words {'abcdefghij'[i % 10]}x bad" if i % 2 else f"fine text {'abcdefghij'[i % 10]}y" for i in range(80)]
     model = toxicity.fit(frame(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int"))
