@@ -10,11 +10,12 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stratalake.catalog import star
 from stratalake.functions.digest import surrogate_key
 from stratalake.operators import dedup, history, quality
 from stratalake.operators.cleaning import CORRUPT, clean_opened, clean_records, latest_records, open_records, parse_records
 from stratalake.operators.keys import first_per_key, latest_per_key, unique_keyed_rows
-from stratalake.operators.lookup import add_dimension_key
+from stratalake.operators.lookup import add_dimension_key, add_dimension_keys
 from stratalake.operators.merge import merge_rows
 from stratalake.operators.modeling import date_rows, fact_with_keys
 from stratalake.settings import session_settings
@@ -486,3 +487,40 @@ def test_surrogates_are_digests_of_the_start_that_was_looked_up(spark):
         ("1", expected["dim_clients"], expected["dim_projects"]), ("2", None, None)]
     joins = found._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in joins[joins.index("Join"):]  # nothing but starts is moved
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+@pytest.mark.parametrize("shares", [{}, {"a": 4}, {"a": 2, "b": 5}])
+def test_look_ups_in_one_move_find_what_one_after_the_other_finds(spark, shares, salts):
+    keys = [None, "", "1", "2", "3", "hot", "hot", "hot"]
+    rows_in = [(n, keys[n % 8], None if n % 5 == 0 else n % 7) for n in range(400)] + [(1, "1", 1), (1, "1", 1)]
+    facts = spark.createDataFrame(rows_in, "n int, a string, b int")
+    version = "{0} {1}, start timestamp_ntz, is_current boolean"
+    first = [("1", DAY[0], False), ("1", DAY[1], True), ("hot", DAY[2], True), ("2", DAY[3], True), ("2", DAY[4], True),
+             ("3", DAY[5], False), (None, DAY[6], True), ("", DAY[7], True)]
+    dims = {"a": spark.createDataFrame(first, version.format("k", "string")).withColumnRenamed("start", "a_start"),
+            "b": spark.createDataFrame([(n, DAY[n], n != 4) for n in range(6)], version.format("m", "bigint")).withColumnRenamed("start", "b_start")}
+    expected = add_dimension_key(add_dimension_key(facts, dims["a"], "a_start", "k", "a"), dims["b"], "b_start", "m", "b")
+    looked_up = {"a": (dims["a"], "a_start", "k"), "b": (dims["b"], "b_start", "m")}
+    got = add_dimension_keys(facts, looked_up, shares, salts)
+    assert sorted(got.columns) == sorted(expected.columns)
+    tally = lambda df: sorted(map(repr, df.select(*expected.columns).collect()))
+    assert tally(got) == tally(expected)
+
+
+def test_facts_are_moved_once_for_all_look_ups(spark, shuffled_joins):
+    facts = spark.range(5000).selectExpr("id AS n", "if(id % 3 = 0, 'hot', string(id % 50)) AS a", "string(id % 70) AS b")
+    dims = {k: spark.range(60).selectExpr(f"string(id) AS k{k}", f"id AS {k}_start", "true AS is_current") for k in ("a", "b")}
+    got = add_dimension_keys(facts, {k: (dims[k], f"{k}_start", f"k{k}") for k in dims}, {"a": 2, "b": 8})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 3 and "BroadcastHashJoin" not in plan  # of the facts and of each dimension
+    hot = got.where("a = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(hot) == 8  # as many partitions as its dimension has copies
+
+
+@pytest.mark.parametrize("salts", [4])
+def test_keys_of_placements_are_found_in_one_move(spark, folder, shuffled_joins, salts):
+    df = star.fact_placements(spark, folder) if salts == 1 else star.fact_placements_salted(spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange ") == 8  # two of the facts and two of each dimension: for the last versions, for the look-ups
